@@ -51,14 +51,16 @@ def alarms(docs: DataFrame, threshold: int = KPI_THRESHOLD, page_ids: int = PAGE
         .agg(F.sum(F.col("matches").cast("decimal(19,0)")).alias("n"))
     )
     sizes = per_id.groupBy(*[F.col(c).alias(f"_{c}") for c in group]).agg(
-        F.ceil(F.count(F.lit(1)) / page_ids).alias("pages")
+        F.ceil(F.count(F.lit(1)) / page_ids).alias("pages"), F.sum("n").alias("allViolations")
     )
     same_group = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group]
     bits = F.conv(F.substring(F.md5("id"), 1, 15), 16, 10).cast("bigint")
     paged = per_id.join(sizes, same_group).withColumn("page", bits % F.col("pages"))
     listed = F.array_sort(F.collect_list(F.struct("id", "n")))
-    rows = paged.groupBy(*group, "page", "pages").agg(
-        listed.alias("listed"), F.sum("n").alias("violations")
+    rows = paged.groupBy(*group, "page").agg(
+        listed.alias("listed"),
+        F.sum("n").alias("violations"),
+        *[F.first(c).alias(c) for c in ("pages", "allViolations")],
     )
     return rows.select(
         fill_template(SUBJECT, {"processName": F.col("businessProcessName")}).alias("subject"),
@@ -69,6 +71,7 @@ def alarms(docs: DataFrame, threshold: int = KPI_THRESHOLD, page_ids: int = PAGE
         F.array_join("listed.id", " ").alias("processInstanceIds"),
         F.array_join(F.col("listed.n").cast("array<string>"), " ").alias("occurrences"),
         "violations",
+        "allViolations",
         F.lit(threshold).cast("bigint").alias("threshold"),
     )
 

@@ -47,8 +47,11 @@ def _side(tagged: DataFrame, side: str) -> DataFrame:
     )
 
 
-def _measured(s: DataFrame, e: DataFrame) -> DataFrame:
+def _measured(s: DataFrame, e: DataFrame, within: str | None = None) -> DataFrame:
     same = (F.col("_sRule") == F.col("_eRule")) & (F.col("_sInstance") == F.col("_eInstance"))
+    if within is not None:
+        gap = F.expr(f"INTERVAL {within}")
+        same &= F.col("eTimestamp").between(F.col("sTimestamp") - gap, F.col("sTimestamp") + gap)
     paired = s.join(e, same).select(
         F.col("_sInstance").alias(INSTANCE),
         *[prefixed("s", c) for c in SIDE_COLUMNS],
@@ -65,10 +68,13 @@ def _measured(s: DataFrame, e: DataFrame) -> DataFrame:
     )
 
 
-def phases(events: DataFrame, rules: DataFrame) -> DataFrame:
-    """Every pair of a phase's start and end event, measured and checked against the rule."""
+def phases(events: DataFrame, rules: DataFrame, within: str | None = None) -> DataFrame:
+    """Every pair of a phase's start and end event, measured and checked against the rule.
+
+    ``within`` limits their distance in time, which a stream needs to free its state.
+    """
     tagged = phase_events(events, rules)
-    return _measured(_side(tagged, "s"), _side(tagged, "e"))
+    return _measured(_side(tagged, "s"), _side(tagged, "e"), within)
 
 
 def _newest(side: str) -> list[Column]:
@@ -91,6 +97,11 @@ def latest_phases(events: DataFrame, rules: DataFrame) -> DataFrame:
     tagged = phase_events(events, rules)
     s = first_per(_side(tagged, "s"), ["_sRule", "_sInstance"], _newest("s"))
     e = first_per(_side(tagged, "e"), ["_eRule", "_eInstance"], _newest("e"))
+    return latest_of(_measured(s, e))
+
+
+def latest_of(measured: DataFrame) -> DataFrame:
+    """The latest measurement of each phase id."""
     # Only rules with the same phase name can still tie; then the smaller threshold stays.
     ties = [F.col(c).asc_nulls_last() for c in ("businessProcessPhaseName", INSTANCE, "kpiThresholdValue")]
-    return first_per(_measured(s, e), ["id"], _newest("e") + _newest("s") + ties)
+    return first_per(measured, ["id"], _newest("e") + _newest("s") + ties)

@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from spanwatch import operators as op
 from spanwatch.functions import iso_utc
 from spanwatch.schema import (
+    ACTIVITY_END,
+    ACTIVITY_START,
     COMMON_COLUMNS,
-    END_COLUMNS,
-    EVENT_COLUMNS,
     IP_CHECK_KEY,
-    START_COLUMNS,
     TRACE_KEY,
     prefixed,
 )
-from spanwatch.sources import parse_events, raw_records
+from spanwatch.session import work_dir
+from spanwatch.sources import PendingStore, parse_events, raw_records, stream_values
 from spanwatch.sources.tables import (
     activity_events,
     as_json_values,
@@ -24,6 +24,13 @@ from spanwatch.sources.tables import (
     phase_rules,
     process_events,
 )
+from spanwatch.streaming import (
+    read_documents,
+    read_phases,
+    run_correlation,
+    run_phases,
+    stream_correlated,
+)
 
 # Fixed value: where the two-batch queries cut the table.
 CUT = "2024-01-16 00:00:00"
@@ -194,15 +201,19 @@ def q_alarm_ids(spark, sf_dir):
     return op.alarm_ids(_documents(spark, sf_dir))
 
 
+def _whole_counts(alarm_rows: DataFrame) -> DataFrame:
+    return alarm_rows.withColumns(
+        {c: F.col(c).cast("bigint") for c in ("violations", "allViolations")}
+    )
+
+
 def q_alarms(spark, sf_dir):
-    rows = op.alarms(_documents(spark, sf_dir))
-    return rows.withColumn("violations", F.col("violations").cast("bigint"))
+    return _whole_counts(op.alarms(_documents(spark, sf_dir)))
 
 
 def q_alarm_pages(spark, sf_dir):
     """Alarms in pages of about four ids."""
-    rows = op.alarms(_documents(spark, sf_dir), page_ids=4)
-    return rows.withColumn("violations", F.col("violations").cast("bigint"))
+    return _whole_counts(op.alarms(_documents(spark, sf_dir), page_ids=4))
 
 
 def q_alarm_messages(spark, sf_dir):
@@ -261,4 +272,81 @@ def q_phases_latest(spark, sf_dir):
     return latest.select(*PHASE_COLUMNS, *PHASE_KPI_COLUMNS)
 
 
+def _slices(spark, sf_dir) -> list[DataFrame]:
+    """The table as JSON messages, in two parts by time."""
+    return [as_json_values(part) for part in _cut(activity_events(spark, sf_dir))]
+
+
+def _ntz(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.withColumns({c: F.col(f"`{c}`").cast("timestamp_ntz") for c in columns})
+
+
+def _stream_job(spark, sf_dir, start) -> str:
+    """Feed the parts to a job one after the other, restarting it in between; the output folder."""
+    root = work_dir(spark, "job")
+    for part in _slices(spark, sf_dir):
+        part.write.mode("append").text(f"{root}/in")
+        start(stream_values(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return f"{root}/out"
+
+
+def _run_correlation(spark, sf_dir) -> str:
+    return _stream_job(
+        spark, sf_dir, lambda values, out, ckpt: run_correlation(values, out, ckpt, trigger=None)
+    )
+
+
+def q_stream_documents(spark, sf_dir):
+    return _payload_columns(read_documents(spark, _run_correlation(spark, sf_dir)))
+
+
+def q_stream_pending(spark, sf_dir):
+    return _ntz(PendingStore(spark, f"{_run_correlation(spark, sf_dir)}/pending").read(), "sTimestamp")
+
+
+def q_stream_alarms(spark, sf_dir):
+    return _whole_counts(spark.read.parquet(f"{_run_correlation(spark, sf_dir)}/alarms")).drop("message")
+
+
+def q_stream_phases(spark, sf_dir):
+    rules = phase_rules(spark)
+    out = _stream_job(
+        spark, sf_dir, lambda values, out, ckpt: run_phases(values, rules, out, ckpt, trigger=None)
+    )
+    latest = read_phases(spark, out).select(*PHASE_COLUMNS, *PHASE_KPI_COLUMNS)
+    return _ntz(latest, "sTimestamp", "eTimestamp")
+
+
+def _late_sentinels(spark) -> DataFrame:
+    """A start and an end far ahead in time that match nothing; they move the watermark
+    past all other events and stay in the state themselves."""
+    return spark.range(2).select(
+        F.concat(
+            F.lit('{"@timestamp":"2030-01-01T00:00:00.000Z","eventType":"'),
+            F.when(F.col("id") == 0, ACTIVITY_START).otherwise(ACTIVITY_END),
+            F.lit('","businessProcessName":"none","businessProcessActivityId":"none","payload":{"spp_trace_wf_id":"'),
+            F.col("id").cast("string"),
+            F.lit('"}}'),
+        ).alias("value")
+    )
+
+
+def q_stream_correlated(spark, sf_dir):
+    """The streaming join over both parts, restarted from its checkpoint for each."""
+    root = work_dir(spark, "join")
+    for part in [*_slices(spark, sf_dir), _late_sentinels(spark)]:
+        part.write.mode("append").text(f"{root}/in")
+        events, _ = parse_events(stream_values(spark, f"{root}/in"))
+        query = (
+            stream_correlated(events, max_gap="60 days")
+            .writeStream.format("parquet")
+            .option("path", f"{root}/out")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    return _ntz(spark.read.parquet(f"{root}/out"), "sTimestamp", "eTimestamp")
+
+
 QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith("q_")}

@@ -24,6 +24,11 @@ ev AS (
   FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events) x
 )"""
 
+# JSON messages carry milliseconds.
+EVENT_MS_SQL = EVENT_SQL.replace(
+    "ts AS timestamp,", "date_trunc('millisecond', ts) AS timestamp,"
+)
+
 COMMON = [
     "version", "timestamp", "documentType", "eventType", "technicalOrigin", "businessOrigin",
     "businessProcessId", "businessProcessName", "businessProcessVersion",
@@ -63,11 +68,12 @@ c{suffix} AS (SELECT * FROM s{suffix} FULL OUTER JOIN e{suffix} ON {SAME_KEY})""
 
 
 BASE = f"WITH {EVENT_SQL},{_sides('', 'TRUE')}"
-WITH_FINISHED = f"""{BASE},
-f AS (SELECT {FINISHED} FROM c WHERE s_here = 1 AND e_here = 1),
+KPI = """
 k AS (SELECT *, CAST(5000 AS BIGINT) AS kpiThresholdValue,
   CASE WHEN durationInMillis > 5000 THEN 'NOK' ELSE 'OK' END AS kpiStatusText,
   CASE WHEN durationInMillis > 5000 THEN 1 ELSE 0 END AS kpiStatusValue FROM f)"""
+WITH_FINISHED = f"""{BASE},
+f AS (SELECT {FINISHED} FROM c WHERE s_here = 1 AND e_here = 1),{KPI}"""
 DOC_COLUMNS = [
     '"@version"', '"@timestamp"', "documentType", "eventType", "technicalOrigin", "businessOrigin",
     "businessProcessId", "businessProcessName", "businessProcessVersion",
@@ -76,7 +82,7 @@ DOC_COLUMNS = [
     "kpiStatusText", "kpiStatusValue",
 ]
 DOCS = ", ".join(DOC_COLUMNS)
-WITH_DOCS = f"""{WITH_FINISHED},
+DOCUMENT = """
 d AS (SELECT version AS "@version", timestamp AS "@timestamp", 'correlated_event' AS documentType,
   eventType, technicalOrigin, businessOrigin, businessProcessId, businessProcessName,
   businessProcessVersion, businessProcessActivityId, businessProcessActivityName,
@@ -84,16 +90,31 @@ d AS (SELECT version AS "@version", timestamp AS "@timestamp", 'correlated_event
   concat_ws('_', businessProcessName, businessProcessActivityName, spp_trace_wf_id) AS id,
   spp_trace_wf_id, ipCheckResult, CAST(kpiThresholdValue AS VARCHAR) AS kpiThresholdValue,
   kpiStatusText, CAST(kpiStatusValue AS VARCHAR) AS kpiStatusValue FROM k)"""
+WITH_DOCS = f"{WITH_FINISHED},{DOCUMENT}"
 DOC_ORDER = ", ".join(
     ['"@timestamp" DESC NULLS LAST', "durationInMillis DESC NULLS LAST"]
     + [f"{c} ASC NULLS LAST" for c in DOC_COLUMNS if c not in ('"@timestamp"', "durationInMillis", "id")]
 )
 
-TWO_BATCHES = f"""WITH {EVENT_SQL},{_sides('1', f'timestamp < {CUT}')},{_sides('2', f'timestamp >= {CUT}')},
+
+
+def _two_batches(event_sql: str) -> str:
+    return f"""WITH {event_sql},{_sides('1', f'timestamp < {CUT}')},{_sides('2', f'timestamp >= {CUT}')},
 pending AS (SELECT {S_COLS} FROM c1 WHERE e_here IS NULL),
 orphans AS (SELECT {E_COLS} FROM c2 WHERE s_here IS NULL)"""
 
 
+TWO_BATCHES = _two_batches(EVENT_SQL)
+# What the correlation job leaves after both batches: batch 0 and 1 tell them apart.
+JOB = f"""{_two_batches(EVENT_MS_SQL)},
+f AS (SELECT {FINISHED}, 0 AS batch_id FROM c1 WHERE s_here = 1 AND e_here = 1
+  UNION ALL SELECT {FINISHED}, 1 FROM c2 WHERE s_here = 1 AND e_here = 1
+  UNION ALL SELECT {FINISHED}, 1 FROM orphans JOIN pending ON {SAME_KEY}),{KPI},{DOCUMENT.replace(" FROM k)", ", batch_id FROM k)")}"""
+DAILY = """
+dd AS (SELECT *, CAST("@timestamp" AS DATE) AS doc_date,
+  concat('bam-', strftime("@timestamp", '%Y.%m.%d')) AS target FROM d)"""
+
+
 def _per_trace(prefix: str, absent: str) -> str:
     process, trace = f"{prefix}BusinessProcessName", f"{prefix}Spp_trace_wf_id"
     return (
@@ -127,7 +148,10 @@ def _from(alias: str, prefix: str, columns: list[str]) -> str:
 PHASE_OUT = f"""businessProcessInstanceId, {_names("s", SIDE)}, {_names("e", SIDE)},
   businessProcessPhaseName, id, durationInMillis"""
 PHASE_KPI = "kpiThresholdValue, kpiStatusText, kpiStatusValue, documentType"
-WITH_PHASES = f"""WITH {EVENT_SQL},{RULES},
+
+
+def _measured_sql(condition: str) -> str:
+    return f"""
 pm AS (SELECT a.businessProcessInstanceId, {_from("a", "s", SIDE)}, {_from("b", "e", SIDE)},
   a.durationInMillis AS sDurationInMillis, b.durationInMillis AS eDurationInMillis,
   a.spp_trace_wf_id AS sTrace, b.spp_trace_wf_id AS eTrace, b.ipCheckResult AS eIp,
@@ -136,13 +160,16 @@ pm AS (SELECT a.businessProcessInstanceId, {_from("a", "s", SIDE)}, {_from("b",
   date_diff('millisecond', date_trunc('millisecond', a.timestamp),
             date_trunc('millisecond', b.timestamp)) AS durationInMillis, a.threshold
   FROM ps a JOIN pe b ON a.businessProcessPhaseName = b.businessProcessPhaseName
-  AND a.businessProcessInstanceId = b.businessProcessInstanceId),
+  AND a.businessProcessInstanceId = b.businessProcessInstanceId {condition}),
 p AS (SELECT *, threshold AS kpiThresholdValue,
   CASE WHEN durationInMillis > threshold THEN 'NOK' ELSE 'OK' END AS kpiStatusText,
   CASE WHEN durationInMillis > threshold THEN 1 ELSE 0 END AS kpiStatusValue,
   'phase_event' AS documentType FROM pm)"""
 
 
+WITH_PHASES = f"WITH {EVENT_SQL},{RULES},{_measured_sql('')}"
+
+
 def _phase_order(prefix: str) -> str:
     rest = [c for c in SIDE if c != "timestamp"]
     columns = _names(prefix, rest).split(", ") + [f"{prefix}DurationInMillis"]
@@ -151,20 +178,21 @@ def _phase_order(prefix: str) -> str:
     )
 
 
-def _alarms(page_ids: int) -> str:
+def _alarms(page_ids: int, docs: str = WITH_DOCS, batch: str = "0 AS batch_id") -> str:
     """Alarm rows; pages by the first 60 bits of the id's md5."""
-    return f"""{WITH_DOCS},
-v AS (SELECT businessProcessName, businessProcessActivityName, id, count(*) AS n FROM d
+    return f"""{docs},
+v AS (SELECT businessProcessName, businessProcessActivityName, id, {batch}, count(*) AS n FROM d
   WHERE kpiStatusText = 'NOK' GROUP BY ALL),
-w AS (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY businessProcessName, businessProcessActivityName)
-  / {page_ids}.0) AS BIGINT) AS pages FROM v),
+w AS (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY batch_id, businessProcessName, businessProcessActivityName)
+  / {page_ids}.0) AS BIGINT) AS pages,
+  CAST(sum(n) OVER (PARTITION BY batch_id, businessProcessName, businessProcessActivityName) AS BIGINT) AS allViolations FROM v),
 x AS (SELECT *, CAST(concat('0x', substr(md5(id), 1, 15)) AS BIGINT) % pages + 1 AS page FROM w),
 alarms AS (SELECT concat('[BAM, alarm!] for Process Name [', businessProcessName, ']') AS subject,
   businessProcessName AS processName, businessProcessActivityName AS phaseName, page, pages,
   string_agg(id, ' ' ORDER BY id) AS processInstanceIds,
   string_agg(CAST(n AS VARCHAR), ' ' ORDER BY id) AS occurrences,
-  CAST(sum(n) AS BIGINT) AS violations, CAST(5000 AS BIGINT) AS threshold
-  FROM x GROUP BY businessProcessName, businessProcessActivityName, page, pages)"""
+  CAST(sum(n) AS BIGINT) AS violations, allViolations, CAST(5000 AS BIGINT) AS threshold
+  , batch_id FROM x GROUP BY batch_id, businessProcessName, businessProcessActivityName, page, pages, allViolations)"""
 
 
 SPOILT = """
@@ -204,10 +232,7 @@ ORACLE = {
     "q_documents": f"{WITH_DOCS} SELECT {DOCS} FROM d",
     "q_documents_latest": f"""{WITH_DOCS} SELECT {DOCS} FROM d
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY {DOC_ORDER}) = 1""",
-    "q_daily_documents": f"""{WITH_DOCS},
-        dd AS (SELECT *, CAST("@timestamp" AS DATE) AS doc_date,
-               concat('bam-', strftime("@timestamp", '%Y.%m.%d')) AS target FROM d)
-        SELECT {DOCS}, doc_date, target FROM dd
+    "q_daily_documents": f"""{WITH_DOCS},{DAILY} SELECT {DOCS}, doc_date, target FROM dd
         QUALIFY row_number() OVER (PARTITION BY doc_date, id ORDER BY {DOC_ORDER}) = 1""",
     "q_iso_timestamps": f"""WITH {EVENT_SQL} SELECT businessProcessInstanceId, eventType,
         strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%gZ') AS isoTimestamp FROM ev""",
@@ -226,8 +251,8 @@ ORACLE = {
             AND q.sSpp_trace_wf_id = o.eSpp_trace_wf_id)
         SELECT kind, count(*) AS groups FROM (SELECT DISTINCT kind, p, t FROM g) h GROUP BY kind""",
     "q_alarm_ids": f"{WITH_DOCS} SELECT id FROM d WHERE kpiStatusText = 'NOK'",
-    "q_alarms": f"{_alarms(1000)} SELECT * FROM alarms",
-    "q_alarm_pages": f"{_alarms(4)} SELECT * FROM alarms",
+    "q_alarms": f"{_alarms(1000)} SELECT * EXCLUDE (batch_id) FROM alarms",
+    "q_alarm_pages": f"{_alarms(4)} SELECT * EXCLUDE (batch_id) FROM alarms",
     "q_alarm_messages": f"""{_alarms(1000)}
         SELECT subject, page, concat('Subject: ', subject, chr(10), chr(10), 'The business process ', processName,
           ' has generated the following alarm:', chr(10), chr(10), repeat('-', 42), chr(10), chr(10),
@@ -247,4 +272,16 @@ ORACLE = {
     "q_phase_kpi": f"{WITH_PHASES} SELECT id, durationInMillis, {PHASE_KPI} FROM p",
     "q_phases_latest": f"""{WITH_PHASES} SELECT {PHASE_OUT}, {PHASE_KPI} FROM p
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY {_phase_order("e")}, {_phase_order("s")}) = 1""",
+    "q_stream_correlated": f"""WITH {EVENT_MS_SQL},{_sides('', 'TRUE')}
+        SELECT {S_COLS}, {E_COLS} FROM c""",
+    "q_stream_documents": f"""{JOB},{DAILY} SELECT {DOCS}, doc_date, target FROM dd
+        QUALIFY row_number() OVER (PARTITION BY doc_date, id ORDER BY {DOC_ORDER}) = 1""",
+    "q_stream_pending": f"""{JOB} SELECT {S_COLS} FROM pending
+        WHERE NOT EXISTS (SELECT 1 FROM orphans WHERE {SAME_KEY})
+        UNION ALL SELECT {S_COLS} FROM c2 WHERE e_here IS NULL""",
+    "q_stream_alarms": f"""{_alarms(1000, JOB, "batch_id")} SELECT * FROM alarms""",
+    "q_stream_phases": f"""WITH {EVENT_MS_SQL},{RULES},{_measured_sql(
+        f"AND (a.timestamp < {CUT}) = (b.timestamp < {CUT})")}
+        SELECT {PHASE_OUT}, {PHASE_KPI} FROM p
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY {_phase_order("e")}, {_phase_order("s")}) = 1""",
 }

@@ -19,6 +19,7 @@ SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 LOCAL_SETTINGS = {
     "spark.driver.bindAddress": "127.0.0.1",

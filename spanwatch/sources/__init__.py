@@ -1,8 +1,11 @@
 from spanwatch.sources.events import (
     EventBatch,
     parse_events,
+    parse_records,
+    raw_file_records,
     raw_records,
     read_values,
+    split_parsed,
     stream_values,
 )
 from spanwatch.sources.pending import PendingStore
@@ -12,8 +15,11 @@ __all__ = [
     "EventBatch",
     "PendingStore",
     "parse_events",
+    "parse_records",
+    "raw_file_records",
     "raw_records",
     "read_rules",
     "read_values",
+    "split_parsed",
     "stream_values",
 ]

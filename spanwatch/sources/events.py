@@ -77,7 +77,8 @@ def _event_time(text: Column) -> Column:
     ).when(text.rlike(r"^\d{4}-"), F.try_to_timestamp(iso))
 
 
-def _parsed(values: DataFrame) -> DataFrame:
+def parse_records(values: DataFrame) -> DataFrame:
+    """Message values as event columns, with the text and the ``reason`` of a reject (else null)."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     record = values.select("value", F.from_json("value", RAW_SCHEMA, options).alias("r"))
     columns, bad_number = [], F.lit(False)
@@ -104,14 +105,17 @@ def _parsed(values: DataFrame) -> DataFrame:
     return record.select(*columns, "value", reason.alias("reason"))
 
 
+def split_parsed(parsed: DataFrame) -> EventBatch:
+    return EventBatch(
+        parsed.where("reason IS NULL").drop("value", "reason"),
+        parsed.where("reason IS NOT NULL").select("value", "reason"),
+    )
+
+
 def parse_events(values: DataFrame) -> EventBatch:
     """Split message values into event records and rejects (``value``, ``reason``).
 
     One bad record never fails the job. A record is rejected when it is not a JSON
     object, when a number is none, or when it has no usable time.
     """
-    parsed = _parsed(values)
-    return EventBatch(
-        parsed.where("reason IS NULL").drop("value", "reason"),
-        parsed.where("reason IS NOT NULL").select("value", "reason"),
-    )
+    return split_parsed(parse_records(values))
