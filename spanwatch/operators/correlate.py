@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from spanwatch.operators.matching import (
     KEY_HASH,
+    complete,
     expand_matches,
     join_key_counts,
     key_counts,
-    with_key_hash,
+    keyed,
+    keyed_or_spread,
     with_matches,
     without_match,
 )
@@ -44,17 +46,24 @@ def finished_columns() -> list:
 def correlated(events: DataFrame) -> DataFrame:
     """Full outer join of starts and ends: one row per pair, open start and orphan end.
 
-    Adaptive execution cannot split a skewed full outer join, so this is a left
-    outer join, which it can split, together with the ends that have no start.
+    Adaptive execution cannot split a skewed full outer join. So the pairs come from
+    an inner join, which it can split on either side, and the unmatched rows from
+    anti joins that reuse the inner join's shuffles. Null keys are not shuffled.
     """
     s, e = starts(events), ends(events)
+    keyed_s, keyed_e = keyed(s, START_KEYS), keyed(e, END_KEYS)
     same_key = reduce(and_, (F.col(a) == F.col(b) for a, b in zip(START_KEYS, END_KEYS)))
-    hashed = e.withColumn("_hash", F.xxhash64(*END_KEYS))
-    paired = with_key_hash(s, START_KEYS).join(
-        hashed, same_key & (F.col(KEY_HASH) == F.col("_hash")), "left_outer"
-    )
-    orphans = without_match(e, END_KEYS, s, START_KEYS)
-    return paired.select(*START_COLUMNS, *END_COLUMNS).unionByName(orphans, allowMissingColumns=True)
+    pairs = keyed_s.join(
+        keyed_e.withColumnRenamed(KEY_HASH, "_hash"), same_key & (F.col(KEY_HASH) == F.col("_hash"))
+    ).select(*START_COLUMNS, *END_COLUMNS)
+    here = F.count(F.lit(1))
+    unmatched = [
+        join_key_counts(keyed_s, START_KEYS, key_counts(e, END_KEYS, _n=here), "left_anti"),
+        join_key_counts(keyed_e, END_KEYS, key_counts(s, START_KEYS, _n=here), "left_anti"),
+        s.where(~complete(START_KEYS)),
+        e.where(~complete(END_KEYS)),
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), unmatched, pairs)
 
 
 def starts_without_end(events: DataFrame) -> DataFrame:
@@ -93,7 +102,7 @@ def classify(events: DataFrame) -> DataFrame:
     counts = key_counts(
         activities, PAIR_KEYS, _starts=F.count_if(is_start), _ends=F.count_if(~is_start)
     )
-    rows = join_key_counts(activities, PAIR_KEYS, counts, "left_outer")
+    rows = join_key_counts(keyed_or_spread(activities, PAIR_KEYS), PAIR_KEYS, counts, "left_outer")
     matches = F.coalesce(F.when(is_start, F.col("_ends")).otherwise(F.col("_starts")), F.lit(0))
     return rows.withColumn("matches", matches.cast("bigint")).drop("_starts", "_ends")
 

@@ -24,14 +24,19 @@ def complete(keys: list[str]) -> Column:
     return _all(F.col(k).isNotNull() for k in keys)
 
 
-def with_key_hash(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Add the hash of the keys as one more join key.
+def keyed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key is complete, with the hash of the key as one more join key.
 
-    It is equal wherever the keys are, so it changes no match. It does two things:
-    rows with a null key, which match nothing, are spread over all partitions and
-    not sent to one; and the counted side is shuffled once more, which adaptive
-    execution needs on both sides in order to split a skewed partition.
+    The hash is equal wherever the keys are, so it changes no match. It makes the
+    counted side be shuffled once more: adaptive execution can split a skewed
+    partition only where both inputs of the join come straight from a shuffle.
     """
+    return rows.where(complete(keys)).withColumn(KEY_HASH, F.xxhash64(*keys))
+
+
+def keyed_or_spread(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows. Those with a null key match nothing and get a hash of their own, which
+    spreads them, copies included, over all partitions and not into a single one."""
     spread = F.xxhash64(F.spark_partition_id(), *rows.columns)
     return rows.withColumn(KEY_HASH, F.when(complete(keys), F.xxhash64(*keys)).otherwise(spread))
 
@@ -43,27 +48,25 @@ def key_counts(rows: DataFrame, keys: list[str], **aggregates: Column) -> DataFr
     return rows.where(complete(keys)).groupBy(*named).agg(*totals)
 
 
-def join_key_counts(rows: DataFrame, keys: list[str], counts: DataFrame, how: str) -> DataFrame:
-    """Join rows to the ``key_counts`` of a side; the helper columns are dropped."""
+def join_key_counts(hashed: DataFrame, keys: list[str], counts: DataFrame, how: str) -> DataFrame:
+    """Join ``keyed`` rows to the ``key_counts`` of a side; the helper columns are dropped."""
     names = [f"_k{i}" for i in range(len(keys))]
-    if how == "inner":
-        rows = rows.where(complete(keys)).withColumn(KEY_HASH, F.xxhash64(*keys))
-    else:
-        rows = with_key_hash(rows, keys)
     same_key = _all(F.col(k) == F.col(n) for k, n in zip(keys, names))
-    hashed = counts.withColumn("_hash", F.xxhash64(*names))
-    joined = rows.join(hashed, same_key & (F.col(KEY_HASH) == F.col("_hash")), how)
+    counts = counts.withColumn("_hash", F.xxhash64(*names))
+    joined = hashed.join(counts, same_key & (F.col(KEY_HASH) == F.col("_hash")), how)
     return joined.drop(*names, KEY_HASH, "_hash")
 
 
 def without_match(rows: DataFrame, keys: list[str], other: DataFrame, other_keys: list[str]) -> DataFrame:
     """Rows whose key the other side does not have."""
-    return join_key_counts(rows, keys, key_counts(other, other_keys, _n=F.count(F.lit(1))), "left_anti")
+    counts = key_counts(other, other_keys, _n=F.count(F.lit(1)))
+    return join_key_counts(keyed_or_spread(rows, keys), keys, counts, "left_anti")
 
 
 def with_matches(rows: DataFrame, keys: list[str], other: DataFrame, other_keys: list[str]) -> DataFrame:
     """Rows whose key the other side has, once each, with the number of ``matches``."""
-    return join_key_counts(rows, keys, key_counts(other, other_keys, matches=F.count(F.lit(1))), "inner")
+    counts = key_counts(other, other_keys, matches=F.count(F.lit(1)))
+    return join_key_counts(keyed(rows, keys), keys, counts, "inner")
 
 
 def expand_matches(rows: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from spanwatch.schema import (
     TRACE_KEY,
     prefixed,
 )
-from spanwatch.session import work_dir
+from spanwatch.session import stateful_session, work_dir
 from spanwatch.sources import PendingStore, parse_events, raw_records, stream_values
 from spanwatch.sources.tables import (
     activity_events,
@@ -334,9 +334,11 @@ def _late_sentinels(spark) -> DataFrame:
 def q_stream_correlated(spark, sf_dir):
     """The streaming join over both parts, restarted from its checkpoint for each."""
     root = work_dir(spark, "join")
-    for part in [*_slices(spark, sf_dir), _late_sentinels(spark)]:
+    first, second = _slices(spark, sf_dir)
+    own = stateful_session(spark)
+    for part in (first, second.union(_late_sentinels(spark))):
         part.write.mode("append").text(f"{root}/in")
-        events, _ = parse_events(stream_values(spark, f"{root}/in"))
+        events, _ = parse_events(stream_values(own, f"{root}/in"))
         query = (
             stream_correlated(events, max_gap="60 days")
             .writeStream.format("parquet")

@@ -10,8 +10,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A sorted join becomes a hash join where every build partition is below this size.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # A sorted join becomes a hash join where every build partition is below this size;
+    # Spark asks that it is not below the advisory partition size.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     # Join state goes to local RocksDB files with a change log, not to the heap.
@@ -50,6 +51,21 @@ def build_session(app: str = "spanwatch", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
+def stateful_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session of the same application for a stateful stream.
+
+    Such a stream keeps its number of state partitions for life, and each costs a
+    commit per batch, so it is set for the stream alone: by default one per core.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.shuffle.partitions", partitions or spark.sparkContext.defaultParallelism)
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.streaming."):
+            own.conf.set(key, value)
+    return own
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder path for tables a job writes and reads back.
 

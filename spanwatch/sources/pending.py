@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanwatch.operators.matching import join_key_counts, key_counts
+from spanwatch.operators.matching import join_key_counts, key_counts, keyed_or_spread
 from spanwatch.operators.pending import resolved_keys
 from spanwatch.schema import PENDING_SCHEMA, START_KEYS
 
@@ -58,7 +58,7 @@ class PendingStore:
             opened = base.unionByName(opened)
         resolved = read_or_empty(self.spark, f"{self.root}/resolved", _RESOLVED).where(in_range)
         last = key_counts(resolved, START_KEYS, _last=F.max(BATCH))
-        joined = join_key_counts(opened, START_KEYS, last, "left_outer")
+        joined = join_key_counts(keyed_or_spread(opened, START_KEYS), START_KEYS, last, "left_outer")
         return joined.where(F.col("_last").isNull() | (F.col("_last") <= F.col(BATCH))).drop("_last")
 
     def read(self, before: int | None = None) -> DataFrame:

@@ -1,0 +1,103 @@
+from collections import Counter
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from spanwatch import operators as op
+from spanwatch.schema import END_COLUMNS, START_COLUMNS
+from tests.conftest import at
+
+
+def sizes(events):
+    return (
+        op.finished_events(events).count(),
+        op.starts_without_end(events).count(),
+        op.ends_without_start(events).count(),
+    )
+
+
+def test_pair(make_events):
+    assert sizes(make_events(("START", "t"), ("END", "t"))) == (1, 0, 0)
+
+
+def test_duplicates_multiply(make_events):
+    events = make_events(*[("START", "t")] * 2, *[("END", "t")] * 2)
+    assert sizes(events) == (4, 0, 0)
+    assert op.correlated(events).count() == 4
+    assert [r.matches for r in op.finished(events).collect()] == [2, 2]
+
+
+def test_null_keys_match_nothing(make_events):
+    for column in ("businessProcessName", "businessProcessActivityId"):
+        events = make_events(("START", "t", {column: None}), ("END", "t", {column: None}))
+        assert sizes(events) == (0, 1, 1)
+    events = make_events(("START", None), ("END", None), ("START", None, {"payload": None}))
+    assert sizes(events) == (0, 2, 1)
+    assert op.correlated(events).count() == 3
+
+
+def test_open_orphan_and_other_activity(make_events):
+    assert sizes(make_events(("START", "t2"), ("END", "t3"))) == (0, 1, 1)
+    events = make_events(("START", "t"), ("END", "t", {"businessProcessActivityId": "b"}))
+    assert sizes(events) == (0, 1, 1)
+
+
+def test_end_before_start_matches(make_events):
+    events = make_events(("START", "t"), ("END", "t", {"timestamp": at("2023-01-01T00:00:00")}))
+    assert sizes(events) == (1, 0, 0)
+
+
+def test_missing_time_is_no_sign_of_a_missing_side(make_events):
+    events = make_events(("START", "t", {"timestamp": None}), ("END", "t", {"timestamp": None}))
+    assert sizes(events) == (1, 0, 0)
+
+
+def test_other_event_types_are_in_neither_side(make_events):
+    events = make_events(("X", "t"), ("START", "t", {"eventType": None}))
+    assert sizes(events) == (0, 0, 0)
+    assert op.classify(events).count() == 0
+
+
+def test_columns(make_events):
+    events = make_events(("START", "t"))
+    assert op.correlated(events).columns == START_COLUMNS + END_COLUMNS
+    assert op.open_side(op.classify(events)).columns == START_COLUMNS
+    assert op.orphan_side(op.classify(events)).columns == END_COLUMNS
+
+
+def test_many_matches_are_repeated_in_full(spark):
+    rows = spark.sql("SELECT 'x' AS v, 2500L AS matches UNION ALL SELECT 'y', 1000L UNION ALL SELECT 'z', 1L")
+    expanded = op.expand_matches(rows)
+    assert expanded.columns == ["v"]
+    assert {r.v: r["count"] for r in expanded.groupBy("v").count().collect()} == {
+        "x": 2500, "y": 1000, "z": 1,
+    }
+
+
+event = st.tuples(
+    st.sampled_from(["START", "END", "OTHER"]), st.sampled_from(["t1", "t2", "t3", None]),
+    st.fixed_dictionaries({"businessProcessActivityId": st.sampled_from(["a", "b", None])}),
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(event, max_size=25))
+def test_against_brute_force(make_events, rows):
+    """Counts, pairs and classes of any small set of events, worked out by hand."""
+    starts = Counter((r[1], r[2]["businessProcessActivityId"]) for r in rows if r[0] == "START")
+    ends = Counter((r[1], r[2]["businessProcessActivityId"]) for r in rows if r[0] == "END")
+
+    def partner(key, other):
+        return other[key] if None not in key else 0
+
+    finished = sum(n * partner(k, starts) for k, n in ends.items())
+    open_ = sum(n for k, n in starts.items() if not partner(k, ends))
+    orphan = sum(n for k, n in ends.items() if not partner(k, starts))
+    events = make_events(*rows)
+    assert sizes(events) == (finished, open_, orphan)
+    assert op.correlated(events).count() == finished + open_ + orphan
+    classified = op.classify(events)
+    assert op.open_side(classified).count() == open_
+    assert op.orphan_side(classified).count() == orphan
+    assert sum(r.matches for r in op.finished_side(classified).collect()) == finished
+    assert sum(r["count"] for r in op.pair_counts(events).collect()) == finished

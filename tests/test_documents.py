@@ -1,0 +1,116 @@
+from spanwatch import operators as op
+from spanwatch.functions import document_id, fill_template, iso_utc, millis_between
+from pyspark.sql import functions as F
+from tests.conftest import at
+
+
+def docs_of(events, **options):
+    return op.documents(op.finished(events), **options)
+
+
+def test_kpi_is_strict(make_events):
+    events = make_events(
+        ("START", "t6"), ("END", "t6", {"durationInMillis": 5000}),
+        ("START", "t7"), ("END", "t7", {"durationInMillis": 5001}),
+        ("START", "t8"), ("END", "t8"),
+    )
+    rows = op.with_kpi(op.finished(events)).collect()
+    assert {r.spp_trace_wf_id: (r.kpiStatusText, r.kpiStatusValue) for r in rows} == {
+        "t6": ("OK", 0), "t7": ("NOK", 1), "t8": ("OK", 0),
+    }
+    assert op.violations(op.with_kpi(op.finished(events), threshold=4999)).count() == 2
+
+
+def test_payload_is_rebuilt(make_events):
+    payload = {"spp_trace_wf_id": "t", "ipCheckResult": "YES", "other": "lost"}
+    events = make_events(("START", "t"), ("END", "t", {"durationInMillis": 6000, "payload": payload}))
+    [doc] = docs_of(events).collect()
+    assert doc.payload == {
+        "spp_trace_wf_id": "t", "ipCheckResult": "YES", "kpiThresholdValue": "5000",
+        "kpiStatusText": "NOK", "kpiStatusValue": "1",
+    }
+    assert doc.documentType == "correlated_event"
+    events = make_events(("START", "t"), ("END", "t"))
+    [doc] = docs_of(events).collect()
+    assert doc.payload["ipCheckResult"] is None and len(doc.payload) == 5
+
+
+def test_id_skips_a_null_name(make_events):
+    events = make_events(
+        ("START", "t"), ("END", "t"), ("END", "t", {"businessProcessActivityName": "n"})
+    )
+    assert {d.id for d in docs_of(events).collect()} == {"p_t", "p_n_t"}
+
+
+def test_source_zone(make_events):
+    events = make_events(("START", "t"), ("END", "t"))
+    [doc] = docs_of(events, source_tz="Europe/Berlin").collect()
+    assert doc["@timestamp"] == at("2024-01-01T09:00:00").replace(tzinfo=None)
+
+
+def test_latest_version_wins_with_a_total_order(make_events):
+    def end(**more):
+        return ("END", "t", more)
+
+    newer, older = at("2024-01-01T11:00:00"), at("2024-01-01T10:00:00")
+    rows = [
+        end(timestamp=older, durationInMillis=9),
+        end(timestamp=newer, durationInMillis=1, technicalOrigin="b"),
+        end(timestamp=newer, durationInMillis=2, technicalOrigin="b"),
+        end(timestamp=newer, durationInMillis=2, technicalOrigin="a"),
+        end(timestamp=newer, durationInMillis=2, technicalOrigin=None),
+    ]
+    for order in (rows, rows[::-1]):
+        [doc] = op.latest_documents(docs_of(make_events(("START", "t"), *order))).collect()
+        assert (doc.durationInMillis, doc.technicalOrigin) == (2, "a")
+
+
+def test_daily_documents_keep_one_version_per_day(make_events):
+    events = make_events(
+        ("START", "t"),
+        ("END", "t", {"timestamp": at("2024-01-01T23:59:59.999")}),
+        ("END", "t", {"timestamp": at("2024-01-02T00:00:00")}),
+        ("END", "t", {"timestamp": at("2024-01-02T01:00:00")}),
+    )
+    rows = op.daily_documents(docs_of(events)).collect()
+    assert sorted(r.target for r in rows) == ["bam-2024.01.01", "bam-2024.01.02"]
+
+
+def test_expressions(spark):
+    row = spark.range(1).select(
+        iso_utc(F.lit("2024-01-01 10:00:00.1234").cast("timestamp")).alias("iso"),
+        document_id(F.lit("p"), F.lit(None).cast("string"), F.lit("t")).alias("id"),
+        millis_between(
+            F.lit("2024-01-01 00:00:00.0009").cast("timestamp"),
+            F.lit("2024-01-01 00:00:00.0010").cast("timestamp"),
+        ).alias("ms"),
+        fill_template("#!a# #!b# #!a#", {"a": F.lit("$1\\"), "b": F.lit(None)}).alias("text"),
+    ).first()
+    assert tuple(row) == ("2024-01-01T10:00:00.123Z", "p_t", 1, "$1\\  $1\\")
+
+
+def test_alarms_list_every_violation(make_events):
+    slow = {"durationInMillis": 6000}
+    rows = [("START", f"t{i}") for i in range(50)] + [("END", f"t{i}", slow) for i in range(50)]
+    rows += [("START", "t0"), ("END", "quick"), ("START", "quick")]
+    alarms = op.alarms(docs_of(make_events(*rows)), page_ids=5).collect()
+    assert {a.pages for a in alarms} == {10} and 5 < len(alarms) <= 10
+    listed = [i for a in alarms for i in a.processInstanceIds.split(" ")]
+    assert sorted(listed) == sorted(f"p_t{i}" for i in range(50))
+    assert sum(a.violations for a in alarms) == 51 == alarms[0].allViolations
+    counts = {i: n for a in alarms for i, n in zip(a.processInstanceIds.split(), a.occurrences.split())}
+    assert counts["p_t0"] == "2" and counts["p_t1"] == "1"
+    assert op.alarm_ids(docs_of(make_events(*rows))).count() == 51
+
+
+def test_alarm_message(make_events):
+    slow = {"durationInMillis": 6000, "businessProcessName": "p$1\\"}
+    events = make_events(("START", "t", slow), ("END", "t", slow))
+    [row] = op.alarm_messages(op.alarms(docs_of(events))).collect()
+    assert row.subject == "[BAM, alarm!] for Process Name [p$1\\]"
+    lines = row.message.split("\n")
+    assert lines[0] == f"Subject: {row.subject}"
+    assert "Ids                  : p$1\\_t" in lines
+    assert "KPI Threshold Limit  : 5000" in lines
+    assert "Activity Name        : " in lines
+    assert "#!" not in row.message
