@@ -35,9 +35,9 @@ def keyed(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def keyed_or_spread(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """All rows. Those with a null key match nothing and get a hash of their own, which
-    spreads them, copies included, over all partitions and not into a single one."""
-    spread = F.xxhash64(F.spark_partition_id(), *rows.columns)
+    """All rows. Those with a null key match nothing; their hash depends on the task that
+    reads them, which spreads them, copies included, and needs no further column."""
+    spread = F.xxhash64(F.spark_partition_id(), *keys)
     return rows.withColumn(KEY_HASH, F.when(complete(keys), F.xxhash64(*keys)).otherwise(spread))
 
 
