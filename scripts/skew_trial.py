@@ -1,8 +1,9 @@
-"""Time the operators on a table where one key holds a third of all rows.
+"""Time the operators on a table where one key holds a third of all rows, or on an even one.
 
-    python scripts/skew_trial.py ROWS WORK_DIR [NAME ...]
+    python scripts/skew_trial.py hot|even ROWS WORK_DIR [NAME ...]
 
-A third of the events carry one trace, a sixth carry none, the rest come in pairs.
+In the hot table a third of the events carry one trace, a sixth carry none, the rest
+come in pairs. In the even table all come in pairs.
 WORK_DIR gets the table once and is used again by later runs. Broadcasts are off,
 as they would be at a size where no side fits.
 """
@@ -16,13 +17,14 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), ".."
 from pyspark.sql import functions as F  # noqa: E402
 
 from spanwatch import operators as op  # noqa: E402
+from spanwatch.operators.correlate import finished_columns  # noqa: E402
 from spanwatch.schema import ACTIVITY_END, ACTIVITY_START, END_KEYS, START_KEYS  # noqa: E402
 from spanwatch.session import build_session  # noqa: E402
 
 
-def skewed_events(spark, rows):
+def skewed_events(spark, rows, even):
     i = F.col("id")
-    hot, unkeyed = i % 6 < 2, i % 6 == 2
+    hot, unkeyed = (F.lit(False), F.lit(False)) if even else (i % 6 < 2, i % 6 == 2)
     pair = F.when(hot, F.lit("hot")).when(unkeyed, None).otherwise(F.sha1((i / 12).cast("bigint").cast("string")))
     process = F.when(hot, F.lit("process-0")).otherwise(F.concat(F.lit("process-"), (i % 7).cast("string")))
     spread = F.xxhash64(i)
@@ -44,13 +46,19 @@ def skewed_events(spark, rows):
     )
 
 
-def reference_shape(events):
-    """One full outer join, then classes by filter: the plan to compare with."""
+def full_outer(events):
+    """All pairs by one full outer join, for comparison; a hot key is beyond it."""
     s, e = op.starts(events), op.ends(events)
     same = [F.col(a) == F.col(b) for a, b in zip(START_KEYS, END_KEYS)]
     return s.join(e, same, "full_outer")
 
 
+def ranked_full_outer(events):
+    """Latest documents by way of the full outer join."""
+    pairs = full_outer(events).where("sEventType IS NOT NULL AND eEventType IS NOT NULL")
+    return op.latest_documents(op.documents(pairs.select(*finished_columns())))
+
+
 TRIALS = {
     "starts_without_end": op.starts_without_end,
     "finished": op.finished,
@@ -61,19 +69,25 @@ TRIALS = {
         op.pair_counts(ev), "businessProcessName", "spp_trace_wf_id", weight="count"
     ),
 }
+EVEN_TRIALS = {
+    **TRIALS,
+    "correlated": op.correlated,
+    "full_outer": full_outer,
+    "ranked_full_outer": ranked_full_outer,
+}
 
 
-def main(rows, work, *wanted):
+def main(kind, rows, work, *wanted):
     spark = build_session(
         "skew", "local[8]", spark__driver__memory="16g", spark__sql__shuffle__partitions="64",
         spark__sql__autoBroadcastJoinThreshold="-1",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    path = f"{work}/skewed-{rows}"
+    path = f"{work}/{kind}-{rows}"
     if not os.path.exists(f"{path}/_SUCCESS"):
-        skewed_events(spark, int(rows)).write.mode("overwrite").parquet(path)
+        skewed_events(spark, int(rows), kind == "even").write.mode("overwrite").parquet(path)
     events = spark.read.parquet(path)
-    for name, trial in TRIALS.items():
+    for name, trial in (EVEN_TRIALS if kind == "even" else TRIALS).items():
         if wanted and name not in wanted:
             continue
         df = trial(events)

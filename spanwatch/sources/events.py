@@ -68,22 +68,28 @@ def _whole(text: Column, type_name: str) -> Column:
 def _event_time(text: Column) -> Column:
     """Digits are epoch milliseconds; other text is ISO-8601, in UTC unless it names an offset."""
     text = F.trim(text)
-    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(text, F.lit("T00:00:00Z"))).otherwise(
-        F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    dated = F.substring(text, 5, 1) == "-"
+    offset = F.regexp_replace(text, r"(T.*[+-]\d{2})(\d{2})$", "$1:$2")
+    clock = F.regexp_replace(offset, r"(T[0-9:.]+)$", "$1Z")
+    iso = F.regexp_replace(clock, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00Z")
+    # The first case is the usual form and needs no pattern.
+    return (
+        F.when(dated & text.endswith("Z"), F.try_to_timestamp(text))
+        .when(dated, F.try_to_timestamp(iso))
+        .when(text.rlike(r"^-?\d{1,15}$"), F.timestamp_millis(text.try_cast("bigint")))
     )
-    iso = F.when(iso.rlike(r"(Z|[+-]\d{2}:\d{2})$"), iso).otherwise(F.concat(iso, F.lit("Z")))
-    return F.when(
-        text.rlike(r"^-?\d{1,15}$"), F.timestamp_millis(text.try_cast("bigint"))
-    ).when(text.rlike(r"^\d{4}-"), F.try_to_timestamp(iso))
 
 
 def parse_records(values: DataFrame) -> DataFrame:
     """Message values as event columns, with the text and the ``reason`` of a reject (else null)."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    record = values.select("value", F.from_json("value", RAW_SCHEMA, options).alias("r"))
+    # As a generator the parser runs once per record. As a plain column it would be
+    # copied into every filter on the fields that is pushed below it.
+    fields = F.inline(F.array(F.from_json("value", RAW_SCHEMA, options)))
+    record = values.select("value", fields)
     columns, bad_number = [], F.lit(False)
     for name, json_name, data_type in EVENT_FIELDS:
-        field = F.col(f"r.`{json_name}`")
+        field = F.col(f"`{json_name}`")
         if isinstance(data_type, (T.IntegerType, T.LongType)):
             number = _whole(field, data_type.simpleString())
             bad_number = bad_number | (field.isNotNull() & number.isNull())
@@ -93,14 +99,13 @@ def parse_records(values: DataFrame) -> DataFrame:
         columns.append(field.alias(name))
     malformed = (
         F.col("value").isNull()
-        | ~F.col("value").rlike(r"^\s*\{")
-        | F.col("r").isNull()
-        | F.col(f"r.{CORRUPT}").isNotNull()
+        | ~F.ltrim(F.col("value"), F.lit(" \t\r\n")).startswith("{")
+        | F.col(CORRUPT).isNotNull()
     )
     reason = (
         F.when(malformed, "malformed")
         .when(bad_number, "number")
-        .when(_event_time(F.col("r.`@timestamp`")).isNull(), "timestamp")
+        .when(_event_time(F.col("`@timestamp`")).isNull(), "timestamp")
     )
     return record.select(*columns, "value", reason.alias("reason"))
 

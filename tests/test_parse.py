@@ -38,6 +38,11 @@ def test_absent_fields_take_their_defaults(spark):
     assert (row.version, row.durationInMillis, row.payload, row.eventType) == (0, 0, None, None)
 
 
+def test_white_space_around_a_record(spark):
+    rows, rejects = parse(spark, "\t\r\n " + message() + " \n")
+    assert len(rows) == 1 and rejects == {}
+
+
 def test_unknown_field_is_ignored(spark):
     rows, rejects = parse(spark, message(other={"x": 1}))
     assert len(rows) == 1 and rejects == {}
