@@ -301,7 +301,7 @@ def q_stream_documents(spark, sf_dir):
 
 
 def q_stream_pending(spark, sf_dir):
-    return _ntz(PendingStore(spark, f"{_run_correlation(spark, sf_dir)}/pending").read(), "sTimestamp")
+    return _ntz(PendingStore(spark, f"{_run_correlation(spark, sf_dir)}/pending").read(before=2), "sTimestamp")
 
 
 def q_stream_alarms(spark, sf_dir):

@@ -10,11 +10,10 @@ from spanwatch.operators.pending import resolved_keys
 from spanwatch.schema import PENDING_SCHEMA, START_KEYS
 
 BATCH = "batch_id"
-_OPENED = T.StructType([*PENDING_SCHEMA, T.StructField(BATCH, T.LongType())])
-_RESOLVED = T.StructType(
-    [*[T.StructField(k, T.StringType()) for k in START_KEYS], T.StructField(BATCH, T.LongType())]
-)
-_COMPACTED = T.StructType([T.StructField("upto", T.LongType())])
+EPOCH_BATCHES = 100
+_BATCH_FIELD = T.StructField(BATCH, T.LongType())
+_OPENED = T.StructType([*PENDING_SCHEMA, _BATCH_FIELD])
+_RESOLVED = T.StructType([*[PENDING_SCHEMA[k] for k in START_KEYS], _BATCH_FIELD])
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -33,48 +32,46 @@ class PendingStore:
     A batch only ever writes its own folders and overwrites them when it is run
     again, so a retry leaves the same state. A key resolved in a batch closes the
     starts of earlier batches; a start that comes later is open again.
-    ``compact`` writes the state down whole, after which reads skip the older folders.
+
+    Every ``epoch_batches`` batches the whole state is written as the base of the
+    next epoch, so a read lists and reads one base and the logs of one epoch only.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, epoch_batches: int = EPOCH_BATCHES):
         self.spark = spark
         self.root = root
+        self.epoch_batches = epoch_batches
+
+    def _folder(self, log: str, batch_id: int) -> str:
+        return f"{self.root}/{log}/epoch={batch_id // self.epoch_batches}"
+
+    def _state(self, epoch: int, before: int) -> DataFrame:
+        """Open starts with their batch, from the base and the logs of an epoch."""
 
-    def _compacted_upto(self, before: int | None) -> int:
-        done = read_or_empty(self.spark, f"{self.root}/compactions", _COMPACTED)
-        if before is not None:
-            done = done.where(F.col("upto") < before)
-        upto = done.agg(F.max("upto")).first()[0]
-        return -1 if upto is None else upto
-
-    def _with_batches(self, before: int | None) -> DataFrame:
-        upto = self._compacted_upto(before)
-        in_range = F.col(BATCH) > upto
-        if before is not None:
-            in_range &= F.col(BATCH) < before
-        opened = read_or_empty(self.spark, f"{self.root}/opened", _OPENED).where(in_range)
-        if upto >= 0:
-            base = read_or_empty(self.spark, f"{self.root}/base/upto={upto}", _OPENED)
-            opened = base.unionByName(opened)
-        resolved = read_or_empty(self.spark, f"{self.root}/resolved", _RESOLVED).where(in_range)
-        last = key_counts(resolved, START_KEYS, _last=F.max(BATCH))
+        def read(log: str, schema: T.StructType) -> DataFrame:
+            rows = read_or_empty(self.spark, f"{self.root}/{log}/epoch={epoch}", schema)
+            return rows.where(F.col(BATCH) < before)
+
+        opened = read("base", _OPENED).unionByName(read("opened", _OPENED))
+        last = key_counts(read("resolved", _RESOLVED), START_KEYS, _last=F.max(BATCH))
         joined = join_key_counts(keyed_or_spread(opened, START_KEYS), START_KEYS, last, "left_outer")
         return joined.where(F.col("_last").isNull() | (F.col("_last") <= F.col(BATCH))).drop("_last")
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """Starts that are open, as of the beginning of batch ``before``."""
-        return self._with_batches(before).drop(BATCH)
+    def read(self, before: int) -> DataFrame:
+        """Starts that are open when batch ``before`` begins."""
+        return self._state(before // self.epoch_batches, before).drop(BATCH)
 
     def append_open(self, batch_id: int, open_starts: DataFrame) -> None:
-        open_starts.write.mode("overwrite").parquet(f"{self.root}/opened/{BATCH}={batch_id}")
+        path = f"{self._folder('opened', batch_id)}/{BATCH}={batch_id}"
+        open_starts.write.mode("overwrite").parquet(path)
 
     def mark_resolved(self, batch_id: int, pending: DataFrame, orphans: DataFrame) -> None:
-        keys = resolved_keys(pending, orphans)
-        keys.write.mode("overwrite").parquet(f"{self.root}/resolved/{BATCH}={batch_id}")
-
-    def compact(self, upto: int) -> None:
-        """Write the state after batch ``upto``; the entry in ``compactions`` makes it valid."""
-        state = self._with_batches(upto + 1)
-        state.write.mode("overwrite").parquet(f"{self.root}/base/upto={upto}")
-        entry = self.spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
-        entry.write.mode("append").parquet(f"{self.root}/compactions")
+        path = f"{self._folder('resolved', batch_id)}/{BATCH}={batch_id}"
+        resolved_keys(pending, orphans).write.mode("overwrite").parquet(path)
+
+    def close_epoch(self, batch_id: int) -> None:
+        """After the last batch of an epoch, write the state as the base of the next."""
+        after = batch_id + 1
+        if after % self.epoch_batches == 0:
+            state = self._state(batch_id // self.epoch_batches, after)
+            state.write.mode("overwrite").parquet(self._folder("base", after))

@@ -2,30 +2,39 @@
 
 Each micro-batch is a set of ordinary batch queries, so adaptive execution sizes
 partitions and splits skewed keys as in a batch job. All output of a batch lies in
-folders named by its ``batch_id`` and is overwritten when the batch is run again.
+folders named by its ``batch_id``, which are overwritten when the batch is run again.
 """
 
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spanwatch import operators as op
 from spanwatch.operators.documents import DOCUMENT_COLUMNS, KPI_THRESHOLD
 from spanwatch.operators.phases import latest_of
 from spanwatch.sources.events import parse_records, split_parsed
-from spanwatch.sources.pending import BATCH, PendingStore
+from spanwatch.sources.pending import BATCH, EPOCH_BATCHES, PendingStore
 
 TRIGGER = "60 seconds"
 Batch = Callable[[DataFrame, int], None]
 
 
-def _write(rows: DataFrame, root: str, table: str, batch_id: int, fmt: str, *partitions: str) -> None:
-    path = f"{root}/{table}/{BATCH}={batch_id}"
-    rows.write.format(fmt).mode("overwrite").partitionBy(*partitions).save(path)
+def _write(rows: DataFrame, root: str, table: str, batch_id: int, fmt: str) -> None:
+    rows.write.format(fmt).mode("overwrite").save(f"{root}/{table}/{BATCH}={batch_id}")
 
 
-def correlation_batch(root: str, threshold: int = KPI_THRESHOLD, fmt: str = "parquet") -> Batch:
+def _write_daily(docs: DataFrame, root: str, batch_id: int, fmt: str) -> None:
+    """Add the batch's folder to each day it has documents for; even a day that holds
+    most of the rows is spread over several files (rebalance)."""
+    rows = docs.withColumn(BATCH, F.lit(batch_id)).hint("rebalance", "doc_date")
+    writer = rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("doc_date", BATCH).save(f"{root}/documents")
+
+
+def correlation_batch(root: str, threshold: int = KPI_THRESHOLD, fmt: str = "parquet",
+                      epoch_batches: int = EPOCH_BATCHES) -> Batch:
     """What one micro-batch of message values does.
 
     Finished documents (``documents``, by day), ``alarms``, ``orphans`` and
@@ -34,8 +43,7 @@ def correlation_batch(root: str, threshold: int = KPI_THRESHOLD, fmt: str = "par
     """
 
     def run(values: DataFrame, batch_id: int) -> None:
-        spark = values.sparkSession
-        store = PendingStore(spark, f"{root}/pending")
+        store = PendingStore(values.sparkSession, f"{root}/pending", epoch_batches)
         parsed = parse_records(values).persist()
         events, rejects = split_parsed(parsed)
         classified = op.classify(events).persist()
@@ -44,13 +52,13 @@ def correlation_batch(root: str, threshold: int = KPI_THRESHOLD, fmt: str = "par
         done = op.finished_side(classified).unionByName(op.resolve_pending(pending, orphans))
         docs = op.documents(done, threshold).persist()
         try:
-            _write(rejects, root, "rejects", batch_id, fmt)
+            _write(rejects.hint("rebalance"), root, "rejects", batch_id, fmt)
             store.append_open(batch_id, op.open_side(classified))
-            daily = op.daily_documents(docs)
-            _write(daily.hint("rebalance", "doc_date"), root, "documents", batch_id, fmt, "doc_date")
+            _write_daily(op.daily_documents(docs), root, batch_id, fmt)
             _write(op.alarm_messages(op.alarms(docs, threshold)), root, "alarms", batch_id, fmt)
             _write(op.unresolved_ends(pending, orphans), root, "orphans", batch_id, fmt)
             store.mark_resolved(batch_id, pending, orphans)
+            store.close_epoch(batch_id)
         finally:
             for frame in (docs, classified, parsed):
                 frame.unpersist()
@@ -98,10 +106,12 @@ def run_batches(batches: Iterable[DataFrame], batch: Batch) -> None:
 
 
 def read_documents(spark: SparkSession, root: str, day: str | None = None) -> DataFrame:
-    """Documents as the keyed daily targets hold them: the latest per day and id."""
-    docs = spark.read.parquet(f"{root}/documents")
-    if day is not None:
-        docs = docs.where(docs.doc_date == day)
+    """Documents as the keyed daily targets hold them: the latest per day and id.
+
+    For one ``day`` only the folder of that day is listed.
+    """
+    path = f"{root}/documents" if day is None else f"{root}/documents/doc_date={day}"
+    docs = spark.read.option("basePath", f"{root}/documents").parquet(path)
     return op.daily_documents(docs.select(*[f"`{c}`" for c in DOCUMENT_COLUMNS]))
 
 
