@@ -18,7 +18,15 @@ from spanwatch.operators.documents import (
     with_kpi,
 )
 from spanwatch.operators.matching import expand_matches
-from spanwatch.operators.pending import resolve_pending, still_pending, unresolved_ends
+from spanwatch.operators.pending import (
+    look_up,
+    resolve_pending,
+    resolved_keys,
+    resolved_side,
+    still_pending,
+    unresolved_ends,
+    unresolved_side,
+)
 from spanwatch.operators.phases import latest_phases, phase_events, phases
 from spanwatch.operators.reports import group_count, pair_counts, trace_counts
 from spanwatch.operators.sides import ends, starts
@@ -40,17 +48,21 @@ __all__ = [
     "group_count",
     "latest_documents",
     "latest_phases",
+    "look_up",
     "open_side",
     "orphan_side",
     "pair_counts",
     "phase_events",
     "phases",
     "resolve_pending",
+    "resolved_keys",
+    "resolved_side",
     "starts",
     "starts_without_end",
     "still_pending",
     "trace_counts",
     "unresolved_ends",
+    "unresolved_side",
     "violations",
     "with_kpi",
 ]

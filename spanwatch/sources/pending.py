@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanwatch.operators.matching import join_key_counts, key_counts, keyed_or_spread
-from spanwatch.operators.pending import resolved_keys
 from spanwatch.schema import PENDING_SCHEMA, START_KEYS
 
 BATCH = "batch_id"
@@ -65,9 +64,9 @@ class PendingStore:
         path = f"{self._folder('opened', batch_id)}/{BATCH}={batch_id}"
         open_starts.write.mode("overwrite").parquet(path)
 
-    def mark_resolved(self, batch_id: int, pending: DataFrame, orphans: DataFrame) -> None:
+    def mark_resolved(self, batch_id: int, keys: DataFrame) -> None:
         path = f"{self._folder('resolved', batch_id)}/{BATCH}={batch_id}"
-        resolved_keys(pending, orphans).write.mode("overwrite").parquet(path)
+        keys.write.mode("overwrite").parquet(path)
 
     def close_epoch(self, batch_id: int) -> None:
         """After the last batch of an epoch, write the state as the base of the next."""

@@ -47,20 +47,19 @@ def correlation_batch(root: str, threshold: int = KPI_THRESHOLD, fmt: str = "par
         parsed = parse_records(values).persist()
         events, rejects = split_parsed(parsed)
         classified = op.classify(events).persist()
-        pending = store.read(before=batch_id)
-        orphans = op.orphan_side(classified)
-        done = op.finished_side(classified).unionByName(op.resolve_pending(pending, orphans))
-        docs = op.documents(done, threshold).persist()
+        looked_up = op.look_up(store.read(before=batch_id), op.orphan_side(classified)).persist()
+        done = op.finished_side(classified).unionByName(op.resolved_side(looked_up))
+        docs = op.documents(done, threshold)
         try:
             _write(rejects.hint("rebalance"), root, "rejects", batch_id, fmt)
             store.append_open(batch_id, op.open_side(classified))
             _write_daily(op.daily_documents(docs), root, batch_id, fmt)
             _write(op.alarm_messages(op.alarms(docs, threshold)), root, "alarms", batch_id, fmt)
-            _write(op.unresolved_ends(pending, orphans), root, "orphans", batch_id, fmt)
-            store.mark_resolved(batch_id, pending, orphans)
+            _write(op.unresolved_side(looked_up), root, "orphans", batch_id, fmt)
+            store.mark_resolved(batch_id, op.resolved_keys(looked_up))
             store.close_epoch(batch_id)
         finally:
-            for frame in (docs, classified, parsed):
+            for frame in (looked_up, classified, parsed):
                 frame.unpersist()
 
     return run

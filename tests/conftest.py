@@ -15,7 +15,8 @@ os.environ["TZ"] = "UTC"
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="6g"
+        "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__driver__memory="6g",
+        spark__sql__codegen__wholeStage=os.environ.get("TEST_CODEGEN", "true"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

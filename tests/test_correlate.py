@@ -80,7 +80,7 @@ event = st.tuples(
 )
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(event, max_size=25))
 def test_against_brute_force(make_events, rows):
     """Counts, pairs and classes of any small set of events, worked out by hand."""
