@@ -11,14 +11,14 @@ INSTANCE = "businessProcessInstanceId"
 SIDE_COLUMNS = [c for c in EVENT_COLUMNS if c != INSTANCE]
 
 
-def phase_events(events: DataFrame, rules: DataFrame) -> DataFrame:
+def phase_events(events: DataFrame, rules: DataFrame, sides: str = "se") -> DataFrame:
     """Events that begin (``side`` = ``s``) or finish (``e``) a phase, with their ``rule``.
 
-    One join serves both sides of all rules. Rules are configuration; Spark
-    broadcasts them as long as they are below its size threshold.
+    One join serves all rules. Rules are configuration; Spark broadcasts them as long
+    as they are below its size threshold.
     """
     rule = F.struct(*[F.col(c) for c in RULES_SCHEMA.fieldNames()]).alias("rule")
-    sides = F.array(
+    wanted_kinds = F.array(
         *[
             F.struct(
                 F.lit(side).alias("side"),
@@ -26,10 +26,11 @@ def phase_events(events: DataFrame, rules: DataFrame) -> DataFrame:
                 F.col(f"{name}Type").alias("_type"),
             )
             for side, name in (("s", "start"), ("e", "end"))
+            if side in sides
         ]
     )
     wanted = rules.distinct().select(
-        rule, F.col("businessProcessName").alias("_process"), F.inline(sides)
+        rule, F.col("businessProcessName").alias("_process"), F.inline(wanted_kinds)
     )
     same_kind = (
         (F.col("businessProcessName") == F.col("_process"))
@@ -39,8 +40,8 @@ def phase_events(events: DataFrame, rules: DataFrame) -> DataFrame:
     return events.join(wanted, same_kind).select("side", "rule", *EVENT_COLUMNS)
 
 
-def _side(tagged: DataFrame, side: str) -> DataFrame:
-    return tagged.where(F.col("side") == side).select(
+def _side(events: DataFrame, rules: DataFrame, side: str) -> DataFrame:
+    return phase_events(events, rules, side).select(
         F.col("rule").alias(f"_{side}Rule"),
         F.col(INSTANCE).alias(f"_{side}Instance"),
         *[F.col(c).alias(prefixed(side, c)) for c in SIDE_COLUMNS],
@@ -73,8 +74,7 @@ def phases(events: DataFrame, rules: DataFrame, within: str | None = None) -> Da
 
     ``within`` limits their distance in time, which a stream needs to free its state.
     """
-    tagged = phase_events(events, rules)
-    return _measured(_side(tagged, "s"), _side(tagged, "e"), within)
+    return _measured(_side(events, rules, "s"), _side(events, rules, "e"), within)
 
 
 def _newest(side: str) -> list[Column]:
@@ -94,9 +94,8 @@ def latest_phases(events: DataFrame, rules: DataFrame) -> DataFrame:
     The latest pair of an instance is its latest end with its latest start, so each
     side is reduced to one row per rule and instance before the join.
     """
-    tagged = phase_events(events, rules)
-    s = first_per(_side(tagged, "s"), ["_sRule", "_sInstance"], _newest("s"))
-    e = first_per(_side(tagged, "e"), ["_eRule", "_eInstance"], _newest("e"))
+    s = first_per(_side(events, rules, "s"), ["_sRule", "_sInstance"], _newest("s"))
+    e = first_per(_side(events, rules, "e"), ["_eRule", "_eInstance"], _newest("e"))
     return latest_of(_measured(s, e))
 
 

@@ -12,8 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A sorted join becomes a hash join where every build partition is below this size;
     # Spark asks that it is not below the advisory partition size.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.parquet.filterPushdown": "true",
     # Join state goes to local RocksDB files with a change log, not to the heap.
     "spark.sql.streaming.stateStore.providerClass":

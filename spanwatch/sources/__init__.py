@@ -4,9 +4,11 @@ from spanwatch.sources.events import (
     parse_records,
     raw_file_records,
     raw_records,
+    read_events,
     read_values,
     split_parsed,
     stream_values,
+    write_events,
 )
 from spanwatch.sources.pending import PendingStore
 from spanwatch.sources.rules import read_rules
@@ -18,8 +20,10 @@ __all__ = [
     "parse_records",
     "raw_file_records",
     "raw_records",
+    "read_events",
     "read_rules",
     "read_values",
     "split_parsed",
     "stream_values",
+    "write_events",
 ]

@@ -3,7 +3,15 @@ import json
 import pytest
 
 from spanwatch.schema import EVENT_COLUMNS
-from spanwatch.sources import parse_events, raw_file_records, raw_records, read_rules, read_values
+from spanwatch.sources import (
+    parse_events,
+    raw_file_records,
+    raw_records,
+    read_events,
+    read_rules,
+    read_values,
+    write_events,
+)
 from tests.conftest import at
 
 
@@ -125,3 +133,14 @@ def test_rules_file(spark, tmp_path):
     rules = read_rules(spark, str(tmp_path / "phases.json"))
     assert sorted(r.threshold for r in rules.collect()) == [5, 100]
     assert rules.first().asDict() | {"threshold": 0} == rule | {"threshold": 0}
+
+
+def test_stored_events(spark, make_events, tmp_path):
+    events = make_events(
+        ("START", "t", {"timestamp": at("2024-01-01T23:00:00")}), ("END", "t", {"timestamp": at("2024-01-02T01:00:00")})
+    )
+    write_events(events, str(tmp_path / "events"))
+    stored = read_events(spark, str(tmp_path / "events"))
+    assert stored.columns == [*EVENT_COLUMNS, "eventDate"]
+    assert sorted(map(str, stored.drop("eventDate").collect())) == sorted(map(str, events.collect()))
+    assert stored.where("eventDate = DATE'2024-01-02'").count() == 1

@@ -94,9 +94,18 @@ def hot_events(spark):
     )
 
 
+def hot_phases(events):
+    """The hot key is the hot instance of a phase here; rules come by a shuffle join as well."""
+    instance = F.col("payload")["spp_trace_wf_id"]
+    rule = "SELECT 'x' businessProcessName, 'ph' businessProcessPhaseName, 'x' startActivityId, " \
+        "'ACTIVITY_START' startType, 'x' endActivityId, 'ACTIVITY_END' endType, 100L threshold"
+    rows = events.withColumn("businessProcessInstanceId", instance)
+    return op.phases(rows, events.sparkSession.sql(rule)).drop("sPayload", "ePayload")
+
+
 @pytest.mark.parametrize(
     "operator, rows",
-    [(op.finished, HOT - 2), (op.ends_without_start, 20_000), (op.classify, HOT + 20_000),
+    [(hot_phases, 2 * (HOT - 2)), (op.finished, HOT - 2), (op.ends_without_start, 20_000), (op.classify, HOT + 20_000),
      (op.correlated, 2 * (HOT - 2) + 20_000)],
 )
 def test_a_hot_key_is_split(spark, conf, tmp_path, operator, rows):
