@@ -69,8 +69,13 @@ def phases_batch(root: str, rules: DataFrame, fmt: str = "parquet") -> Batch:
     """Phases whose two events lie in the same micro-batch, the latest per id."""
 
     def run(values: DataFrame, batch_id: int) -> None:
-        events, _ = split_parsed(parse_records(values))
-        _write(op.latest_phases(events, rules), root, "phases", batch_id, fmt)
+        parsed = parse_records(values).persist()
+        events, rejects = split_parsed(parsed)
+        try:
+            _write(rejects.hint("rebalance"), root, "phase_rejects", batch_id, fmt)
+            _write(op.latest_phases(events, rules), root, "phases", batch_id, fmt)
+        finally:
+            parsed.unpersist()
 
     return run
 
