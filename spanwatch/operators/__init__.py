@@ -28,7 +28,7 @@ from spanwatch.operators.pending import (
     unresolved_side,
 )
 from spanwatch.operators.phases import latest_phases, phase_events, phases
-from spanwatch.operators.reports import group_count, pair_counts, trace_counts
+from spanwatch.operators.reports import group_count, pair_counts, trace_counts, violation_count
 from spanwatch.operators.sides import ends, starts
 
 __all__ = [
@@ -63,6 +63,7 @@ __all__ = [
     "trace_counts",
     "unresolved_ends",
     "unresolved_side",
+    "violation_count",
     "violations",
     "with_kpi",
 ]

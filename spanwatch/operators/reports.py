@@ -32,3 +32,9 @@ def trace_counts(rows: DataFrame, process: str, trace: str, weight: str | None =
 def group_count(rows: DataFrame, process: str, trace: str) -> DataFrame:
     """How many groups ``trace_counts`` has, as one row. ``countDistinct`` would skip null traces."""
     return rows.groupBy(process, trace).count().agg(F.count(F.lit(1)).alias("groups"))
+
+
+def violation_count(violating: DataFrame) -> DataFrame:
+    """How many finished rows violate the limit, as one row; a decimal as in ``pair_counts``."""
+    total = F.sum(F.col("matches").cast("decimal(19,0)"))
+    return violating.agg(F.coalesce(total, F.lit(0)).alias("violations"))

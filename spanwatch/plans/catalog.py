@@ -149,7 +149,8 @@ def q_kpi_violations(spark, sf_dir):
 
 def q_violation_count(spark, sf_dir):
     checked = op.with_kpi(op.finished(activity_events(spark, sf_dir)))
-    return op.violations(checked).agg(F.coalesce(F.sum("matches"), F.lit(0)).alias("violations"))
+    counted = op.violation_count(op.violations(checked))
+    return counted.withColumn("violations", F.col("violations").cast("bigint"))
 
 
 def q_documents(spark, sf_dir):

@@ -22,7 +22,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        # Known to be empty when the query is planned, so joins to it are left out.
+        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        return spark.range(0).select(*columns).where(F.lit(False))
 
 
 class PendingStore:
