@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from spanwatch.functions import day_name, document_id, kpi_text, kpi_value
 from spanwatch.schema import IP_CHECK_KEY, TRACE_KEY
 
+# The limit in milliseconds, the daily target's name, the document's columns.
 KPI_THRESHOLD = 5000
 INDEX_PREFIX = "bam-"
 DOCUMENT_COLUMNS = [
