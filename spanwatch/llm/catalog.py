@@ -1,11 +1,13 @@
 """The operators' queries over the driver's tables, and the SQL of those that SQL can state."""
 
-from spanwatch.llm import mix, shard
+from spanwatch.llm import mix, neardup, shard
 
 QUERIES = {
     "op1_mix_sources": mix.op1_mix_sources,
+    "op4_near_duplicates": neardup.op4_near_duplicates,
     "op8_shard_by_bytes": shard.op8_shard_by_bytes,
 }
 ORACLE = {
     "op1_mix_sources": mix.ORACLE,
+    "op4_near_duplicates": neardup.ORACLE,
 }
