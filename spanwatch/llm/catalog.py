@@ -1,10 +1,11 @@
 """The operators' queries over the driver's tables, and the SQL of those that SQL can state."""
 
-from spanwatch.llm import mix, neardup, shard
+from spanwatch.llm import mix, neardup, shard, toxicity
 
 QUERIES = {
     "op1_mix_sources": mix.op1_mix_sources,
     "op4_near_duplicates": neardup.op4_near_duplicates,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op8_shard_by_bytes": shard.op8_shard_by_bytes,
 }
 ORACLE = {

@@ -13,7 +13,6 @@ SHINGLE = 5
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers: dict[str, np.ndarray] = {}
 
 # Space and the characters 9 to 13 end a word; A-Z have lower-case forms.
 SPACE = np.zeros(256, bool)
@@ -23,13 +22,10 @@ LOWER = KEEP.copy()
 LOWER[0x41:0x5B] += 32
 
 
-def _power(kind: str, base: np.uint64, n: int) -> np.ndarray:
-    table = _powers.get(kind)
-    if table is None or len(table) < n:
-        steps = np.full(max(n, PIECE + 1), base, np.uint64)
-        steps[0] = 1
-        table = _powers[kind] = np.multiply.accumulate(steps)
-    return table
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    steps = np.full(n, base, np.uint64)
+    steps[:1] = 1
+    return np.multiply.accumulate(steps)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -53,28 +49,45 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words of a batch: ``hashes``, byte ``starts`` and ``ends``, and ``first`` word of each text."""
+    """Words of a batch: ``hashes``, byte ``starts`` and ``ends``, and ``first`` word of each text.
 
-    def __init__(self, texts: pa.Array, fold: np.ndarray = KEEP):
+    ``prefixes`` holds, for each asked length in bytes, the hashes of the words' beginnings
+    (0 for words that are no longer). ``space`` tells which bytes end a word.
+    """
+
+    def __init__(
+        self, texts: pa.Array, fold: np.ndarray = KEEP, space: np.ndarray = SPACE, prefixes: tuple[int, ...] = ()
+    ):
         self.data, self.offsets = buffers(texts)
+        self.space = space
         n, hashes, starts, ends = len(self.data), [], [], []
+        cut: dict[int, list[np.ndarray]] = {k: [] for k in prefixes}
+        up = down = np.zeros(0, np.uint64)
         at = 0
         while at < n:
             stop = min(at + PIECE, n)
             if stop < n:  # cut after a space or between two texts
-                blank = np.flatnonzero(SPACE[self.data[at:stop]])
+                blank = np.flatnonzero(space[self.data[at:stop]])
                 if len(blank):
                     stop = at + int(blank[-1]) + 1
                 else:
                     stop = int(self.offsets[np.searchsorted(self.offsets, stop)])
+            if len(up) < stop - at:
+                up, down = _powers(_BASE, stop - at), _powers(_INVERSE, stop - at)
             s, e = self._bounds(at, stop)
             if len(s):
                 # Words of a piece are sums of byte values times powers, shifted to the word's start.
                 values = fold[self.data[at:stop]].astype(np.uint64) + np.uint64(1)
-                values[SPACE[self.data[at:stop]]] = 0
-                values *= _power("up", _BASE, stop - at)[: stop - at]
-                sums = np.add.reduceat(values, s - at) * _power("down", _INVERSE, stop - at)[s - at]
+                values[space[self.data[at:stop]]] = 0
+                values *= up[: stop - at]
+                back = down[s - at]
+                sums = np.add.reduceat(values, s - at) * back
                 hashes.append(mix(sums + (e - s).astype(np.uint64)))
+                run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values))) if prefixes else None
+                for k in prefixes:
+                    longer = e - s > k
+                    part = (run[np.where(longer, s - at + k, 0)] - run[s - at]) * back
+                    cut[k].append(np.where(longer, mix(part + np.uint64((k << 32) + 1)), np.uint64(0)))
                 starts.append(s)
                 ends.append(e)
             at = stop
@@ -82,9 +95,10 @@ class Words:
         self.hashes = join(hashes, np.uint64)
         self.starts, self.ends = join(starts, np.int64), join(ends, np.int64)
         self.first = np.searchsorted(self.starts, self.offsets)
+        self.prefixes = {k: join(parts, np.uint64) for k, parts in cut.items()}
 
     def _bounds(self, at: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
-        inside = ~SPACE[self.data[at:stop]]
+        inside = ~self.space[self.data[at:stop]]
         edge = np.zeros(stop - at + 1, bool)
         cuts = self.offsets[np.searchsorted(self.offsets, at) : np.searchsorted(self.offsets, stop, "right")]
         edge[cuts - at] = True
