@@ -1,12 +1,13 @@
 """The operators' queries over the driver's tables, and the SQL of those that SQL can state."""
 
-from spanwatch.llm import mix, neardup, quality, shard, toxicity
+from spanwatch.llm import decontam, mix, neardup, quality, shard, toxicity
 
 QUERIES = {
     "op1_mix_sources": mix.op1_mix_sources,
     "op4_near_duplicates": neardup.op4_near_duplicates,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_benchmark_leaks": decontam.op7_benchmark_leaks,
     "op8_shard_by_bytes": shard.op8_shard_by_bytes,
 }
 ORACLE = {
