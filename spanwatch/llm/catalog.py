@@ -1,6 +1,6 @@
 """The operators' queries over the driver's tables, and the SQL of those that SQL can state."""
 
-from spanwatch.llm import decontam, mix, neardup, quality, shard, toxicity
+from spanwatch.llm import decontam, mix, neardup, quality, secrets, shard, toxicity
 
 QUERIES = {
     "op1_mix_sources": mix.op1_mix_sources,
@@ -9,6 +9,7 @@ QUERIES = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_benchmark_leaks": decontam.op7_benchmark_leaks,
     "op8_shard_by_bytes": shard.op8_shard_by_bytes,
+    "op9_secret_scan": secrets.op9_secret_scan,
 }
 ORACLE = {
     "op1_mix_sources": mix.ORACLE,

@@ -1,9 +1,11 @@
 """Near-duplicate documents: one-permutation MinHash, banded buckets, star-shaped candidates."""
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,17 +14,26 @@ from spanwatch.llm.scratch import documents, settle
 from spanwatch.llm.words import LOWER, SHINGLE, Words, mix, pieces, shingles
 
 BINS = 256
+ROWS = 5
 MISS = 1e-5
-CENTRES = 8
+CENTRES = 2
 PERCENT = 85
 SET = ["n_shingles", "set_a", "set_b"]
+SKETCH = ["s0", "s1", "s2", "s3"]
 SIGNED = "doc_id long, n_shingles long, set_a long, set_b long"
+SURE = 64  # sets of so many shingles have sketches that can rule a pair out
 
 
-def band_rows(percent: int, bins: int = BINS, miss: float = MISS) -> int:
-    """Most rows a band may have so that a pair at the threshold shares no band with chance ``miss`` at most."""
+def band_count(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
+    """Fewest bands so that a pair at the threshold shares none with chance ``miss`` at most."""
     s = percent / 100
-    return max(r for r in range(1, bins) if r == 1 or (1 - s**r) ** (bins // r) <= miss)
+    return min(math.ceil(math.log(miss) / math.log1p(-(s**rows))), BINS // rows) if s < 1 else 1
+
+
+def most_bits(percent: int) -> int:
+    """Differing sketch bits that a pair at the threshold exceeds by chance only at five standard deviations."""
+    rate = (1 - percent / 100) / 2
+    return math.ceil(BINS * rate + 5 * math.sqrt(BINS * rate * (1 - rate)))
 
 
 def signature(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
@@ -47,15 +58,19 @@ def signature(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
     return least[source]
 
 
-def bands(sig: np.ndarray, rows: int) -> np.ndarray:
-    """One bucket key per band: its number and its values."""
-    n = len(sig) // rows
-    keys = np.arange(n, dtype=np.uint64)
+def bands(sig: np.ndarray, n: int, rows: int = ROWS) -> np.ndarray:
+    """One bucket key for each of ``n`` bands: its number and its values."""
+    keys, values = np.arange(n, dtype=np.uint64), sig[: n * rows].reshape(n, rows)
     for k in range(rows):
-        keys = mix(keys * np.uint64(0xD6E8FEB86659FD93) + sig[: n * rows].reshape(n, rows)[:, k])
+        keys = mix(keys * np.uint64(0xD6E8FEB86659FD93) + values[:, k])
     return keys.view(np.int64)
 
 
+def sketch(sig: np.ndarray) -> np.ndarray:
+    """The lowest bit of every bin."""
+    return np.packbits((sig & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
+
 def _lists(parts: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *[len(p) for p in parts]])
     flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
@@ -77,23 +92,29 @@ def _bags(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Rec
         yield batch, [np.unique(shingles(words.of(i), size)) for i in range(batch.num_rows)]
 
 
-def _signed(rows: int, size: int):
+def _signed(n: int, size: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
         for batch, bags in _bags(batches, size):
-            keys = [bands(signature(bag), rows) if len(bag) else np.zeros(0, np.int64) for bag in bags]
+            signatures = [signature(bag) if len(bag) else None for bag in bags]
+            keys = [none if s is None else bands(s, n) for s in signatures]
+            sketches = [none if s is None else sketch(s) for s in signatures]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *_set_columns(bags), _lists(keys)], ["doc_id", *SET, "bands"]
+                [batch.column("doc_id"), *_set_columns(bags), _lists(keys), _lists(sketches)],
+                ["doc_id", *SET, "bands", "sketch"],
             )
 
     return sign
 
 
 def _sets(size: int):
+    """The sets of texts; where rows share a doc_id, of that with the wanted set alone."""
+
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, bags in _bags(batches, size):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *_set_columns(bags), _lists(bags)], ["doc_id", *SET, "bag"]
-            )
+            own = _set_columns(bags)
+            same = pc.and_(pc.equal(own[1], batch.column("set_a")), pc.equal(own[2], batch.column("set_b")))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(bags)], ["doc_id", "bag"]).filter(same)
 
     return gather
 
@@ -111,15 +132,23 @@ def _verified(pairs: DataFrame, bags: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def near_links(members: DataFrame, bags: DataFrame, percent: int) -> DataFrame:
-    """Components (id, label) of distinct sets from their buckets (key, id, popular).
+def _likely(percent: int):
+    """Whether a member and a centre may be similar enough, by set sizes and sketches."""
+    fits = (100 * F.least("n_shingles", "c_n") >= percent * F.greatest("n_shingles", "c_n"))
+    differ = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"c_{s}"))) for s in SKETCH), F.lit(0))
+    return fits & ((F.least("n_shingles", "c_n") < SURE) | (differ <= most_bits(percent)))
+
+
+def near_links(members: DataFrame, bags: DataFrame, percent: int) -> DataFrame | None:
+    """Components (id, label) of distinct sets from their buckets (key, id, popular, sizes and sketches).
 
     Per bucket and round, a few centres are compared with all members: pairs grow with the
     members, not with their square. A member that is already in a centre's component needs
-    no comparison. Centres leave after their round, having met everybody; a bucket is done
-    when its members share one component. Later rounds take more centres, so that buckets
-    whose members are alike but not similar enough come to an end, too. At the end, each
-    pair of a bucket was compared, or is connected.
+    no comparison, and one whose size or sketch rules it out gets none. Centres leave after
+    their round, having met everybody; a bucket is done when its members share one
+    component. Later rounds take more centres, so that buckets whose members are alike but
+    not similar enough come to an end, too. At the end, each pair of a bucket was
+    compared, ruled out, or is connected.
     """
     labels, centres = None, CENTRES
     while True:
@@ -136,14 +165,15 @@ def near_links(members: DataFrame, bags: DataFrame, percent: int) -> DataFrame:
         if members.isEmpty():
             return labels
         slot = F.pmod(F.xxhash64("id", F.lit(centres)), F.lit(centres))
+        best = F.max(F.struct("popular", (-F.col("id")).alias("minus"), "label", "n_shingles", *SKETCH)).alias("c")
         chosen = settle(
-            members.groupBy("key", slot.alias("slot"))
-            .agg(F.max(F.struct("popular", (-F.col("id")).alias("minus"), "label")).alias("c"))
-            .select("key", (-F.col("c.minus")).alias("centre"), F.col("c.label").alias("c_label"))
+            members.groupBy("key", slot.alias("slot")).agg(best).select(
+                "key", (-F.col("c.minus")).alias("centre"), F.col("c.label").alias("c_label"),
+                F.col("c.n_shingles").alias("c_n"), *[F.col(f"c.{s}").alias(f"c_{s}") for s in SKETCH],
+            )
         )
         pairs = (
-            members.join(chosen, "key")
-            .filter("label <> c_label")
+            members.join(chosen, (members["key"] == chosen["key"]) & (F.col("label") != F.col("c_label")) & _likely(percent))
             .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
             .distinct()
         )
@@ -171,28 +201,33 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     one. Columns beyond the two are not read.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    spark = docs.sparkSession
     signed = settle(docs.mapInArrow(
-        _signed(band_rows(percent), size), f"{SIGNED}, bands array<long>"
+        _signed(band_count(percent), size), f"{SIGNED}, bands array<long>, sketch array<long>"
     ))
     known = signed.filter("n_shingles > 0 and doc_id is not null")
     own = settle(
         known.groupBy("doc_id").agg(F.min(F.struct(*SET)).alias("s")).select("doc_id", "s.*")
     )
     classes = settle(own.groupBy(*SET).agg(F.min("doc_id").alias("doc_id")))
-    keyed = settle(
-        known.join(classes, [*SET, "doc_id"])
-        .select(F.explode("bands").alias("key"), F.col("doc_id").alias("id")).distinct()
-    )
+    one = settle(known.join(classes, [*SET, "doc_id"]).dropDuplicates(["doc_id"]))
+    keyed = one.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
     full = keyed.groupBy("key").agg(F.count("id").alias("n")).filter("n > 1")
     members = settle(keyed.join(full, "key"))
     # A member of many full buckets is likely to be near many others: a good centre.
     popular = members.groupBy("id").agg(F.sum("n").alias("popular"))
-    members = settle(members.drop("n").join(popular, "id"))
-    bags = settle(
-        docs.join(popular.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-        .mapInArrow(_sets(size), f"{SIGNED}, bag array<long>")
-        .join(classes, [*SET, "doc_id"]).select("doc_id", "bag").dropDuplicates(["doc_id"])
+    facts = settle(
+        one.join(popular, F.col("doc_id") == F.col("id"))
+        .select("id", "popular", *SET, *[F.col("sketch")[k].alias(s) for k, s in enumerate(SKETCH)])
+    )
+    members = members.select("key", "id").join(facts.drop("set_a", "set_b"), "id")
+    bags = docs.join(facts.select(F.col("id").alias("doc_id"), "set_a", "set_b"), "doc_id").mapInArrow(
+        _sets(size), "doc_id long, bag array<long>"
     )
+    # Dealt by id once: the joins of all rounds move pairs, not sets.
+    bags = settle(bags.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id"))
+    if own.count() < known.count():
+        bags = settle(bags.dropDuplicates(["doc_id"]))
     placed = own.join(classes.withColumnRenamed("doc_id", "id"), SET).select("doc_id", "id")
     labels = near_links(members, bags, percent)
     if labels is not None:
