@@ -1,6 +1,6 @@
 """The operators' queries over the driver's tables, and the SQL of those that SQL can state."""
 
-from spanwatch.llm import decontam, mix, neardup, quality, secrets, shard, toxicity
+from spanwatch.llm import decontam, linededup, mix, neardup, quality, secrets, shard, toxicity
 
 QUERIES = {
     "op1_mix_sources": mix.op1_mix_sources,
@@ -10,6 +10,7 @@ QUERIES = {
     "op7_benchmark_leaks": decontam.op7_benchmark_leaks,
     "op8_shard_by_bytes": shard.op8_shard_by_bytes,
     "op9_secret_scan": secrets.op9_secret_scan,
+    "op10_line_dedup": linededup.op10_line_dedup,
 }
 ORACLE = {
     "op1_mix_sources": mix.ORACLE,
