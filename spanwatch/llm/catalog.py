@@ -1,9 +1,11 @@
 """The operators' queries over the driver's tables, and the SQL of those that SQL can state."""
 
-from spanwatch.llm import decontam, linededup, mix, neardup, quality, secrets, shard, toxicity
+from spanwatch.llm import decontam, license, linededup, mix, neardup, quality, secrets, shard, tokens, toxicity
 
 QUERIES = {
     "op1_mix_sources": mix.op1_mix_sources,
+    "op2_license_scan": license.op2_license_scan,
+    "op3_token_counts": tokens.op3_token_counts,
     "op4_near_duplicates": neardup.op4_near_duplicates,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_toxicity": toxicity.op6_toxicity,
