@@ -3,6 +3,7 @@
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -103,39 +104,40 @@ class Blocks:
         return found[0], found[1]
 
 
-def _matches(items: Items):
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, bags = items.index(), items.weighted()
-        largest = max(index, default=0)
-        for batch in pieces(batches, "text"):
-            words = Words(batch.column("text"), LOWER)
-            text_of = np.searchsorted(words.first, np.arange(len(words.hashes)), "right") - 1
-            best: dict[tuple[int, int], tuple] = {}
-            for at in range(0, len(words.hashes), STEP):
-                part = words.hashes[at : at + STEP + largest]
-                run = running_signs(part, largest)
-                for size, blocks in index.items():
-                    window, entry = blocks.near(fingerprints(part, size, run)[:STEP])
-                    start = window + at
-                    inside = text_of[start] == text_of[start + size - 1] if len(start) else np.zeros(0, bool)
-                    for s, e in zip(start[inside].tolist(), entry[inside].tolist()):
-                        i, item = int(text_of[s]), int(blocks.item[e])
-                        # The item's whole length around the window, and an eighth on either side.
-                        length = len(items.words[item])
-                        margin = math.ceil(length / 8)
-                        lo = max(s - int(blocks.shift[e]) - margin, int(words.first[i]))
-                        hi = min(s - int(blocks.shift[e]) + length + margin, int(words.first[i + 1]))
-                        bag, weight = bags[item]
-                        here = shingles(words.hashes[lo:hi], min(SHINGLE, length))
-                        common = np.isin(bag, here)
-                        value = float(weight[common].sum() / weight.sum())
-                        if value >= SIMILARITY and value > best.get((i, item), (0.0,))[0]:
-                            shared = np.flatnonzero(np.isin(here, bag))
-                            first, last = lo + shared[0], lo + shared[-1] + min(SHINGLE, length) - 1
-                            best[i, item] = (value, int(words.starts[first]), int(words.ends[last]))
-            yield _rows(batch, words, items, best)
-
-    return find
+def _best_places(words: Words, items: Items, index: dict, bags: list) -> dict[tuple[int, int], tuple]:
+    """Per (text, item) of a batch that match: similarity, and bytes from where to where."""
+    text_of = np.searchsorted(words.first, np.arange(len(words.hashes)), "right") - 1
+    best: dict[tuple[int, int], tuple] = {}
+    largest = max(index, default=0)
+    for at in range(0, len(words.hashes), STEP):
+        part = words.hashes[at : at + STEP + largest]
+        run = running_signs(part, largest)
+        for size, blocks in index.items():
+            window, entry = blocks.near(fingerprints(part, size, run)[:STEP])
+            start = window + at
+            inside = text_of[start] == text_of[start + size - 1] if len(start) else np.zeros(0, bool)
+            for s, e in zip(start[inside].tolist(), entry[inside].tolist()):
+                i, item = int(text_of[s]), int(blocks.item[e])
+                # The item's whole length around the window, and an eighth on either side.
+                length = len(items.words[item])
+                margin = math.ceil(length / 8)
+                lo = max(s - int(blocks.shift[e]) - margin, int(words.first[i]))
+                hi = min(s - int(blocks.shift[e]) + length + margin, int(words.first[i + 1]))
+                bag, weight = bags[item]
+                here = shingles(words.hashes[lo:hi], min(SHINGLE, length))
+                value = float(weight[np.isin(bag, here)].sum() / weight.sum())
+                if value >= SIMILARITY and value > best.get((i, item), (0.0,))[0]:
+                    shared = np.flatnonzero(np.isin(here, bag))
+                    first, last = lo + shared[0], lo + shared[-1] + min(SHINGLE, length) - 1
+                    best[i, item] = (value, int(words.starts[first]), int(words.ends[last]))
+    return best
+
+
+def _scanned(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[tuple[pa.RecordBatch, Words, dict]]:
+    index, bags = items.index(), items.weighted()
+    for batch in pieces(batches, "text"):
+        words = Words(batch.column("text"), LOWER)
+        yield batch, words, _best_places(words, items, index, bags)
 
 
 def _rows(batch: pa.RecordBatch, words: Words, items: Items, best: dict) -> pa.RecordBatch:
@@ -156,6 +158,17 @@ def _rows(batch: pa.RecordBatch, words: Words, items: Items, best: dict) -> pa.R
     )
 
 
+def _passes(benchmark: DataFrame) -> Iterator[Items]:
+    """The items in passes of about ITEMS_PER_PASS, by a hash: what a task holds is bounded."""
+    known = benchmark.select("item_id", F.col("text").cast("string").alias("text")).dropna(subset=["text"]).distinct()
+    n = max(1, math.ceil(known.count() / ITEMS_PER_PASS))
+    for k in range(n):
+        rows = known.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
+        words = Words(pa.array([r["text"] for r in rows], pa.string()), LOWER)
+        full = [i for i in range(len(rows)) if len(words.of(i))]
+        yield Items([rows[i]["item_id"] for i in full], [words.of(i).copy() for i in full])
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row (doc_id, item_id, similarity, start, end) for each document and item it holds.
 
@@ -166,22 +179,37 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     weight in 5-word shingles. start and end are characters of the text, and span the shared
     shingles of the best place.
 
-    Items are handled in passes of about ITEMS_PER_PASS, so what a task holds is bounded.
     Items and texts that are null or without words match nothing; repeated items count once,
-    repeated documents each for itself. An empty table on either side gives no rows.
+    repeated documents each for itself. An empty table on either side gives no rows. Other
+    columns are not read.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    known = benchmark.select("item_id", F.col("text").cast("string").alias("text")).dropna(subset=["text"]).distinct()
-    passes = max(1, math.ceil(known.count() / ITEMS_PER_PASS))
-    found = None
-    for k in range(passes):
-        rows = known.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).collect()
-        words = Words(pa.array([r["text"] for r in rows], pa.string()), LOWER)
-        full = [i for i in range(len(rows)) if len(words.of(i))]
-        items = Items([rows[i]["item_id"] for i in full], [words.of(i).copy() for i in full])
-        part = docs.mapInArrow(_matches(items), "doc_id long, item_id long, similarity double, start int, end int")
-        found = part if found is None else found.union(part)
-    return found
+
+    def found(items: Items):
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, words, best in _scanned(batches, items):
+                yield _rows(batch, words, items, best)
+
+        return docs.mapInArrow(find, "doc_id long, item_id long, similarity double, start int, end int")
+
+    return reduce(DataFrame.union, [found(items) for items in _passes(benchmark)])
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that hold no item, with all their columns and in place."""
+
+    def clean(items: Items):
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, _, best in _scanned(batches, items):
+                fine = np.ones(batch.num_rows, bool)
+                fine[[i for i, _ in best]] = False
+                yield batch.filter(pa.array(fine))
+
+        return keep
+
+    for items in _passes(benchmark):
+        docs = docs.mapInArrow(clean(items), docs.schema)
+    return docs
 
 
 def op7_benchmark_leaks(spark, sf_dir) -> DataFrame:

@@ -1,10 +1,10 @@
 """Mixing sources to target weights by capped water-filling."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanwatch.llm.prefix import with_prefix
-from spanwatch.llm.scratch import documents, settle
+from spanwatch.llm.scratch import documents, free_names, settle
 from spanwatch.llm.text import word_count
 
 # Weights of the registered query, in the order of the sources.
@@ -85,6 +85,36 @@ def mix_sources(
     )
 
 
+def mixed_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Each row of ``docs`` as often as ``mixed`` (from ``mix_sources``) says, with its own columns only.
+
+    ``mixed`` must come from ``sized_documents(docs)``. Rows that agree in doc_id, source and
+    size take the numbers of their group in turn.
+    """
+    names = free_names(docs.columns, "m_doc", "m_source", "m_size", "m_turn", "repetitions", "size", "turn", "copy")
+    m_doc, m_source, m_size, m_turn, times, size, turn, copy = names
+    group = ["doc_id", "source", "size"]
+    alike = not mixed.groupBy(*group).count().filter("count > 1").isEmpty()
+    docs_columns = docs.columns
+    docs = docs.withColumn(size, word_count(F.col("text")))
+    number = F.lit(1)
+    if alike:
+        number = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("repetitions")))
+        own = Window.partitionBy("doc_id", "source", size).orderBy(F.xxhash64("text"))
+        docs = docs.withColumn(turn, F.row_number().over(own))
+    else:
+        docs = docs.withColumn(turn, F.lit(1))
+    counts = mixed.withColumn("turn", number).filter("repetitions > 0").select(
+        *[F.col(c).alias(n) for c, n in zip([*group, "turn", "repetitions"], [m_doc, m_source, m_size, m_turn, times])]
+    )
+    same = (
+        docs["doc_id"].eqNullSafe(F.col(m_doc)) & docs["source"].eqNullSafe(F.col(m_source))
+        & (docs[size] == F.col(m_size)) & (docs[turn] == F.col(m_turn))
+    )
+    repeated = F.explode(F.array_repeat(F.lit(0), F.col(times).cast("int"))).alias(copy)
+    return docs.join(counts, same).select(*docs_columns, repeated).select(docs_columns)
+
+
 def cycled_weights(sized: DataFrame, cycle: list[int]) -> DataFrame:
     """Sources by code point, null last, with the weights of ``cycle`` in turn."""
     names = sized.select("source").distinct().withColumn("one", F.lit(1))

@@ -1,6 +1,7 @@
 """Written intermediates and column names that cannot clash."""
 
 import tempfile
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,35 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def compact(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df`` settled for a loop, and read in partitions of about ``rows`` rows if it has more partitions.
+
+    Tables that turn out small so cost few tasks and files, whatever the number of shuffle
+    partitions. A checkpoint hands on the size that the optimizer had guessed, and guesses of
+    joins multiply from round to round; so the rows come back as a new table without one.
+    """
+    df = settle(df)
+    few = 1 + df.count() // rows
+    if few < df._jdf.rdd().getNumPartitions():
+        df = df.coalesce(few)
+    spark = df.sparkSession
+    return DataFrame(spark._jsparkSession.createDataFrame(df._jdf.toJavaRDD(), df._jdf.schema()), spark)
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet to the shared folder and read again, and its path."""
+    use_shared_folder(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``written`` made."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def free_names(taken: Iterable[str], *wanted: str) -> list[str]:
     """``wanted`` names, prefixed until none equals a column of ``taken`` (case aside)."""
     used = {name.lower() for name in taken}

@@ -1,6 +1,6 @@
 """Sharding into contiguous shards of equal bytes."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanwatch.llm.prefix import with_prefix
@@ -41,6 +41,29 @@ def shard_by_bytes(rows: DataFrame, shards: int, order: list[Column], size: str)
     )
 
 
+def sharded_rows(docs: DataFrame, shards: int) -> DataFrame:
+    """``docs`` with ``shard`` and ``slot``, cut in the order of doc_id and a hash of the text.
+
+    Only keys and sizes are ordered; texts move once, to meet their places. Rows that agree in
+    doc_id and text take the places of their group in turn.
+    """
+    docs = docs.drop("shard", "slot")
+    digest, turn, doc, j_digest, j_turn = free_names(
+        [*docs.columns, "shard", "slot", "size"], "digest", "turn", "j_doc", "j_digest", "j_turn"
+    )
+    numbered = docs.withColumn(digest, F.xxhash64("text")).withColumn(
+        turn, F.row_number().over(Window.partitionBy("doc_id", digest).orderBy(F.lit(1)))
+    )
+    keys = numbered.select("doc_id", digest, turn, (text_bytes(F.col("text")) + ROW_BYTES).alias("size"))
+    placed = shard_by_bytes(settle(keys), shards, [F.col(c) for c in ("doc_id", digest, turn)], "size").select(
+        F.col("doc_id").alias(doc), F.col(digest).alias(j_digest), F.col(turn).alias(j_turn), "shard", "slot"
+    )
+    same = (
+        numbered["doc_id"].eqNullSafe(F.col(doc)) & (F.col(digest) == F.col(j_digest)) & (F.col(turn) == F.col(j_turn))
+    )
+    return numbered.join(placed, same).select(*docs.columns, "shard", "slot")
+
+
 def op8_shard_by_bytes(spark, sf_dir) -> DataFrame:
     sized = documents(spark, sf_dir).select(
         "doc_id",

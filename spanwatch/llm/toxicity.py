@@ -185,6 +185,17 @@ def find_toxic(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_scan(model), SCANNED)
 
 
+def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """Rows of ``docs`` that score below ``threshold``, with all their columns and in place."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            scored = next(_scan(model)(iter([batch])))
+            yield batch.filter(pc.less(scored.column("score"), threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def log_odds(counts: DataFrame, bad: float, good: float) -> DataFrame:
     """Log-odds ratio of each feature (bad, good weights) with an informative Dirichlet prior.
 
