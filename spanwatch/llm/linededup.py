@@ -3,15 +3,13 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanwatch.llm.prefix import with_prefix
 from spanwatch.llm.scratch import documents, free_names, settle
 
 # A line ends with a line break, or with a sentence inside a paragraph. The parts keep their ends.
-LINE_ENDS = r"(?<=\n)|(?<=[.!?] )"
-WINDOW = 2  # fingerprints are the least of so many neighbouring line pairs:
-RUN = WINDOW + 1  # every repeated run of so many lines holds one
+LINE_ENDS = r"(?<=\n)|(?<=[.!?][ \t\x0B\f\r])"
+SPACES = r"[ \t\x0B\f\r]{2,}|[\t\x0B\f\r]"
+RUN = 3  # a fingerprint is the lesser of two neighbouring line pairs: every run of three lines holds one
 MIN_WORDS = 20
-PLACES = 1 << 26  # lines that a document may have, at most
 
 
 def line_parts(text: Column) -> Column:
@@ -19,41 +17,24 @@ def line_parts(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), LINE_ENDS, -1)
 
 
-def _forms(text: Column) -> Column:
-    """Hash, number of words and place of each line that has a word; case and spaces aside."""
-    normal = F.transform(line_parts(text), lambda u: F.trim(F.regexp_replace(F.lower(u), r"[\x20\x09-\x0D]+", " ")))
-    placed = F.transform(normal, lambda u, i: F.struct(u.alias("u"), i.alias("at")))
-    return F.transform(
-        F.filter(placed, lambda x: x["u"] != ""),
-        lambda x: F.struct(
-            F.xxhash64(x["u"]).alias("line"), F.size(F.split(x["u"], " ")).alias("words"), x["at"].alias("at")
-        ),
-    )
-
+def _normal_lines(text: Column) -> Column:
+    """The lines without regard to case and spaces, as many as ``line_parts`` gives."""
+    parts = F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), SPACES, " "), LINE_ENDS, -1)
+    return F.transform(parts, lambda u: F.btrim(u, F.lit(" \n")))
 
-def _winnowed(pairs: Column, window: int) -> Column:
-    """Places (from 0) of the least hash of every window, the last one of equals."""
-    last = F.size(pairs) - F.lit(window)
-    windows = F.when(last > 0, F.sequence(F.lit(0), last)).otherwise(F.array(F.lit(0)))
 
-    def least(i: Column) -> Column:
-        part = F.reverse(F.slice(pairs, i + 1, F.lit(window)))
-        return i + F.size(part) - F.array_position(part, F.array_min(part)).cast("int")
-
-    return F.when(F.size(pairs) > 0, F.array_distinct(F.transform(windows, least))).otherwise(
-        F.array().cast("array<int>")
-    )
+def _winnowed(pairs: Column) -> Column:
+    """Places (from 0) of the least hash of any two neighbours, the later one of equals."""
+    n = F.greatest(F.size(pairs) - 1, F.lit(0))
+    later = F.zip_with(F.slice(pairs, 1, n), F.slice(pairs, 2, n), lambda a, b: (b <= a).cast("int"))
+    few = F.when(F.size(pairs) > 0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    return F.when(n > 0, F.array_distinct(F.transform(later, lambda c, i: i + c))).otherwise(few)
 
 
 def _equal_places(mine: Column, other: Column, shift: Column) -> Column:
     """Places of ``mine`` whose hash stands ``shift`` places earlier in ``other``."""
-    # Both sides are brought to the same first place, then compared side by side.
-    start = F.greatest(shift, F.lit(0))
-    n = F.least(F.size(mine), F.size(other) + shift) - start
-    same = F.zip_with(
-        F.slice(mine, start + 1, n), F.slice(other, start - shift + 1, n), lambda a, b: a == b
-    )
-    return F.filter(F.transform(same, lambda s, i: F.when(s, i + start)), lambda i: i.isNotNull())
+    first, last = F.greatest(shift, F.lit(0)), F.least(F.size(mine), F.size(other) + shift) - 1
+    return F.filter(F.sequence(first, last), lambda i: F.get(mine, i) == F.get(other, i - shift))
 
 
 def _runs(places: Column) -> Column:
@@ -70,41 +51,74 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Returns doc_id, text_hash, n_lines, n_words (lines with a word), removed (numbers of the
     lines to delete, from 0, among ``line_parts``), n_removed_words. Earlier is by doc_id (null
-    first), then by a hash of the text, then by place. A run is deleted if it has RUN lines and
-    ``min_words`` words or more, and equals, case and spaces aside, a run that holds the first
-    occurrence of one of its fingerprints; the run is extended both ways as far as lines are equal.
+    first), then by the order of the table, then by place. A run is deleted if it has RUN lines and
+    ``min_words`` words or more, and equals, case and spaces aside, a run that holds the last or the first
+    occurrence before of one of its fingerprints; the run is extended both ways as far as lines are equal.
     What is deleted stands somewhere earlier, and the earliest occurrence stays.
 
-    Each fingerprint is compared with its first occurrence only: pairs grow with the rows.
+    Each fingerprint is compared with its last occurrence in the same document or, if there is
+    none, with its first one in the table: pairs grow with the rows.
     Null and empty texts have no lines. Equal rows follow each other; all but the first lose
     their repeated runs. Other columns are not read.
     """
-    shaped = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _forms(F.col("text")).alias("forms"))
-    ranked = with_prefix(
-        shaped.withColumn("one", F.lit(1)), [F.col("doc_id"), F.col("text_hash")], "one", "before", "rank"
+    worded = lambda u: u != ""
+    lines = settle(
+        docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _normal_lines(F.col("text")).alias("u"))
+        .select(
+            "doc_id", "text_hash",
+            F.transform(F.filter("u", worded), lambda u: F.xxhash64(u)).alias("line"),
+            F.transform(
+                F.filter("u", worded), lambda u: F.length(u) - F.length(F.replace(u, F.lit(" "), F.lit(""))) + 1
+            ).alias("words"),
+            F.filter(F.transform("u", lambda u, i: F.when(worded(u), i)), lambda i: i.isNotNull()).alias("at"),
+            F.monotonically_increasing_id().alias("row"),
+        )
     )
-    lines = settle(ranked.select(
-        "rank", "doc_id", "text_hash", F.col("forms.line").alias("line"), F.col("forms.words").alias("words"),
-        F.col("forms.at").alias("at"),
-    ))
     n_pairs = F.greatest(F.size("line") - 1, F.lit(0))
     pairs = F.zip_with(F.slice("line", 1, n_pairs), F.slice("line", 2, n_pairs), lambda a, b: F.xxhash64(a, b))
-    marks = (
-        lines.select("rank", pairs.alias("pairs"))
-        .select("rank", "pairs", F.explode(_winnowed(F.col("pairs"), WINDOW)).alias("i"))
-        .select(F.get("pairs", F.col("i")).alias("mark"), (F.col("rank") * PLACES + F.col("i")).alias("place"))
+    placed = (
+        lines.select("doc_id", "row", "line", pairs.alias("pairs"))
+        .select("doc_id", "row", "line", "pairs", _winnowed(F.col("pairs")).alias("places"))
+        .select("doc_id", "row", "line", F.array_sort(F.transform(
+            "places", lambda i: F.struct(F.get("pairs", i).alias("mark"), i.alias("i"))
+        )).alias("marks"))
+        # Sorted so, a mark's earlier place in the same document stands before it.
+        .select("doc_id", "row", "line", F.zip_with(
+            "marks", F.concat(F.array(F.lit(None).cast("struct<mark:bigint,i:int>")), "marks"),
+            lambda m, p: F.struct(m["mark"].alias("mark"), m["i"].alias("i"), F.when(p["mark"] == m["mark"], p["i"]).alias("p")),
+        ).alias("marks"))
+    )
+    known = F.filter("marks", lambda m: m["mark"].isNotNull())
+    again = F.filter("marks", lambda m: m["p"].isNotNull() & (
+        (F.get("line", m["i"] - 1) == F.get("line", m["p"] - 1))
+        | (F.get("line", m["i"] + 2) == F.get("line", m["p"] + 2))
+    ))
+    inside = placed.select(
+        "row", F.col("row").alias("other"),
+        F.explode(F.array_distinct(F.transform(again, lambda m: m["i"] - m["p"]))).alias("shift"),
     )
-    first = marks.groupBy("mark").agg(F.min("place").alias("origin"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = (
-        marks.join(first, "mark").filter("place > origin")
+    # Beside a fingerprint, the lines before and after it: without one of them no run comes about.
+    beside = lambda place: F.pmod(F.get("line", place), F.lit(1 << 31)).cast("int")
+    marks = (
+        placed.select("doc_id", "row", "line", F.explode(F.filter(known, lambda m: m["p"].isNull())).alias("m"))
         .select(
-            F.expr(f"place div {PLACES}").alias("rank"), F.expr(f"origin div {PLACES}").alias("other"),
-            (F.col("place") % PLACES - F.col("origin") % PLACES).cast("int").alias("shift"),
+            "m.mark", "doc_id", "row", "m.i",
+            beside(F.col("m.i") - 1).alias("before"), beside(F.col("m.i") + 2).alias("after"),
         )
-        .distinct()
     )
-    mine = lines.select("rank", "line", "words")
-    theirs = lines.select(F.col("rank").alias("other"), F.col("line").alias("other_line"))
+    first = (
+        marks.groupBy("mark")
+        .agg(F.min(F.struct("doc_id", "row", "i", "before", "after")).alias("o"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1").select("mark", "o")
+    )
+    across = (
+        marks.join(first, "mark")
+        .filter("row <> o.row").filter("before = o.before or after = o.after")
+        .select("row", F.col("o.row").alias("other"), (F.col("i") - F.col("o.i")).alias("shift"))
+    )
+    shared = across.distinct().union(inside)
+    mine = lines.select("row", "line", "words")
+    theirs = lines.select(F.col("row").alias("other"), F.col("line").alias("other_line"))
     run_words = lambda r: F.aggregate(
         F.slice("words", r["first"] + 1, r["last"] - r["first"] + 1), F.lit(0), lambda a, b: a + b
     )
@@ -113,18 +127,19 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     # One array is made per step: an expression inside a function of another is worked out for each element.
     gone = (
-        shared.join(mine, "rank").join(theirs, "other")
-        .select("rank", "words", _equal_places(F.col("line"), F.col("other_line"), F.col("shift")).alias("places"))
+        shared.join(mine, "row").join(theirs, "other")
+        .select("row", "words", _equal_places(F.col("line"), F.col("other_line"), F.col("shift")).alias("places"))
         .filter(F.size("places") >= RUN)
-        .select("rank", "words", _runs(F.col("places")).alias("runs"))
-        .select("rank", F.explode(long_runs).alias("r"))
-        .select("rank", F.explode(F.sequence("r.first", "r.last")).alias("i"))
-        .distinct()
-        .groupBy("rank").agg(F.collect_list("i").alias("gone"))
+        .select("row", "words", _runs(F.col("places")).alias("runs"))
+        .select("row", F.explode(long_runs).alias("r"))
+        .groupBy("row").agg(F.collect_set("r").alias("runs"))
+        .select("row", F.array_distinct(F.flatten(
+            F.transform("runs", lambda r: F.sequence(r["first"], r["last"]))
+        )).alias("gone"))
     )
     total = lambda column: F.aggregate(column, F.lit(0).cast("long"), lambda a, b: a + b)
     gone_or_none = F.coalesce("gone", F.array().cast("array<int>"))
-    return lines.join(gone, "rank", "left").select(
+    return lines.join(gone, "row", "left").select(
         "doc_id", "text_hash",
         F.size("line").cast("long").alias("n_lines"), total(F.col("words")).alias("n_words"),
         F.sort_array(F.transform(gone_or_none, lambda i: F.get(F.col("at"), i))).alias("removed"),
