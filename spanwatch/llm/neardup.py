@@ -6,20 +6,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanwatch.llm.graph import components
-from spanwatch.llm.scratch import documents, settle
+from spanwatch.llm.scratch import compact, documents, free_names, partitions, release, settle
 from spanwatch.llm.words import LOWER, SHINGLE, Words, mix, pieces, shingles
 
 BINS = 256
 ROWS = 5
 MISS = 1e-5
-CENTRES = 2
+CENTRES = 4
 PERCENT = 85
 SET = ["n_shingles", "set_a", "set_b"]
-SKETCH = ["s0", "s1", "s2", "s3"]
+SKETCH = [f"s{k}" for k in range(8)]
 SIGNED = "doc_id long, n_shingles long, set_a long, set_b long"
 SURE = 64  # sets of so many shingles have sketches that can rule a pair out
 
@@ -30,10 +30,10 @@ def band_count(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
     return min(math.ceil(math.log(miss) / math.log1p(-(s**rows))), BINS // rows) if s < 1 else 1
 
 
-def most_bits(percent: int) -> int:
-    """Differing sketch bits that a pair at the threshold exceeds by chance only at five standard deviations."""
-    rate = (1 - percent / 100) / 2
-    return math.ceil(BINS * rate + 5 * math.sqrt(BINS * rate * (1 - rate)))
+def most_unlike(percent: int) -> int:
+    """Bins with differing sketches that a pair at the threshold exceeds only beyond four and a half deviations."""
+    rate = (1 - percent / 100) * 3 / 4
+    return math.ceil(BINS * rate + 4.5 * math.sqrt(BINS * rate * (1 - rate)))
 
 
 def signature(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
@@ -67,8 +67,9 @@ def bands(sig: np.ndarray, n: int, rows: int = ROWS) -> np.ndarray:
 
 
 def sketch(sig: np.ndarray) -> np.ndarray:
-    """The lowest bit of every bin."""
-    return np.packbits((sig & np.uint64(1)).astype(np.uint8)).view(np.int64)
+    """Two bits of every bin: all low bits, then all high ones."""
+    low, high = sig & np.uint64(1), (sig >> np.uint64(1)) & np.uint64(1)
+    return np.packbits(np.concatenate((low, high)).astype(np.uint8)).view(np.int64)
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:
@@ -133,58 +134,61 @@ def _verified(pairs: DataFrame, bags: DataFrame, percent: int) -> DataFrame:
 
 
 def _likely(percent: int):
-    """Whether a member and a centre may be similar enough, by set sizes and sketches."""
-    fits = (100 * F.least("n_shingles", "c_n") >= percent * F.greatest("n_shingles", "c_n"))
-    differ = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"c_{s}"))) for s in SKETCH), F.lit(0))
-    return fits & ((F.least("n_shingles", "c_n") < SURE) | (differ <= most_bits(percent)))
+    """Whether a member and a centre may be similar enough, by what they can share and by sketches."""
+    common = F.least(F.col("n_shingles") - F.col("alone"), F.col("c_n") - F.col("c_alone"))
+    fits = (100 + percent) * common >= percent * (F.col("n_shingles") + F.col("c_n"))
+    apart = [F.col(s).bitwiseXOR(F.col(f"c_{s}")) for s in SKETCH]
+    half = len(SKETCH) // 2
+    unlike = sum((F.bit_count(x.bitwiseOR(y)) for x, y in zip(apart[:half], apart[half:])), F.lit(0))
+    alike = (F.least("n_shingles", "c_n") < SURE) | (unlike <= most_unlike(percent))
+    # A pair that shares several buckets is compared in the first of them.
+    return fits & alike & (F.get(F.array_intersect("bands", "c_bands"), F.lit(0)) == F.col("key"))
 
 
 def near_links(members: DataFrame, bags: DataFrame, percent: int) -> DataFrame | None:
-    """Components (id, label) of distinct sets from their buckets (key, id, popular, sizes and sketches).
-
-    Per bucket and round, a few centres are compared with all members: pairs grow with the
-    members, not with their square. A member that is already in a centre's component needs
-    no comparison, and one whose size or sketch rules it out gets none. Centres leave after
-    their round, having met everybody; a bucket is done when its members share one
-    component. Later rounds take more centres, so that buckets whose members are alike but
-    not similar enough come to an end, too. At the end, each pair of a bucket was
-    compared, ruled out, or is connected.
+    """Components (id, label) of distinct sets from their buckets (key, id, n, popular, bands, sizes, alone, sketches).
+
+    Per bucket and round, a few centres, the most popular of their share of the bucket, are
+    compared with all members: pairs grow with the members, not with their square. A member
+    that is already in a centre's component needs no comparison, and a pair that too few
+    shared shingles or the sketches rule out gets none. A pair that shares several buckets
+    meets in the first of them. Centres leave after their round, having met everybody; a
+    bucket is done when its members share one component. Later rounds take more centres, so
+    that buckets whose members are alike but not similar enough come to an end, too. At the
+    end, each pair of a bucket was compared, ruled out, or is connected.
     """
     labels, centres = None, CENTRES
-    while True:
-        if labels is None:
-            members = members.withColumn("label", F.col("id"))
-        else:
-            members = (
-                members.drop("label").join(labels, "id", "left")
-                .withColumn("label", F.coalesce("label", "id"))
-            )
-            mixed = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-            members = members.join(mixed.filter("lo < hi").select("key"), "key")
-        members = settle(members)
-        if members.isEmpty():
-            return labels
+    members = compact(members.withColumn("label", F.col("id")))
+    while not members.isEmpty():
+        parts = partitions(members)
         slot = F.pmod(F.xxhash64("id", F.lit(centres)), F.lit(centres))
-        best = F.max(F.struct("popular", (-F.col("id")).alias("minus"), "label", "n_shingles", *SKETCH)).alias("c")
-        chosen = settle(
+        facts = ["n_shingles", "alone", *SKETCH, "bands"]
+        best = F.max(F.struct("popular", (-F.col("id")).alias("minus"), "label", *facts)).alias("c")
+        chosen = compact(
             members.groupBy("key", slot.alias("slot")).agg(best).select(
-                "key", (-F.col("c.minus")).alias("centre"), F.col("c.label").alias("c_label"),
-                F.col("c.n_shingles").alias("c_n"), *[F.col(f"c.{s}").alias(f"c_{s}") for s in SKETCH],
-            )
+                F.col("key").alias("c_key"), (-F.col("c.minus")).alias("centre"), F.col("c.label").alias("c_label"),
+                F.col("c.n_shingles").alias("c_n"), *[F.col(f"c.{f}").alias(f"c_{f}") for f in facts[1:]],
+            ).coalesce(parts)
         )
+        meet = (F.col("key") == F.col("c_key")) & (F.col("label") != F.col("c_label"))
         pairs = (
-            members.join(chosen, (members["key"] == chosen["key"]) & (F.col("label") != F.col("c_label")) & _likely(percent))
-            .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
-            .distinct()
+            members.join(chosen, meet & _likely(percent))
+            .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
         )
-        found = _verified(settle(pairs), bags, percent)
+        found = _verified(compact(pairs), bags, percent)
         if labels is not None:  # what earlier rounds found, one edge per node
             found = found.union(labels.filter("id <> label").select(F.col("label").alias("a"), F.col("id").alias("b")))
-        labels = components(settle(found))
-        members = members.join(
-            chosen.select("key", F.col("centre").alias("id")), ["key", "id"], "left_anti"
+        labels = components(found)
+        met = chosen.select(F.col("c_key").alias("key"), F.col("centre").alias("id"))
+        members = (
+            members.drop("label").join(met, ["key", "id"], "left_anti").coalesce(parts)
+            .join(labels, "id", "left").coalesce(parts).withColumn("label", F.coalesce("label", "id"))
         )
-        centres *= 4
+        mixed = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
+        members = compact(members.join(mixed.select("key").coalesce(parts), "key").coalesce(parts))
+        centres *= 16
+        release(members.sparkSession)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
@@ -218,9 +222,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     popular = members.groupBy("id").agg(F.sum("n").alias("popular"))
     facts = settle(
         one.join(popular, F.col("doc_id") == F.col("id"))
-        .select("id", "popular", *SET, *[F.col("sketch")[k].alias(s) for k, s in enumerate(SKETCH)])
+        .select("id", "popular", "bands", *SET, *[F.col("sketch")[k].alias(s) for k, s in enumerate(SKETCH)])
     )
-    members = members.select("key", "id").join(facts.drop("set_a", "set_b"), "id")
+    members = members.join(facts.drop("set_a", "set_b"), "id")
     bags = docs.join(facts.select(F.col("id").alias("doc_id"), "set_a", "set_b"), "doc_id").mapInArrow(
         _sets(size), "doc_id long, bag array<long>"
     )
@@ -228,6 +232,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     bags = settle(bags.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id"))
     if own.count() < known.count():
         bags = settle(bags.dropDuplicates(["doc_id"]))
+    # Shingles that no other member has: nobody can share them.
+    alone = (
+        bags.select("doc_id", F.explode("bag").alias("s")).groupBy("s")
+        .agg(F.count(F.lit(1)).alias("holders"), F.min("doc_id").alias("id")).filter("holders = 1")
+        .groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
+    )
+    members = (
+        members.join(compact(alone), "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0).cast("long")))
+        .filter(100 * (F.col("n_shingles") - F.col("alone")) >= percent * F.col("n_shingles"))
+    )
+    release(spark)
     placed = own.join(classes.withColumnRenamed("doc_id", "id"), SET).select("doc_id", "id")
     labels = near_links(members, bags, percent)
     if labels is not None:
@@ -242,6 +257,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     )
 
 
+def first_of_each(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
+    """Rows of ``docs`` that stand for their group of near-duplicates, with all their columns.
+
+    Of rows that share a doc_id the one with the least hash of its text stays. Rows without
+    doc_id all stay.
+    """
+    kept_id, row = free_names(docs.columns, "kept_id", "row")
+    found = settle(near_duplicates(docs, percent, size).filter("kept and doc_id is not null").select("doc_id"))
+    ids = found.distinct().withColumnRenamed("doc_id", kept_id)
+    kept = docs.join(ids, docs["doc_id"] == F.col(kept_id), "left_semi")
+    if found.count() > ids.count():
+        order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+        kept = kept.withColumn(row, F.row_number().over(order)).filter(F.col(row) == 1).drop(row)
+    return kept.union(docs.filter("doc_id is null"))
+
+
 def op4_near_duplicates(spark, sf_dir) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 

@@ -38,12 +38,24 @@ def compact(df: DataFrame, rows: int = 100_000) -> DataFrame:
     """
     df = settle(df)
     few = 1 + df.count() // rows
-    if few < df._jdf.rdd().getNumPartitions():
+    if few < partitions(df):
         df = df.coalesce(few)
     spark = df.sparkSession
     return DataFrame(spark._jsparkSession.createDataFrame(df._jdf.toJavaRDD(), df._jdf.schema()), spark)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner see which frames of a loop are gone, so that it deletes their shuffles and checkpoints.
+
+    The driver's collector runs seldom by itself, and a loop's disk would grow with its rounds.
+    """
+    spark._jvm.System.gc()
+
+
+def partitions(df: DataFrame) -> int:
+    return max(1, df._jdf.rdd().getNumPartitions())
+
+
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written as Parquet to the shared folder and read again, and its path."""
     use_shared_folder(df.sparkSession)
