@@ -7,6 +7,7 @@ from spanwatch.functions.expressions import (
     kpi_value,
     millis_between,
     phase_id,
+    utc_wall,
 )
 
 __all__ = [
@@ -18,4 +19,5 @@ __all__ = [
     "kpi_value",
     "millis_between",
     "phase_id",
+    "utc_wall",
 ]

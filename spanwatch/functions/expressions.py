@@ -33,14 +33,23 @@ def phase_id(phase: Column | str, instance: Column | str) -> Column:
     return F.concat_ws("_", _col(phase), _col(instance))
 
 
+def utc_wall(ts: Column | str) -> Column:
+    """A time as UTC wall time without a zone, in any session zone; times without a zone are UTC already."""
+    plain = _col(ts).cast("timestamp_ntz")
+    shifted = F.convert_timezone(F.current_timezone(), F.lit("UTC"), plain)
+    return F.when(F.typeof(_col(ts)) == "timestamp_ntz", plain).otherwise(shifted)
+
+
 def iso_utc(ts: Column | str) -> Column:
-    """ISO-8601 text with milliseconds, in a UTC session."""
-    return F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    """ISO-8601 text in UTC with milliseconds."""
+    text = utc_wall(ts).cast("string")  # formatting by pattern would go by the session zone
+    millis = F.rpad(F.substring(text, 21, 3), 3, "0")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), millis, F.lit("Z"))
 
 
 def day_name(prefix: str, ts: Column | str) -> Column:
-    """Name of the daily target, such as ``bam-2024.01.31``."""
-    return F.concat(F.lit(prefix), F.date_format(_col(ts), "yyyy.MM.dd"))
+    """Name of the daily target of the UTC day, such as ``bam-2024.01.31``."""
+    return F.concat(F.lit(prefix), F.translate(utc_wall(ts).cast("date").cast("string"), "-", "."))
 
 
 def millis_between(start: Column | str, end: Column | str) -> Column:

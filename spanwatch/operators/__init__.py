@@ -2,6 +2,7 @@ from spanwatch.operators.alarms import alarm_ids, alarm_messages, alarms
 from spanwatch.operators.correlate import (
     classify,
     correlated,
+    correlated_events,
     ends_without_start,
     finished,
     finished_events,
@@ -27,7 +28,7 @@ from spanwatch.operators.pending import (
     unresolved_ends,
     unresolved_side,
 )
-from spanwatch.operators.phases import latest_phases, phase_events, phases
+from spanwatch.operators.phases import latest_phases, phase_ends, phase_events, phases
 from spanwatch.operators.reports import group_count, pair_counts, trace_counts, violation_count
 from spanwatch.operators.sides import ends, starts
 
@@ -37,6 +38,7 @@ __all__ = [
     "alarms",
     "classify",
     "correlated",
+    "correlated_events",
     "daily_documents",
     "documents",
     "ends",
@@ -52,6 +54,7 @@ __all__ = [
     "open_side",
     "orphan_side",
     "pair_counts",
+    "phase_ends",
     "phase_events",
     "phases",
     "resolve_pending",

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from spanwatch.functions import fill_template, kpi_text
 from spanwatch.operators.documents import KPI_THRESHOLD
-from spanwatch.operators.matching import expand_matches
 
 PAGE_IDS = 1000
 
@@ -32,8 +31,8 @@ def _violating(docs: DataFrame, threshold: int) -> DataFrame:
 
 
 def alarm_ids(docs: DataFrame, threshold: int = KPI_THRESHOLD) -> DataFrame:
-    """Ids of the violating documents, one row per violation."""
-    return expand_matches(_violating(docs, threshold).select("id", "matches"))
+    """Ids of the violating documents, each with the number of its violations (``matches``)."""
+    return _violating(docs, threshold).select("id", "matches")
 
 
 def alarms(docs: DataFrame, threshold: int = KPI_THRESHOLD, page_ids: int = PAGE_IDS) -> DataFrame:
@@ -44,12 +43,13 @@ def alarms(docs: DataFrame, threshold: int = KPI_THRESHOLD, page_ids: int = PAGE
     over as many pages as it needs for about ``page_ids`` ids each, so no task and
     no text ever holds a whole group.
     """
+    return alarms_of(_violating(docs, threshold).withColumn("n", F.col("matches")), threshold, page_ids)
+
+
+def alarms_of(violations: DataFrame, threshold: int = KPI_THRESHOLD, page_ids: int = PAGE_IDS) -> DataFrame:
+    """Alarm rows from violations counted per process, activity name and ``id`` (``n``, summed up here)."""
     group = ["businessProcessName", "businessProcessActivityName"]
-    per_id = (
-        _violating(docs, threshold)
-        .groupBy(*group, "id")
-        .agg(F.sum(F.col("matches").cast("decimal(19,0)")).alias("n"))
-    )
+    per_id = violations.groupBy(*group, "id").agg(F.sum(F.col("n").cast("decimal(19,0)")).alias("n"))
     sizes = per_id.groupBy(*[F.col(c).alias(f"_{c}") for c in group]).agg(
         F.ceil(F.count(F.lit(1)) / page_ids).alias("pages"), F.sum("n").alias("allViolations")
     )

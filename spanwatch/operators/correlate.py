@@ -43,9 +43,21 @@ def finished_columns() -> list:
     )
 
 
+def correlated_events(events: DataFrame) -> DataFrame:
+    """All starts and ends, each once, with the number of ``matches`` it has on the other side
+    and the time of the latest of them: what ``correlated`` says in m times n rows, in m + n."""
+    last = {"_lastStart": F.max(F.when(F.col("eventType") == ACTIVITY_START, F.col("timestamp"))),
+            "_lastEnd": F.max(F.when(F.col("eventType") == ACTIVITY_END, F.col("timestamp")))}
+    rows = classify(events, **last)
+    partner = F.when(F.col("eventType") == ACTIVITY_START, F.col("_lastEnd")).otherwise(F.col("_lastStart"))
+    return rows.withColumn("partnerTimestamp", partner).drop(*last)
+
+
 def correlated(events: DataFrame) -> DataFrame:
     """Full outer join of starts and ends: one row per pair, open start and orphan end.
 
+    A key with m starts and n ends has m times n rows; ``correlated_events`` has m + n.
+
     Adaptive execution cannot split a skewed full outer join. So the pairs come from
     an inner join, which it can split on either side, and the unmatched rows from
     anti joins that reuse the inner join's shuffles. Null keys are not shuffled.
@@ -85,11 +97,12 @@ def finished_events(events: DataFrame) -> DataFrame:
     return expand_matches(finished(events))
 
 
-def classify(events: DataFrame) -> DataFrame:
+def classify(events: DataFrame, **totals) -> DataFrame:
     """All starts and ends, each with the number of ``matches`` it has on the other side.
 
     One pass over the full rows serves all three classes; use ``finished_side``,
-    ``open_side`` and ``orphan_side`` on the stored result.
+    ``open_side`` and ``orphan_side`` on the stored result. ``totals`` are further
+    aggregates of the key's events, added as columns.
     """
     is_start = F.col("eventType") == ACTIVITY_START
     activities = events.where(F.col("eventType").isin(ACTIVITY_START, ACTIVITY_END))
@@ -100,7 +113,7 @@ def classify(events: DataFrame) -> DataFrame:
         F.col("payload")[IP_CHECK_KEY].alias(IP_CHECK_KEY),
     )
     counts = key_counts(
-        activities, PAIR_KEYS, _starts=F.count_if(is_start), _ends=F.count_if(~is_start)
+        activities, PAIR_KEYS, _starts=F.count_if(is_start), _ends=F.count_if(~is_start), **totals
     )
     rows = join_key_counts(keyed_or_spread(activities, PAIR_KEYS), PAIR_KEYS, counts, "left_outer")
     matches = F.coalesce(F.when(is_start, F.col("_ends")).otherwise(F.col("_starts")), F.lit(0))

@@ -2,8 +2,9 @@
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from spanwatch.functions import day_name, document_id, kpi_text, kpi_value
+from spanwatch.functions import day_name, document_id, kpi_text, kpi_value, utc_wall
 from spanwatch.schema import IP_CHECK_KEY, TRACE_KEY
 
 # The limit in milliseconds, the daily target's name, the document's columns.
@@ -28,6 +29,13 @@ DOCUMENT_COLUMNS = [
 ]
 
 
+_OTHER_TYPES = {
+    "@version": T.IntegerType(), "@timestamp": T.TimestampType(), "durationInMillis": T.LongType(),
+    "payload": T.MapType(T.StringType(), T.StringType()),
+}
+DOCUMENT_SCHEMA = T.StructType([T.StructField(c, _OTHER_TYPES.get(c, T.StringType())) for c in DOCUMENT_COLUMNS])
+
+
 def with_kpi(rows: DataFrame, threshold=KPI_THRESHOLD, duration: str = "durationInMillis") -> DataFrame:
     """Add ``kpiThresholdValue``, ``kpiStatusText`` and ``kpiStatusValue``.
 
@@ -91,6 +99,6 @@ def latest_documents(docs: DataFrame) -> DataFrame:
 def daily_documents(docs: DataFrame, prefix: str = INDEX_PREFIX) -> DataFrame:
     """The latest version of each id within its day, with the day (``doc_date``) and its target."""
     dated = docs.drop("matches").withColumns(
-        {"doc_date": F.to_date("@timestamp"), "target": day_name(prefix, F.col("`@timestamp`"))}
+        {"doc_date": utc_wall("`@timestamp`").cast("date"), "target": day_name(prefix, F.col("`@timestamp`"))}
     )
     return first_per(dated, ["doc_date", "id"], latest_first())

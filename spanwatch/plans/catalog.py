@@ -1,36 +1,38 @@
 """The registered queries: each operator over the whole ``events`` table."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanwatch import operators as op
 from spanwatch.functions import iso_utc
 from spanwatch.schema import (
-    ACTIVITY_END,
     ACTIVITY_START,
     COMMON_COLUMNS,
     IP_CHECK_KEY,
+    PAIR_KEYS,
     TRACE_KEY,
     prefixed,
 )
 from spanwatch.session import stateful_session, work_dir
-from spanwatch.sources import PendingStore, parse_events, raw_records, stream_values
+from spanwatch.sources import KeyedLog, parse_events, raw_records, read_rules, stream_values
 from spanwatch.sources.tables import (
     activity_events,
     as_json_values,
-    as_process_events,
+    crossing_events,
+    crossing_rules,
     phase_rules,
     process_events,
 )
 from spanwatch.streaming import (
+    read_alarms,
     read_documents,
     read_phases,
+    read_unmatched,
     run_correlation,
+    run_key_totals,
     run_phases,
-    stream_correlated,
 )
+from spanwatch.streaming.join import KEY_TOTALS_SCHEMA
 
 # Fixed value: where the two-batch queries cut the table.
 CUT = "2024-01-16 00:00:00"
@@ -98,9 +100,16 @@ def q_raw_records(spark, sf_dir):
     return raw_records(topic)
 
 
+def _rules_from_file(spark, rules: DataFrame) -> DataFrame:
+    """Rules as users give them: a JSON array in a file."""
+    path = work_dir(spark, "rules")
+    rules.agg(F.to_json(F.collect_list(F.struct(*rules.columns)))).write.text(path)
+    return read_rules(spark, path)
+
+
 def q_phase_rules(spark, sf_dir):
     """How many events each rule finds for either side; rules that find none are listed too."""
-    rules = phase_rules(spark)
+    rules = _rules_from_file(spark, phase_rules(spark))
     found = op.phase_events(activity_events(spark, sf_dir), rules)
     per_rule = found.groupBy("rule").agg(
         F.count_if(F.col("side") == "s").alias("starts"), F.count_if(F.col("side") == "e").alias("ends")
@@ -119,7 +128,7 @@ def q_end_events(spark, sf_dir):
 
 
 def q_correlated(spark, sf_dir):
-    return op.correlated(activity_events(spark, sf_dir))
+    return op.correlated_events(activity_events(spark, sf_dir))
 
 
 def q_classified(spark, sf_dir):
@@ -127,7 +136,7 @@ def q_classified(spark, sf_dir):
 
 
 def q_finished_events(spark, sf_dir):
-    return op.finished_events(activity_events(spark, sf_dir))
+    return op.finished(activity_events(spark, sf_dir))
 
 
 def q_starts_without_end(spark, sf_dir):
@@ -139,12 +148,12 @@ def q_ends_without_start(spark, sf_dir):
 
 
 def q_kpi_status(spark, sf_dir):
-    return op.expand_matches(op.with_kpi(op.finished(activity_events(spark, sf_dir))))
+    return op.with_kpi(op.finished(activity_events(spark, sf_dir)))
 
 
 def q_kpi_violations(spark, sf_dir):
     checked = op.with_kpi(op.finished(activity_events(spark, sf_dir)))
-    return op.expand_matches(op.violations(checked))
+    return op.violations(checked)
 
 
 def q_violation_count(spark, sf_dir):
@@ -154,7 +163,7 @@ def q_violation_count(spark, sf_dir):
 
 
 def q_documents(spark, sf_dir):
-    return _payload_columns(op.expand_matches(_documents(spark, sf_dir)))
+    return _payload_columns(_documents(spark, sf_dir))
 
 
 def q_documents_latest(spark, sf_dir):
@@ -186,16 +195,14 @@ def q_orphans_per_trace(spark, sf_dir):
 
 
 def q_group_counts(spark, sf_dir):
-    events = activity_events(spark, sf_dir)
-    counted = [
-        ("finished", op.group_count(op.pair_counts(events), *FINISHED_GROUP)),
-        ("open", op.group_count(op.starts_without_end(events), *START_GROUP)),
-        ("orphan", op.group_count(op.ends_without_start(events), *END_GROUP)),
-        ("resolved", op.group_count(_resolved(spark, sf_dir), *FINISHED_GROUP)),
-    ]
-    return reduce(
-        DataFrame.unionByName, [rows.select(F.lit(kind).alias("kind"), "groups") for kind, rows in counted]
-    )
+    """Groups per class: three classes come from one pass over the events."""
+    is_start, alone = F.col("eventType") == ACTIVITY_START, F.col("matches") == 0
+    kind = F.when(is_start & alone, "open").when(~is_start & alone, "orphan").when(~is_start, "finished")
+    group = ["kind", *FINISHED_GROUP]
+    classes = op.classify(activity_events(spark, sf_dir)).withColumn("kind", kind).where("kind IS NOT NULL")
+    resolved = _resolved(spark, sf_dir).withColumn("kind", F.lit("resolved"))
+    groups = classes.select(*group).union(resolved.select(*group)).distinct()
+    return groups.groupBy("kind").agg(F.count(F.lit(1)).alias("groups"))
 
 
 def q_alarm_ids(spark, sf_dir):
@@ -231,7 +238,7 @@ def _resolved(spark, sf_dir):
 
 
 def q_resolve_pending(spark, sf_dir):
-    return op.expand_matches(_resolved(spark, sf_dir))
+    return _resolved(spark, sf_dir)
 
 
 def q_still_pending(spark, sf_dir):
@@ -259,13 +266,30 @@ PHASE_COLUMNS = [
 PHASE_KPI_COLUMNS = ["kpiThresholdValue", "kpiStatusText", "kpiStatusValue", "documentType"]
 
 
+PHASE_END_COLUMNS = [
+    "businessProcessInstanceId",
+    "sTimestamp",
+    *[prefixed("e", c) for c in COMMON_COLUMNS if c != "businessProcessInstanceId"],
+    "businessProcessPhaseName",
+    "id",
+    "durationInMillis",
+    "matches",
+]
+
+
 def q_phases(spark, sf_dir):
-    return op.phases(activity_events(spark, sf_dir), phase_rules(spark)).select(*PHASE_COLUMNS)
+    return op.phase_ends(activity_events(spark, sf_dir), phase_rules(spark)).select(*PHASE_END_COLUMNS)
 
 
 def q_phase_kpi(spark, sf_dir):
-    measured = op.phases(activity_events(spark, sf_dir), phase_rules(spark))
-    return measured.select("id", "durationInMillis", *PHASE_KPI_COLUMNS)
+    measured = op.phase_ends(activity_events(spark, sf_dir), phase_rules(spark))
+    return measured.select("id", "durationInMillis", "matches", *PHASE_KPI_COLUMNS)
+
+
+def q_phases_cross(spark, sf_dir):
+    """Phases between two different activities, by rules read from a file."""
+    rules = _rules_from_file(spark, crossing_rules(spark))
+    return op.phase_ends(crossing_events(spark, sf_dir), rules).select(*PHASE_END_COLUMNS, *PHASE_KPI_COLUMNS)
 
 
 def q_phases_latest(spark, sf_dir):
@@ -302,11 +326,17 @@ def q_stream_documents(spark, sf_dir):
 
 
 def q_stream_pending(spark, sf_dir):
-    return _ntz(PendingStore(spark, f"{_run_correlation(spark, sf_dir)}/pending").read(before=2), "sTimestamp")
+    open_starts, _ = read_unmatched(spark, _run_correlation(spark, sf_dir), before=2)
+    return _ntz(open_starts, "sTimestamp")
+
+
+def q_stream_orphans(spark, sf_dir):
+    _, orphans = read_unmatched(spark, _run_correlation(spark, sf_dir), before=2)
+    return _ntz(orphans, "eTimestamp")
 
 
 def q_stream_alarms(spark, sf_dir):
-    return _whole_counts(spark.read.parquet(f"{_run_correlation(spark, sf_dir)}/alarms")).drop("message")
+    return _whole_counts(read_alarms(spark, _run_correlation(spark, sf_dir)))
 
 
 def q_stream_phases(spark, sf_dir):
@@ -318,38 +348,16 @@ def q_stream_phases(spark, sf_dir):
     return _ntz(latest, "sTimestamp", "eTimestamp")
 
 
-def _late_sentinels(spark) -> DataFrame:
-    """A start and an end far ahead in time that match nothing; they move the watermark
-    past all other events and stay in the state themselves."""
-    return spark.range(2).select(
-        F.concat(
-            F.lit('{"@timestamp":"2030-01-01T00:00:00.000Z","eventType":"'),
-            F.when(F.col("id") == 0, ACTIVITY_START).otherwise(ACTIVITY_END),
-            F.lit('","businessProcessName":"none","businessProcessActivityId":"none","payload":{"spp_trace_wf_id":"'),
-            F.col("id").cast("string"),
-            F.lit('"}}'),
-        ).alias("value")
-    )
-
-
 def q_stream_correlated(spark, sf_dir):
-    """The streaming join over both parts, restarted from its checkpoint for each."""
-    root = work_dir(spark, "join")
-    first, second = _slices(spark, sf_dir)
+    """Totals per key of a stream, restarted from its checkpoint; the later half of the events comes first."""
+    root = work_dir(spark, "totals")
     own = stateful_session(spark)
-    for part in (first, second.union(_late_sentinels(spark))):
+    for part in reversed(_slices(spark, sf_dir)):
         part.write.mode("append").text(f"{root}/in")
         events, _ = parse_events(stream_values(own, f"{root}/in"))
-        query = (
-            stream_correlated(events, max_gap="60 days")
-            .writeStream.format("parquet")
-            .option("path", f"{root}/out")
-            .option("checkpointLocation", f"{root}/checkpoint")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-    return _ntz(spark.read.parquet(f"{root}/out"), "sTimestamp", "eTimestamp")
+        run_key_totals(events, f"{root}/out", f"{root}/checkpoint", trigger=None).awaitTermination()
+    totals = KeyedLog(spark, f"{root}/out", KEY_TOTALS_SCHEMA, PAIR_KEYS).read(before=2)
+    return _ntz(totals, "lastStart", "lastEnd")
 
 
 QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith("q_")}

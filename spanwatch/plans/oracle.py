@@ -72,8 +72,13 @@ KPI = """
 k AS (SELECT *, CAST(5000 AS BIGINT) AS kpiThresholdValue,
   CASE WHEN durationInMillis > 5000 THEN 'NOK' ELSE 'OK' END AS kpiStatusText,
   CASE WHEN durationInMillis > 5000 THEN 1 ELSE 0 END AS kpiStatusValue FROM f)"""
-WITH_FINISHED = f"""{BASE},
-f AS (SELECT {FINISHED} FROM c WHERE s_here = 1 AND e_here = 1),{KPI}"""
+# Finished ends, once each, with the number of their starts.
+ENDS_ONCE = f"""
+n AS (SELECT sBusinessProcessName AS k0, sBusinessProcessActivityId AS k1, sSpp_trace_wf_id AS k2,
+  count(*) AS matches FROM s GROUP BY ALL),
+f AS (SELECT {FINISHED}, matches FROM e JOIN n
+  ON eBusinessProcessName = k0 AND eBusinessProcessActivityId = k1 AND eSpp_trace_wf_id = k2)"""
+WITH_FINISHED = f"{BASE},{ENDS_ONCE},{KPI}"
 DOC_COLUMNS = [
     '"@version"', '"@timestamp"', "documentType", "eventType", "technicalOrigin", "businessOrigin",
     "businessProcessId", "businessProcessName", "businessProcessVersion",
@@ -89,8 +94,11 @@ d AS (SELECT version AS "@version", timestamp AS "@timestamp", 'correlated_event
   businessProcessInstanceId, durationInMillis,
   concat_ws('_', businessProcessName, businessProcessActivityName, spp_trace_wf_id) AS id,
   spp_trace_wf_id, ipCheckResult, CAST(kpiThresholdValue AS VARCHAR) AS kpiThresholdValue,
-  kpiStatusText, CAST(kpiStatusValue AS VARCHAR) AS kpiStatusValue FROM k)"""
+  kpiStatusText, CAST(kpiStatusValue AS VARCHAR) AS kpiStatusValue, matches FROM k)"""
 WITH_DOCS = f"{WITH_FINISHED},{DOCUMENT}"
+# The same from JSON messages: what a job leaves, wherever its batches were cut.
+BASE_MS = f"WITH {EVENT_MS_SQL},{_sides('', 'TRUE')}"
+WITH_DOCS_MS = f"{BASE_MS},{ENDS_ONCE},{KPI},{DOCUMENT}"
 DOC_ORDER = ", ".join(
     ['"@timestamp" DESC NULLS LAST', "durationInMillis DESC NULLS LAST"]
     + [f"{c} ASC NULLS LAST" for c in DOC_COLUMNS if c not in ('"@timestamp"', "durationInMillis", "id")]
@@ -105,11 +113,6 @@ orphans AS (SELECT {E_COLS} FROM c2 WHERE s_here IS NULL)"""
 
 
 TWO_BATCHES = _two_batches(EVENT_SQL)
-# What the correlation job leaves after both batches: batch 0 and 1 tell them apart.
-JOB = f"""{_two_batches(EVENT_MS_SQL)},
-f AS (SELECT {FINISHED}, 0 AS batch_id FROM c1 WHERE s_here = 1 AND e_here = 1
-  UNION ALL SELECT {FINISHED}, 1 FROM c2 WHERE s_here = 1 AND e_here = 1
-  UNION ALL SELECT {FINISHED}, 1 FROM orphans JOIN pending ON {SAME_KEY}),{KPI},{DOCUMENT.replace(" FROM k)", ", batch_id FROM k)")}"""
 DAILY = """
 dd AS (SELECT *, CAST("@timestamp" AS DATE) AS doc_date,
   concat('bam-', strftime("@timestamp", '%Y.%m.%d')) AS target FROM d)"""
@@ -147,6 +150,8 @@ def _from(alias: str, prefix: str, columns: list[str]) -> str:
 
 PHASE_OUT = f"""businessProcessInstanceId, {_names("s", SIDE)}, {_names("e", SIDE)},
   businessProcessPhaseName, id, durationInMillis"""
+PHASE_END_OUT = f"""businessProcessInstanceId, sTimestamp, {_names("e", SIDE)},
+  businessProcessPhaseName, id, durationInMillis, matches"""
 PHASE_KPI = "kpiThresholdValue, kpiStatusText, kpiStatusValue, documentType"
 
 
@@ -178,22 +183,40 @@ def _phase_order(prefix: str) -> str:
     )
 
 
-def _alarms(page_ids: int, docs: str = WITH_DOCS, batch: str = "0 AS batch_id") -> str:
+def _alarms(page_ids: int, docs: str = WITH_DOCS) -> str:
     """Alarm rows; pages by the first 60 bits of the id's md5."""
     return f"""{docs},
-v AS (SELECT businessProcessName, businessProcessActivityName, id, {batch}, count(*) AS n FROM d
+v AS (SELECT businessProcessName, businessProcessActivityName, id, sum(matches) AS n FROM d
   WHERE kpiStatusText = 'NOK' GROUP BY ALL),
-w AS (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY batch_id, businessProcessName, businessProcessActivityName)
+w AS (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY businessProcessName, businessProcessActivityName)
   / {page_ids}.0) AS BIGINT) AS pages,
-  CAST(sum(n) OVER (PARTITION BY batch_id, businessProcessName, businessProcessActivityName) AS BIGINT) AS allViolations FROM v),
+  CAST(sum(n) OVER (PARTITION BY businessProcessName, businessProcessActivityName) AS BIGINT) AS allViolations FROM v),
 x AS (SELECT *, CAST(concat('0x', substr(md5(id), 1, 15)) AS BIGINT) % pages + 1 AS page FROM w),
 alarms AS (SELECT concat('[BAM, alarm!] for Process Name [', businessProcessName, ']') AS subject,
   businessProcessName AS processName, businessProcessActivityName AS phaseName, page, pages,
   string_agg(id, ' ' ORDER BY id) AS processInstanceIds,
   string_agg(CAST(n AS VARCHAR), ' ' ORDER BY id) AS occurrences,
   CAST(sum(n) AS BIGINT) AS violations, allViolations, CAST(5000 AS BIGINT) AS threshold
-  , batch_id FROM x GROUP BY batch_id, businessProcessName, businessProcessActivityName, page, pages, allViolations)"""
-
+  FROM x GROUP BY businessProcessName, businessProcessActivityName, page, pages, allViolations)"""
+
+
+# Each phase end once, measured from the latest start of its instance.
+PHASE_ENDS = f"""
+pl AS (SELECT businessProcessPhaseName AS phase, businessProcessInstanceId AS instance, threshold,
+  max(timestamp) AS sTimestamp, count(*) AS matches FROM ps GROUP BY ALL),
+pq AS (SELECT b.businessProcessInstanceId, sTimestamp, {_from("b", "e", SIDE)}, b.businessProcessPhaseName,
+  concat_ws('_', b.businessProcessPhaseName, b.businessProcessInstanceId) AS id,
+  date_diff('millisecond', date_trunc('millisecond', sTimestamp),
+            date_trunc('millisecond', b.timestamp)) AS durationInMillis, matches, threshold
+  FROM pe b JOIN pl ON phase = b.businessProcessPhaseName AND instance = b.businessProcessInstanceId),
+px AS (SELECT * EXCLUDE (threshold), threshold AS kpiThresholdValue,
+  CASE WHEN durationInMillis > threshold THEN 'NOK' ELSE 'OK' END AS kpiStatusText,
+  CASE WHEN durationInMillis > threshold THEN 1 ELSE 0 END AS kpiStatusValue,
+  'phase_event' AS documentType FROM pq)"""
+CROSS_EVENT_SQL = EVENT_SQL.replace("CAST(user_id % 3 AS VARCHAR)) AS businessProcessActivityId",
+                                    "CAST(event_id % 3 AS VARCHAR)) AS businessProcessActivityId")
+CROSS_RULES = RULES.replace("concat('activity-', CAST(a AS VARCHAR)) AS endActivityId",
+                            "concat('activity-', CAST((p * 3 + a + 1) % 3 AS VARCHAR)) AS endActivityId")
 
 SPOILT = """
 m AS (SELECT CASE k % 10
@@ -216,7 +239,12 @@ ORACLE = {
         FROM rules r""",
     "q_start_events": f"{BASE} SELECT {S_COLS} FROM s",
     "q_end_events": f"{BASE} SELECT {E_COLS} FROM e",
-    "q_correlated": f"{BASE} SELECT {S_COLS}, {E_COLS} FROM c",
+    "q_correlated": f"""WITH {EVENT_SQL},
+        a AS (SELECT * FROM ev WHERE eventType IN ('ACTIVITY_START', 'ACTIVITY_END')),
+        m AS (SELECT eventType AS t, businessProcessName AS k0, businessProcessActivityId AS k1, spp_trace_wf_id AS k2,
+          count(*) AS n, max(timestamp) AS last FROM a GROUP BY ALL)
+        SELECT a.*, coalesce(n, 0) AS matches, last AS partnerTimestamp FROM a LEFT JOIN m ON t <> eventType
+          AND k0 = businessProcessName AND k1 = businessProcessActivityId AND k2 = spp_trace_wf_id""",
     "q_classified": f"""WITH {EVENT_SQL},
         a AS (SELECT * FROM ev WHERE eventType IN ('ACTIVITY_START', 'ACTIVITY_END'))
         SELECT a.*, (SELECT count(*) FROM a b WHERE b.eventType <> a.eventType
@@ -228,16 +256,17 @@ ORACLE = {
     "q_ends_without_start": f"{BASE} SELECT {E_COLS} FROM c WHERE s_here IS NULL",
     "q_kpi_status": f"{WITH_FINISHED} SELECT * FROM k",
     "q_kpi_violations": f"{WITH_FINISHED} SELECT * FROM k WHERE kpiStatusText = 'NOK'",
-    "q_violation_count": f"{WITH_FINISHED} SELECT count(*) AS violations FROM k WHERE kpiStatusText = 'NOK'",
-    "q_documents": f"{WITH_DOCS} SELECT {DOCS} FROM d",
+    "q_violation_count": f"""{WITH_FINISHED} SELECT CAST(coalesce(sum(matches), 0) AS BIGINT) AS violations
+        FROM k WHERE kpiStatusText = 'NOK'""",
+    "q_documents": f"{WITH_DOCS} SELECT {DOCS}, matches FROM d",
     "q_documents_latest": f"""{WITH_DOCS} SELECT {DOCS} FROM d
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY {DOC_ORDER}) = 1""",
     "q_daily_documents": f"""{WITH_DOCS},{DAILY} SELECT {DOCS}, doc_date, target FROM dd
         QUALIFY row_number() OVER (PARTITION BY doc_date, id ORDER BY {DOC_ORDER}) = 1""",
     "q_iso_timestamps": f"""WITH {EVENT_SQL} SELECT businessProcessInstanceId, eventType,
         strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%gZ') AS isoTimestamp FROM ev""",
-    "q_finished_per_trace": f"""{WITH_FINISHED} SELECT businessProcessName, spp_trace_wf_id, count(*) AS count
-        FROM f GROUP BY businessProcessName, spp_trace_wf_id""",
+    "q_finished_per_trace": f"""{WITH_FINISHED} SELECT businessProcessName, spp_trace_wf_id,
+        CAST(sum(matches) AS BIGINT) AS count FROM f GROUP BY businessProcessName, spp_trace_wf_id""",
     "q_open_per_trace": _per_trace("s", "e_here"),
     "q_orphans_per_trace": _per_trace("e", "s_here"),
     "q_group_counts": f"""{WITH_FINISHED},{_sides('1', f'timestamp < {CUT}')},{_sides('2', f'timestamp >= {CUT}')},
@@ -250,9 +279,9 @@ ORACLE = {
             AND q.sBusinessProcessActivityId = o.eBusinessProcessActivityId
             AND q.sSpp_trace_wf_id = o.eSpp_trace_wf_id)
         SELECT kind, count(*) AS groups FROM (SELECT DISTINCT kind, p, t FROM g) h GROUP BY kind""",
-    "q_alarm_ids": f"{WITH_DOCS} SELECT id FROM d WHERE kpiStatusText = 'NOK'",
-    "q_alarms": f"{_alarms(1000)} SELECT * EXCLUDE (batch_id) FROM alarms",
-    "q_alarm_pages": f"{_alarms(4)} SELECT * EXCLUDE (batch_id) FROM alarms",
+    "q_alarm_ids": f"{WITH_DOCS} SELECT id, matches FROM d WHERE kpiStatusText = 'NOK'",
+    "q_alarms": f"{_alarms(1000)} SELECT * FROM alarms",
+    "q_alarm_pages": f"{_alarms(4)} SELECT * FROM alarms",
     "q_alarm_messages": f"""{_alarms(1000)}
         SELECT subject, page, concat('Subject: ', subject, chr(10), chr(10), 'The business process ', processName,
           ' has generated the following alarm:', chr(10), chr(10), repeat('-', 42), chr(10), chr(10),
@@ -261,27 +290,36 @@ ORACLE = {
           'Ids                  : ', processInstanceIds, chr(10),
           'KPI Threshold Limit  : ', CAST(threshold AS VARCHAR), chr(10), chr(10), repeat('-', 42), chr(10), chr(10),
           'This message was delivered to you by BAM, alarm!') AS message FROM alarms""",
-    "q_resolve_pending": f"{TWO_BATCHES} SELECT {FINISHED} FROM orphans JOIN pending ON {SAME_KEY}",
+    "q_resolve_pending": f"""{TWO_BATCHES},
+        n AS (SELECT sBusinessProcessName AS k0, sBusinessProcessActivityId AS k1, sSpp_trace_wf_id AS k2,
+          count(*) AS matches FROM pending GROUP BY ALL)
+        SELECT {FINISHED}, matches FROM orphans JOIN n
+          ON eBusinessProcessName = k0 AND eBusinessProcessActivityId = k1 AND eSpp_trace_wf_id = k2""",
     "q_still_pending": f"""{TWO_BATCHES} SELECT {S_COLS} FROM pending
         WHERE NOT EXISTS (SELECT 1 FROM orphans WHERE {SAME_KEY})""",
     "q_unresolved_ends": f"""{TWO_BATCHES} SELECT {E_COLS} FROM orphans
         WHERE NOT EXISTS (SELECT 1 FROM pending WHERE {SAME_KEY})""",
     "q_phase_events": f"""WITH {EVENT_SQL},{RULES}
         SELECT 's' AS side, * EXCLUDE (threshold) FROM ps UNION ALL BY NAME SELECT 'e' AS side, * FROM pe""",
-    "q_phases": f"{WITH_PHASES} SELECT {PHASE_OUT} FROM p",
-    "q_phase_kpi": f"{WITH_PHASES} SELECT id, durationInMillis, {PHASE_KPI} FROM p",
+    "q_phases": f"WITH {EVENT_SQL},{RULES},{PHASE_ENDS} SELECT {PHASE_END_OUT} FROM px",
+    "q_phases_cross": f"""WITH {CROSS_EVENT_SQL},{CROSS_RULES},{PHASE_ENDS}
+        SELECT {PHASE_END_OUT}, {PHASE_KPI} FROM px""",
+    "q_phase_kpi": f"""WITH {EVENT_SQL},{RULES},{PHASE_ENDS}
+        SELECT id, durationInMillis, matches, {PHASE_KPI} FROM px""",
     "q_phases_latest": f"""{WITH_PHASES} SELECT {PHASE_OUT}, {PHASE_KPI} FROM p
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY {_phase_order("e")}, {_phase_order("s")}) = 1""",
-    "q_stream_correlated": f"""WITH {EVENT_MS_SQL},{_sides('', 'TRUE')}
-        SELECT {S_COLS}, {E_COLS} FROM c""",
-    "q_stream_documents": f"""{JOB},{DAILY} SELECT {DOCS}, doc_date, target FROM dd
+    "q_stream_correlated": f"""WITH {EVENT_MS_SQL}
+        SELECT businessProcessName, businessProcessActivityId, spp_trace_wf_id,
+          count(*) FILTER (eventType = 'ACTIVITY_START') AS starts, count(*) FILTER (eventType = 'ACTIVITY_END') AS ends,
+          max(timestamp) FILTER (eventType = 'ACTIVITY_START') AS lastStart,
+          max(timestamp) FILTER (eventType = 'ACTIVITY_END') AS lastEnd
+        FROM ev WHERE eventType IN ('ACTIVITY_START', 'ACTIVITY_END') AND spp_trace_wf_id IS NOT NULL GROUP BY ALL""",
+    "q_stream_documents": f"""{WITH_DOCS_MS},{DAILY} SELECT {DOCS}, doc_date, target FROM dd
         QUALIFY row_number() OVER (PARTITION BY doc_date, id ORDER BY {DOC_ORDER}) = 1""",
-    "q_stream_pending": f"""{JOB} SELECT {S_COLS} FROM pending
-        WHERE NOT EXISTS (SELECT 1 FROM orphans WHERE {SAME_KEY})
-        UNION ALL SELECT {S_COLS} FROM c2 WHERE e_here IS NULL""",
-    "q_stream_alarms": f"""{_alarms(1000, JOB, "batch_id")} SELECT * FROM alarms""",
-    "q_stream_phases": f"""WITH {EVENT_MS_SQL},{RULES},{_measured_sql(
-        f"AND (a.timestamp < {CUT}) = (b.timestamp < {CUT})")}
+    "q_stream_pending": f"{BASE_MS} SELECT {S_COLS} FROM c WHERE e_here IS NULL",
+    "q_stream_orphans": f"{BASE_MS} SELECT {E_COLS} FROM c WHERE s_here IS NULL",
+    "q_stream_alarms": f"{_alarms(1000, WITH_DOCS_MS)} SELECT * FROM alarms",
+    "q_stream_phases": f"""WITH {EVENT_MS_SQL},{RULES},{_measured_sql('')}
         SELECT {PHASE_OUT}, {PHASE_KPI} FROM p
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY {_phase_order("e")}, {_phase_order("s")}) = 1""",
 }

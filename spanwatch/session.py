@@ -1,6 +1,8 @@
 """Session settings and the scratch folder for written intermediates."""
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -28,15 +30,6 @@ LOCAL_SETTINGS = {
 }
 
 
-def partitions_for(shuffle_bytes: int, cores: int, partition_bytes: int = 128 << 20) -> int:
-    """Shuffle partitions so that each holds about ``partition_bytes``, two waves at least.
-
-    Adaptive execution merges partitions that turn out small, so a generous
-    estimate of ``shuffle_bytes`` costs little; too low an estimate spills.
-    """
-    return max(2 * cores, -(-shuffle_bytes // partition_bytes))
-
-
 def build_session(app: str = "spanwatch", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the engine's settings; ``settings`` use ``__`` in place of dots."""
     builder = SparkSession.builder.appName(app)
@@ -77,4 +70,5 @@ def work_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="spanwatch-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     return os.path.join(shared, f"{name}-{uuid.uuid4().hex}")

@@ -10,12 +10,12 @@ from spanwatch.sources.events import (
     stream_values,
     write_events,
 )
-from spanwatch.sources.pending import PendingStore
+from spanwatch.sources.pending import KeyedLog
 from spanwatch.sources.rules import read_rules
 
 __all__ = [
     "EventBatch",
-    "PendingStore",
+    "KeyedLog",
     "parse_events",
     "parse_records",
     "raw_file_records",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spanwatch.functions import utc_wall
 from spanwatch.schema import EVENT_FIELDS, EVENT_SCHEMA
 
 CORRUPT = "_corrupt"
@@ -69,8 +70,8 @@ def _event_time(text: Column) -> Column:
     """Digits are epoch milliseconds; other text is ISO-8601, in UTC unless it names an offset."""
     text = F.trim(text)
     dated = F.substring(text, 5, 1) == "-"
-    offset = F.regexp_replace(text, r"(T.*[+-]\d{2})(\d{2})$", "$1:$2")
-    clock = F.regexp_replace(offset, r"(T[0-9:.]+)$", "$1Z")
+    offset = F.regexp_replace(text, r"([T ].*[+-]\d{2})(\d{2})$", "$1:$2")
+    clock = F.regexp_replace(offset, r"([T ][0-9:.]+)$", "$1Z")
     iso = F.regexp_replace(clock, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00Z")
     # The first case is the usual form and needs no pattern.
     return (
@@ -131,7 +132,7 @@ def write_events(events: DataFrame, path: str) -> None:
 
     Rows are in order of type within a file: a filter on ``eventType`` skips row groups.
     """
-    dated = events.withColumn("eventDate", F.to_date("timestamp")).hint("rebalance", "eventDate")
+    dated = events.withColumn("eventDate", utc_wall("timestamp").cast("date")).hint("rebalance", "eventDate")
     ordered = dated.sortWithinPartitions("eventDate", "eventType")
     ordered.write.mode("overwrite").partitionBy("eventDate").parquet(path)
 

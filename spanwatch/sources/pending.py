@@ -1,78 +1,93 @@
-"""The table of open starts, kept across batches."""
+"""State that the running jobs keep across batches, in tables of the output folder."""
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanwatch.operators.matching import join_key_counts, key_counts, keyed_or_spread
-from spanwatch.schema import PENDING_SCHEMA, START_KEYS
+from spanwatch.operators.matching import join_key_counts, key_counts, keyed
 
 BATCH = "batch_id"
 EPOCH_BATCHES = 100
 _BATCH_FIELD = T.StructField(BATCH, T.LongType())
-_OPENED = T.StructType([*PENDING_SCHEMA, _BATCH_FIELD])
-_RESOLVED = T.StructType([*[PENDING_SCHEMA[k] for k in START_KEYS], _BATCH_FIELD])
+_SETTINGS = T.StructType([T.StructField("epoch_batches", T.LongType())])
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Parquet table, or an empty frame where nothing was written yet."""
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A Parquet table, or None where nothing was written."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        # Known to be empty when the query is planned, so joins to it are left out.
-        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-        return spark.range(0).select(*columns).where(F.lit(False))
-
-
-class PendingStore:
-    """Open starts as two logs by batch: starts that opened, and keys that were resolved.
+        return None
 
-    A batch only ever writes its own folders and overwrites them when it is run
-    again, so a retry leaves the same state. A key resolved in a batch closes the
-    starts of earlier batches; a start that comes later is open again.
 
-    Every ``epoch_batches`` batches the whole state is written as the base of the
-    next epoch, so a read lists and reads one base and the logs of one epoch only.
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table, or an empty frame where nothing was written yet."""
+    rows = _read(spark, path, schema)
+    if rows is not None:
+        return rows
+    # Known to be empty when the query is planned, so joins to it are left out.
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(0).select(*columns).where(F.lit(False))
+
+
+class KeyedLog:
+    """Rows by key, where what a batch writes for a key replaces all earlier rows of that key.
+
+    A batch only ever writes its own folder and overwrites it when it is run again, so a
+    retry leaves the same state. Every ``epoch_batches`` batches the whole state is written as
+    the base of the next epoch, so a read lists one base and the folders of one epoch. A base
+    that is missing, or another epoch length than the log began with, is an error: reading on
+    would lose state.
     """
 
-    def __init__(self, spark: SparkSession, root: str, epoch_batches: int = EPOCH_BATCHES):
-        self.spark = spark
-        self.root = root
-        self.epoch_batches = epoch_batches
-
-    def _folder(self, log: str, batch_id: int) -> str:
-        return f"{self.root}/{log}/epoch={batch_id // self.epoch_batches}"
-
-    def _state(self, epoch: int, before: int) -> DataFrame:
-        """Open starts with their batch, from the base and the logs of an epoch."""
-
-        def read(log: str, schema: T.StructType) -> DataFrame:
-            rows = read_or_empty(self.spark, f"{self.root}/{log}/epoch={epoch}", schema)
-            return rows.where(F.col(BATCH) < before)
-
-        opened = read("base", _OPENED).unionByName(read("opened", _OPENED))
-        last = key_counts(read("resolved", _RESOLVED), START_KEYS, _last=F.max(BATCH))
-        joined = join_key_counts(keyed_or_spread(opened, START_KEYS), START_KEYS, last, "left_outer")
-        return joined.where(F.col("_last").isNull() | (F.col("_last") <= F.col(BATCH))).drop("_last")
-
-    def read(self, before: int) -> DataFrame:
-        """Starts that are open when batch ``before`` begins."""
-        return self._state(before // self.epoch_batches, before).drop(BATCH)
-
-    def append_open(self, batch_id: int, open_starts: DataFrame) -> None:
-        path = f"{self._folder('opened', batch_id)}/{BATCH}={batch_id}"
-        open_starts.write.mode("overwrite").parquet(path)
-
-    def mark_resolved(self, batch_id: int, keys: DataFrame) -> None:
-        path = f"{self._folder('resolved', batch_id)}/{BATCH}={batch_id}"
-        keys.write.mode("overwrite").parquet(path)
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: list[str],
+                 epoch_batches: int = EPOCH_BATCHES):
+        self.spark, self.root, self.keys, self.epoch_batches = spark, root, keys, epoch_batches
+        self.schema = T.StructType([*schema, _BATCH_FIELD])
+        known = _read(spark, f"{root}/settings", _SETTINGS)
+        began = None if known is None else known.first()
+        if began is not None and began[0] != epoch_batches:
+            raise ValueError(f"{root} has epochs of {began[0]} batches, not of {epoch_batches}")
+        self._new = began is None
+
+    def _epoch(self, epoch: int, before: int) -> DataFrame:
+        log = read_or_empty(self.spark, f"{self.root}/log/epoch={epoch}", self.schema).where(F.col(BATCH) < before)
+        if not epoch:
+            return log
+        base = _read(self.spark, f"{self.root}/base/epoch={epoch}", self.schema)
+        if base is None:
+            raise FileNotFoundError(f"{self.root}/base/epoch={epoch} is missing: the state before it is lost")
+        return base.unionByName(log)
+
+    def _state(self, epoch: int, before: int, keys: DataFrame | None = None) -> DataFrame:
+        rows = self._epoch(epoch, before)
+        if keys is not None:  # one row per key, so this join cannot multiply rows
+            wanted = key_counts(keys, self.keys, _n=F.count(F.lit(1)))
+            rows = join_key_counts(keyed(rows, self.keys), self.keys, wanted, "left_semi")
+        last = key_counts(rows, self.keys, _last=F.max(BATCH))
+        joined = join_key_counts(keyed(rows, self.keys), self.keys, last, "inner")
+        return joined.where(F.col("_last") == F.col(BATCH)).drop("_last")
+
+    def read(self, before: int, keys: DataFrame | None = None) -> DataFrame:
+        """The rows when batch ``before`` begins; of ``keys`` only, if given."""
+        return self._state(before // self.epoch_batches, before, keys).drop(BATCH)
+
+    def write(self, batch_id: int, rows: DataFrame) -> None:
+        """Replace the rows of all keys that ``rows`` has."""
+        if self._new:
+            settings = self.spark.range(1).select(F.lit(self.epoch_batches).cast("bigint").alias("epoch_batches"))
+            settings.write.mode("overwrite").parquet(f"{self.root}/settings")
+            self._new = False
+        epoch = batch_id // self.epoch_batches
+        path = f"{self.root}/log/epoch={epoch}/{BATCH}={batch_id}"
+        rows.select(*[c for c in self.schema.fieldNames() if c != BATCH]).write.mode("overwrite").parquet(path)
 
     def close_epoch(self, batch_id: int) -> None:
         """After the last batch of an epoch, write the state as the base of the next."""
         after = batch_id + 1
         if after % self.epoch_batches == 0:
             state = self._state(batch_id // self.epoch_batches, after)
-            state.write.mode("overwrite").parquet(self._folder("base", after))
+            state.write.mode("overwrite").parquet(f"{self.root}/base/epoch={after // self.epoch_batches}")

@@ -1,24 +1,35 @@
 from spanwatch.streaming.jobs import (
     correlation_batch,
     phases_batch,
+    read_alarms,
     read_documents,
     read_phases,
+    read_unmatched,
     run_batches,
     run_correlation,
     run_phases,
     to_console,
 )
-from spanwatch.streaming.join import stream_correlated, stream_phases
+from spanwatch.streaming.join import (
+    run_key_totals,
+    stream_correlated,
+    stream_key_totals,
+    stream_phases,
+)
 
 __all__ = [
     "correlation_batch",
     "phases_batch",
+    "read_alarms",
     "read_documents",
     "read_phases",
+    "read_unmatched",
     "run_batches",
     "run_correlation",
     "run_phases",
+    "run_key_totals",
     "stream_correlated",
+    "stream_key_totals",
     "stream_phases",
     "to_console",
 ]

@@ -1,24 +1,52 @@
-"""The two continuous jobs: correlation with a pending store, and phases.
+"""The two continuous jobs: correlation and phases, with their state in tables.
 
 Each micro-batch is a set of ordinary batch queries, so adaptive execution sizes
 partitions and splits skewed keys as in a batch job. All output of a batch lies in
 folders named by its ``batch_id``, which are overwritten when the batch is run again.
+What the readers below return does not depend on where the batches were cut, nor on
+the order in which events came.
 """
 
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from spanwatch import operators as op
-from spanwatch.operators.documents import DOCUMENT_COLUMNS, KPI_THRESHOLD
-from spanwatch.operators.phases import latest_of
+from spanwatch.operators.alarms import alarms_of
+from spanwatch.operators.documents import DOCUMENT_COLUMNS, DOCUMENT_SCHEMA, KPI_THRESHOLD
+from spanwatch.operators.matching import complete
+from spanwatch.operators.phases import (
+    INSTANCE,
+    PHASE_SCHEMA,
+    SIDE_KEYS,
+    SIDE_SCHEMA,
+    latest_of,
+    measured_sides,
+    newest_sides,
+    phase_sides,
+)
+from spanwatch.schema import PAIR_KEYS
 from spanwatch.sources.events import parse_records, split_parsed
-from spanwatch.sources.pending import BATCH, EPOCH_BATCHES, PendingStore
+from spanwatch.sources.pending import BATCH, EPOCH_BATCHES, KeyedLog
+from spanwatch.streaming.state import (
+    ACTIVITY_SCHEMA,
+    STATE_SCHEMA,
+    activities,
+    new_state,
+    new_violations,
+    newly_finished,
+    with_totals,
+)
 
 TRIGGER = "60 seconds"
 Batch = Callable[[DataFrame, int], None]
+VIOLATION_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("businessProcessName", "businessProcessActivityName", "id")]
+    + [T.StructField("n", T.DecimalType(38, 0))]
+)
 
 
 def _write(rows: DataFrame, root: str, table: str, batch_id: int, fmt: str) -> None:
@@ -33,49 +61,72 @@ def _write_daily(docs: DataFrame, root: str, batch_id: int, fmt: str) -> None:
     writer.partitionBy("doc_date", BATCH).save(f"{root}/documents")
 
 
+def _store(spark: SparkSession, root: str, epoch_batches: int) -> KeyedLog:
+    return KeyedLog(spark, f"{root}/state", STATE_SCHEMA, PAIR_KEYS, epoch_batches)
+
+
 def correlation_batch(root: str, threshold: int = KPI_THRESHOLD, fmt: str = "parquet",
                       epoch_batches: int = EPOCH_BATCHES) -> Batch:
     """What one micro-batch of message values does.
 
-    Finished documents (``documents``, by day), ``alarms``, ``orphans`` and
-    ``rejects`` are written below ``root``; open starts go to the pending store
-    there, and orphan ends are looked up in what earlier batches left open.
+    The batch's events meet the stored rows of their keys: open starts, orphan ends and, of
+    keys that were paired before, the number of starts. So a start finds ends of earlier
+    batches as well as the other way round, and every later end finds its starts. Documents
+    that are finished now (``documents``, by day), the ``violations`` they add, ``alarms`` for
+    these, and ``rejects`` are written below ``root``; the state of the keys is replaced.
     """
 
     def run(values: DataFrame, batch_id: int) -> None:
-        store = PendingStore(values.sparkSession, f"{root}/pending", epoch_batches)
-        parsed = parse_records(values).persist()
+        store = _store(values.sparkSession, root, epoch_batches)
+        parsed = parse_records(values).withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))).persist()
         events, rejects = split_parsed(parsed)
-        classified = op.classify(events).persist()
-        looked_up = op.look_up(store.read(before=batch_id), op.orphan_side(classified)).persist()
-        done = op.finished_side(classified).unionByName(op.resolved_side(looked_up))
-        docs = op.documents(done, threshold)
+        acts = activities(events)
+        totals = with_totals(acts, store.read(batch_id, acts), threshold).persist()
+        docs = op.documents(newly_finished(totals), threshold)
+        added = new_violations(totals).persist()
         try:
             _write(rejects.hint("rebalance"), root, "rejects", batch_id, fmt)
-            store.append_open(batch_id, op.open_side(classified))
+            _write(acts.where(~complete(PAIR_KEYS)).hint("rebalance"), root, "unkeyed", batch_id, fmt)
             _write_daily(op.daily_documents(docs), root, batch_id, fmt)
-            _write(op.alarm_messages(op.alarms(docs, threshold)), root, "alarms", batch_id, fmt)
-            _write(op.unresolved_side(looked_up), root, "orphans", batch_id, fmt)
-            store.mark_resolved(batch_id, op.resolved_keys(looked_up))
+            _write(added, root, "violations", batch_id, fmt)
+            _write(op.alarm_messages(alarms_of(added, threshold)), root, "alarms", batch_id, fmt)
+            store.write(batch_id, new_state(totals))
             store.close_epoch(batch_id)
         finally:
-            for frame in (looked_up, classified, parsed):
+            for frame in (added, totals, parsed):
                 frame.unpersist()
 
     return run
 
 
-def phases_batch(root: str, rules: DataFrame, fmt: str = "parquet") -> Batch:
-    """Phases whose two events lie in the same micro-batch, the latest per id."""
+def _both_sides(instances: DataFrame) -> DataFrame:
+    return instances.withColumn("side", F.explode(F.array(F.lit("s"), F.lit("e"))))
+
+
+def phases_batch(root: str, rules: DataFrame, fmt: str = "parquet", epoch_batches: int = EPOCH_BATCHES) -> Batch:
+    """Phases by their latest start and end event, wherever these came.
+
+    Stored is the latest event per rule, instance and side; a batch replaces those that it
+    moves, and writes the phases of these instances anew.
+    """
 
     def run(values: DataFrame, batch_id: int) -> None:
-        parsed = parse_records(values).persist()
+        spark = values.sparkSession
+        store = KeyedLog(spark, f"{root}/phase_sides", SIDE_SCHEMA, SIDE_KEYS, epoch_batches)
+        parsed = parse_records(values).withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))).persist()
         events, rejects = split_parsed(parsed)
+        fresh = newest_sides(phase_sides(events, rules)).persist()
         try:
             _write(rejects.hint("rebalance"), root, "phase_rejects", batch_id, fmt)
-            _write(op.latest_phases(events, rules), root, "phases", batch_id, fmt)
+            moved = fresh.select("ruleKey", INSTANCE).distinct()
+            other = store.read(batch_id, _both_sides(moved))
+            found = measured_sides(newest_sides(fresh.unionByName(other)), rules)
+            _write(latest_of(found), root, "phases", batch_id, fmt)
+            store.write(batch_id, newest_sides(fresh.unionByName(store.read(batch_id, fresh))))
+            store.close_epoch(batch_id)
         finally:
-            parsed.unpersist()
+            for frame in (fresh, parsed):
+                frame.unpersist()
 
     return run
 
@@ -109,19 +160,40 @@ def run_batches(batches: Iterable[DataFrame], batch: Batch) -> None:
         batch(values, batch_id)
 
 
-def read_documents(spark: SparkSession, root: str, day: str | None = None) -> DataFrame:
+def _stored(spark: SparkSession, root: str, table: str, schema: T.StructType, fmt: str) -> DataFrame:
+    rows = spark.read.format(fmt).schema(schema).load(f"{root}/{table}")
+    return rows.select(*[f"`{c}`" for c in schema.fieldNames()])
+
+
+def read_documents(spark: SparkSession, root: str, day: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Documents as the keyed daily targets hold them: the latest per day and id.
 
     For one ``day`` only the folder of that day is listed.
     """
     path = f"{root}/documents" if day is None else f"{root}/documents/doc_date={day}"
-    docs = spark.read.option("basePath", f"{root}/documents").parquet(path)
-    return op.daily_documents(docs.select(*[f"`{c}`" for c in DOCUMENT_COLUMNS]))
+    reader = spark.read.format(fmt).option("basePath", f"{root}/documents").schema(DOCUMENT_SCHEMA)
+    return op.daily_documents(reader.load(path).select(*[f"`{c}`" for c in DOCUMENT_COLUMNS]))
+
+
+def read_alarms(spark: SparkSession, root: str, threshold: int = KPI_THRESHOLD, fmt: str = "parquet") -> DataFrame:
+    """The alarms of all batches together, as a finished set of the same events gives them."""
+    return alarms_of(_stored(spark, root, "violations", VIOLATION_SCHEMA, fmt), threshold)
+
+
+def read_unmatched(spark: SparkSession, root: str, before: int, epoch_batches: int = EPOCH_BATCHES,
+                   fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
+    """Open starts and orphan ends when batch ``before`` begins."""
+    stored = _store(spark, root, epoch_batches).read(before).where("kind = 'row'").select(*ACTIVITY_SCHEMA.fieldNames())
+    unkeyed = _stored(spark, root, "unkeyed", T.StructType([*ACTIVITY_SCHEMA, T.StructField(BATCH, T.LongType())]), fmt)
+    rows = stored.unionByName(unkeyed.where(F.col(BATCH) < before).drop(BATCH)).withColumn(
+        "matches", F.lit(0).cast("bigint")
+    )
+    return op.open_side(rows), op.orphan_side(rows)
 
 
-def read_phases(spark: SparkSession, root: str) -> DataFrame:
+def read_phases(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
     """Phases as the keyed target holds them: the latest per id."""
-    return latest_of(spark.read.parquet(f"{root}/phases").drop(BATCH))
+    return latest_of(_stored(spark, root, "phases", PHASE_SCHEMA, fmt))
 
 
 def to_console(rows: DataFrame, limit: int = 20, truncate: bool = False) -> StreamingQuery:

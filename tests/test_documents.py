@@ -1,3 +1,4 @@
+import pytest
 from spanwatch import operators as op
 from spanwatch.functions import document_id, fill_template, iso_utc, millis_between
 from pyspark.sql import functions as F
@@ -100,7 +101,7 @@ def test_alarms_list_every_violation(make_events):
     assert sum(a.violations for a in alarms) == 51 == alarms[0].allViolations
     counts = {i: n for a in alarms for i, n in zip(a.processInstanceIds.split(), a.occurrences.split())}
     assert counts["p_t0"] == "2" and counts["p_t1"] == "1"
-    assert op.alarm_ids(docs_of(make_events(*rows))).count() == 51
+    assert sum(r.matches for r in op.alarm_ids(docs_of(make_events(*rows))).collect()) == 51
 
 
 def test_alarm_message(make_events):
@@ -114,3 +115,29 @@ def test_alarm_message(make_events):
     assert "KPI Threshold Limit  : 5000" in lines
     assert "Activity Name        : " in lines
     assert "#!" not in row.message
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin", "America/New_York"])
+def test_times_are_utc_in_any_session_zone(spark, zone):
+    """Noon, the last minute of a day, and hours that a summer time change skips or repeats."""
+    from spanwatch.functions import day_name
+    from spanwatch.sources import parse_events
+
+    texts = ["2024-01-01T12:00:00Z", "2024-06-30T23:59:59.5Z", "2024-03-31T01:30:00Z", "2024-03-31T02:30:00Z",
+             "2024-01-01 12:00:00", "2024-01-01T12:00:00", "2024-01-01 13:00:00+0100"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        values = spark.createDataFrame([(f'{{"@timestamp":"{t}"}}',) for t in texts], "value string")
+        rows = parse_events(values).events.select(
+            iso_utc("timestamp").alias("iso"), day_name("bam-", "timestamp").alias("day"),
+            iso_utc(F.lit("2024-03-31 02:30:00.25").cast("timestamp_ntz")).alias("plain"),
+        ).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    noon = "2024-01-01T12:00:00.000Z"
+    assert [r.iso for r in rows] == [
+        noon, "2024-06-30T23:59:59.500Z", "2024-03-31T01:30:00.000Z", "2024-03-31T02:30:00.000Z", noon, noon, noon,
+    ]
+    assert [r.day for r in rows][:2] == ["bam-2024.01.01", "bam-2024.06.30"]
+    assert {r.plain for r in rows} == {"2024-03-31T02:30:00.250Z"}

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from spanwatch import operators as op
 from spanwatch.plans import QUERIES
-from spanwatch.session import partitions_for, work_dir
+from spanwatch.session import work_dir
+from spanwatch.sources.tables import activity_events
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -61,6 +62,19 @@ def test_rank_is_cut_before_the_shuffle(spark):
     assert "Exchange" in tree[first:second]
 
 
+def test_scans(spark):
+    """All classes come from one pass over the rows and one over the keys."""
+    scans = lambda name: plan(QUERIES[name](spark, SF_DIR)).split("\n\n")[0].count("Scan parquet")
+    assert scans("q_correlated") == 2
+    assert scans("q_group_counts") == 6  # two for the classes, four for the two batches of the resolved ones
+    assert scans("q_phases") == 2
+
+
+def test_a_rule_is_shuffled_as_one_number(spark):
+    text = plan(QUERIES["q_phases_latest"](spark, SF_DIR))
+    assert "hashpartitioning(ruleKey" in text and not re.findall(r"hashpartitioning\([^)]*rule#", text)
+
+
 def test_payload_map_is_not_built_for_keys(spark):
     text = plan(QUERIES["q_starts_without_end"](spark, SF_DIR))
     assert "map(spp_trace_wf_id" not in text
@@ -68,7 +82,7 @@ def test_payload_map_is_not_built_for_keys(spark):
 
 def test_unmatched_rows_reuse_the_shuffles_of_the_pair_join(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    frame = QUERIES["q_correlated"](spark, SF_DIR)
+    frame = op.correlated(activity_events(spark, SF_DIR))
     frame.collect()
     assert plan(frame).split("Initial Plan")[0].count("+- ReusedExchange") == 2
 
@@ -135,11 +149,6 @@ def test_null_keys_do_not_share_a_partition(spark, make_events):
     assert hashes == 8
 
 
-def test_partitions_for():
-    assert partitions_for(100 << 40, 4000) == 819_200
-    assert partitions_for(1, 8) == 16
-
-
 class Session:
     """Just what ``work_dir`` asks a session for; the setting itself is fixed at start-up."""
 

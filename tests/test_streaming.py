@@ -1,24 +1,31 @@
 import json
+import random
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import types as T
 
 from spanwatch import operators as op
-from spanwatch.schema import RULES_SCHEMA
+from spanwatch.schema import PAIR_KEYS, RULES_SCHEMA, TRACE_KEY
 from spanwatch.session import stateful_session
-from spanwatch.sources import PendingStore, parse_events, stream_values
+from spanwatch.sources import KeyedLog, parse_events, stream_values
 from spanwatch.streaming import (
     correlation_batch,
     phases_batch,
+    read_alarms,
     read_documents,
     read_phases,
+    read_unmatched,
     run_batches,
     run_correlation,
+    run_key_totals,
     run_phases,
     stream_correlated,
     stream_phases,
     to_console,
 )
+from spanwatch.streaming.join import KEY_TOTALS_SCHEMA
+from spanwatch.streaming.state import STATE_SCHEMA
 from tests.conftest import at
 
 NOON = at("2024-01-01T12:00:00")
@@ -42,83 +49,130 @@ def traces(frame, column="sSpp_trace_wf_id"):
     return sorted(str(r[0]) for r in frame.select(column).collect())
 
 
-def test_store_before_the_first_write(spark, tmp_path):
-    store = PendingStore(spark, str(tmp_path / "none"))
-    assert store.read(0).count() == 0 and len(store.read(7).columns) == 13
+def unmatched(spark, out, before, **options):
+    open_starts, orphans = read_unmatched(spark, out, before, **options)
+    return traces(open_starts), traces(orphans, "eSpp_trace_wf_id")
 
 
-def test_open_start_is_resolved_by_a_later_batch(spark, tmp_path):
+LOG = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+
+
+def log_rows(spark, *rows):
+    return spark.createDataFrame(list(rows), LOG)
+
+
+def test_log_keeps_the_last_rows_of_a_key(spark, tmp_path):
+    log = KeyedLog(spark, str(tmp_path), LOG, ["k"], epoch_batches=2)
+    assert log.read(0).count() == 0
+    for batch_id, rows in enumerate([[("a", 1), ("a", 2), ("b", 3)], [("a", 4)], [("c", 5)], [("b", 6)], [("c", 7)]]):
+        log.write(batch_id, log_rows(spark, *rows))
+        log.close_epoch(batch_id)
+    assert sorted(map(tuple, log.read(1).collect())) == [("a", 1), ("a", 2), ("b", 3)]
+    assert sorted(map(tuple, log.read(5).collect())) == [("a", 4), ("b", 6), ("c", 7)]
+    assert [tuple(r) for r in log.read(5, log_rows(spark, ("b", 0), ("b", 1), (None, 2))).collect()] == [("b", 6)]
+
+
+def test_log_refuses_to_lose_state(spark, tmp_path):
+    log = KeyedLog(spark, str(tmp_path), LOG, ["k"], epoch_batches=2)
+    for batch_id in range(2):
+        log.write(batch_id, log_rows(spark, ("a", batch_id)))
+        log.close_epoch(batch_id)
+    with pytest.raises(ValueError, match="epochs of 2"):
+        KeyedLog(spark, str(tmp_path), LOG, ["k"], epoch_batches=100)
+    assert log.read(3).count() == 1
+    with pytest.raises(FileNotFoundError, match="epoch=2"):
+        log.read(5)
+
+
+def test_events_meet_those_of_earlier_batches_in_either_order(spark, tmp_path):
     out = str(tmp_path)
     run_batches(
         [
             values(spark, message("START", "t1"), message("START", "t2"), message("START", None)),
             values(spark, message("END", "t1", 1, durationInMillis=6000), message("END", "t3", 1), "bad"),
-            values(spark, message("END", "t1", 2), message("START", "t1", 3), message("END", "t4", 1)),
-            values(spark, message("END", "t1", 4)),
+            values(spark, message("END", "t1", 2), message("START", "t3", 3), message("END", None, 1)),
+            values(spark, message("START", "t1", 4), message("END", "t4", 4)),
         ],
         correlation_batch(out),
     )
-    store = PendingStore(spark, f"{out}/pending")
-    assert traces(store.read(before=1)) == ["None", "t1", "t2"]
-    assert traces(store.read(before=2)) == ["None", "t2"]
-    assert traces(store.read(before=4)) == ["None", "t2"]
-    # In batch 2 the end and the start of t1 meet inside the batch.
-    docs = spark.read.parquet(f"{out}/documents")
-    assert sorted(r.batch_id for r in docs.collect()) == [1, 2]
-    orphans = spark.read.parquet(f"{out}/orphans")
-    assert sorted((r.batch_id, r.eSpp_trace_wf_id) for r in orphans.collect()) == [
-        (1, "t3"), (2, "t4"), (3, "t1"),
-    ]
+    assert unmatched(spark, out, 1) == (["None", "t1", "t2"], [])
+    assert unmatched(spark, out, 2) == (["None", "t2"], ["t3"])
+    assert unmatched(spark, out, 4) == (["None", "t2"], ["None", "t4"])
+    docs = read_documents(spark, out).collect()
+    assert {d.id: d["@timestamp"].minute for d in docs} == {"p_t1": 2, "p_t3": 1}
     assert [r.value for r in spark.read.parquet(f"{out}/rejects").collect()] == ["bad"]
-    assert [r.processInstanceIds for r in spark.read.parquet(f"{out}/alarms").collect()] == ["p_t1"]
+    # The second start of t1 makes its one violating end a violation once more.
+    [alarm] = read_alarms(spark, out).collect()
+    assert (alarm.processInstanceIds, int(alarm.violations)) == ("p_t1", 2)
+    told = spark.read.parquet(f"{out}/alarms").collect()
+    assert sorted((r.batch_id, int(r.violations)) for r in told) == [(1, 1), (3, 1)]
 
 
-def test_a_retried_batch_leaves_the_same_state(spark, tmp_path):
-    batch = correlation_batch(str(tmp_path))
-    first = values(spark, message("START", "t1"), message("START", "t2"))
-    second = values(spark, message("END", "t1", 1), message("START", "t3", 1))
+MESSAGES = [
+    message("START", "a"), message("START", "a", 1), message("END", "a", 2, durationInMillis=7000),
+    message("END", "b", 3, durationInMillis=9000), message("START", "b", 4), message("END", "c", 5),
+    message("START", None, 6), message("END", "a", 7, durationInMillis=8000), message("START", "d", 60 * 24 * 30),
+    message("END", None, 9), message("START", "b", 10), message("END", "d", -60 * 24 * 30),
+]
+
+
+def job_state(spark, out, before, **options):
+    documents = [tuple(map(str, r)) for r in read_documents(spark, out).collect()]
+    alarms = [tuple(map(str, r)) for r in read_alarms(spark, out).collect()]
+    return sorted(documents), sorted(alarms), *unmatched(spark, out, before, **options)
+
+
+def test_results_depend_on_no_cut_and_no_order(spark, tmp_path):
+    """The same messages in any number of batches, in any order, and in short epochs."""
+    correlation_batch(str(tmp_path / "one"))(values(spark, *MESSAGES), 0)
+    wanted = job_state(spark, str(tmp_path / "one"), 1)
+    assert len(wanted[0]) == 3 and wanted[2:] == (["None"], ["None", "c"])
+    draw = random.Random(6)
+    for n in range(3):
+        shuffled, out = draw.sample(MESSAGES, len(MESSAGES)), str(tmp_path / f"many{n}")
+        cuts = sorted(draw.sample(range(1, len(MESSAGES)), 2 + n))
+        parts = [shuffled[i:j] for i, j in zip([0, *cuts], [*cuts, len(MESSAGES)])]
+        run_batches([values(spark, *part) for part in parts], correlation_batch(out, epoch_batches=2))
+        assert job_state(spark, out, len(parts), epoch_batches=2) == wanted
 
-    def state():
-        store = PendingStore(spark, f"{tmp_path}/pending")
-        return traces(store.read(2)), traces(spark.read.parquet(f"{tmp_path}/documents"), "id")
 
+def test_a_retried_batch_leaves_the_same_state(spark, tmp_path):
+    out = str(tmp_path)
+    batch = correlation_batch(out, epoch_batches=2)
+    first = values(spark, message("START", "t1"), message("START", "t2"))
+    second = values(spark, message("END", "t1", 1, durationInMillis=6000), message("START", "t3", 1))
     batch(first, 0)
     batch(second, 1)
-    wanted = state()
+    wanted = job_state(spark, out, 2, epoch_batches=2)
     batch(second, 1)
-    assert state() == wanted == (["t2", "t3"], ["p_t1"])
+    assert job_state(spark, out, 2, epoch_batches=2) == wanted
+    assert wanted[2:] == (["t2", "t3"], [])
 
 
-@pytest.mark.parametrize("epoch_batches", [1, 2])
-def test_a_start_after_the_resolving_batch_is_open_again(spark, tmp_path, epoch_batches):
-    """The state is the same wherever epochs end, also when a batch is run again."""
+def test_hot_key_across_batches(spark, tmp_path):
+    """Many starts and many ends of one key: one document, and the state is three rows."""
     out = str(tmp_path)
-    batches = [
-        values(spark, message("START", "t")), values(spark, message("END", "t", 1)),
-        values(spark, message("START", "t", 2)),
-    ]
-    batch = correlation_batch(out, epoch_batches=epoch_batches)
-    run_batches(batches, batch)
-    store = PendingStore(spark, f"{out}/pending", epoch_batches)
-    assert [traces(store.read(n)) for n in range(4)] == [[], ["t"], [], ["t"]]
-    batch(values(spark, message("END", "t", 3)), 3)
-    assert traces(store.read(4)) == []
-    batch(values(spark, message("START", "u", 3)), 3)
-    assert traces(store.read(4)) == ["t", "u"]
-    assert read_documents(spark, out).count() == 1
-
-
-def test_hot_pending_key(spark, tmp_path):
-    """Many open starts of one key and many ends: every end finishes once, with its matches."""
-    batches = [
-        values(spark, *[message("START", "hot")] * 40),
-        values(spark, *[message("END", "hot", i % 7, durationInMillis=i) for i in range(30)]),
-    ]
-    run_batches(batches, correlation_batch(str(tmp_path)))
-    [doc] = read_documents(spark, str(tmp_path)).collect()
-    assert doc["@timestamp"] == (NOON + timedelta(minutes=6)).replace(tzinfo=None)
-    assert doc.durationInMillis == 27
-    assert PendingStore(spark, f"{tmp_path}/pending").read(2).count() == 0
+    run_batches(
+        [
+            values(spark, *[message("START", "hot")] * 40),
+            values(spark, *[message("END", "hot", i % 7, durationInMillis=i + 4990) for i in range(30)]),
+            values(spark, *[message("START", "hot", 9)] * 10),
+        ],
+        correlation_batch(out),
+    )
+    [doc] = read_documents(spark, out).collect()
+    assert (doc["@timestamp"].minute, doc.durationInMillis) == (6, 5017)
+    [alarm] = read_alarms(spark, out).collect()
+    assert int(alarm.violations) == 50 * 19
+    state = KeyedLog(spark, f"{out}/state", STATE_SCHEMA, PAIR_KEYS).read(3).collect()
+    assert sorted((r.kind, r.n) for r in state) == [("bad", 19), ("starts", 50)]
+
+
+def test_another_format_is_read_back(spark, tmp_path):
+    out = str(tmp_path)
+    run_batches([values(spark, *MESSAGES)], correlation_batch(out, fmt="orc"))
+    assert read_documents(spark, out, fmt="orc").count() == 3
+    assert read_alarms(spark, out, fmt="orc").count() == 1
 
 
 def feed(root, part, *messages):
@@ -200,8 +254,47 @@ def test_phases_job(spark, tmp_path):
     run_phases(stream, rules, f"{tmp_path}/out", f"{tmp_path}/ckpt", trigger=None).awaitTermination()
     [row] = read_phases(spark, f"{tmp_path}/out").collect()
     assert (row.id, row.durationInMillis, row.kpiStatusText) == ("ph_i1", 120000, "NOK")
-    run_batches([values(spark, message("START", "t", **i1))], phases_batch(f"{tmp_path}/other", rules))
-    assert read_phases(spark, f"{tmp_path}/other").count() == 0
+
+
+def test_phases_depend_on_no_cut_and_no_order(spark, tmp_path):
+    rules = spark.createDataFrame([RULES[0], ("p", "ab", "a", "ACTIVITY_START", "b", "ACTIVITY_END", 90_000)], RULES_SCHEMA)
+    messages = [
+        message(kind, "t", minute, businessProcessInstanceId=instance, businessProcessActivityId=activity)
+        for minute, (kind, instance, activity) in enumerate(
+            [("START", "i", "a"), ("END", "i", "b"), ("END", "i", "a"), ("START", "j", "a"), ("START", "i", "a"),
+             ("END", "j", "b"), ("END", "k", "a"), ("START", None, "a"), ("END", None, "a")]
+        )
+    ]
+
+    def found(out):
+        return sorted(tuple(map(str, r)) for r in read_phases(spark, out).drop("sPayload", "ePayload").collect())
+
+    run_batches([values(spark, *messages)], phases_batch(str(tmp_path / "one"), rules))
+    wanted = found(str(tmp_path / "one"))
+    assert len(wanted) == 3
+    draw = random.Random(2)
+    for n, size in enumerate([1, 2, 4]):
+        shuffled, out = draw.sample(messages, len(messages)), str(tmp_path / f"many{n}")
+        parts = [shuffled[i : i + size] for i in range(0, len(messages), size)]
+        run_batches([values(spark, *part) for part in parts], phases_batch(out, rules, epoch_batches=3))
+        assert found(out) == wanted
+
+
+def test_totals_of_a_stream_take_late_and_far_events(spark, tmp_path):
+    """The source is read once, and an event weeks behind the others still counts."""
+    parts = [
+        [message("END", "t", LATER), message("START", "u", LATER), message("START", None)],
+        [message("START", "t"), message("START", "t", 1), message("END", "u", -LATER)],
+    ]
+    own = stateful_session(spark, 2)
+    for number, part in enumerate(parts):
+        feed(tmp_path, number, *part)
+        events, _ = parse_events(stream_values(own, str(tmp_path / "in")))
+        query = run_key_totals(events, f"{tmp_path}/out", f"{tmp_path}/ckpt", trigger=None)
+        query.awaitTermination()
+        assert sum(p.numInputRows for p in query.recentProgress) == len(part)
+    log = KeyedLog(spark, f"{tmp_path}/out", KEY_TOTALS_SCHEMA, PAIR_KEYS)
+    assert sorted((r[TRACE_KEY], r.starts, r.ends) for r in log.read(2).collect()) == [("t", 2, 1), ("u", 1, 1)]
 
 
 def test_stream_phases_across_batches(spark, tmp_path):
