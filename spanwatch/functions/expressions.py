@@ -14,6 +14,9 @@ def _lit(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
+# Fixed values here: the status words, the separator of ids, the ISO and day forms, the mark #!name#.
+
+
 def kpi_text(duration: Column | str, threshold) -> Column:
     """``NOK`` above the threshold; at the threshold and below it ``OK``."""
     return F.when(_col(duration) > _lit(threshold), "NOK").otherwise("OK")

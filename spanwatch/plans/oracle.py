@@ -183,6 +183,7 @@ def _phase_order(prefix: str) -> str:
     )
 
 
+# The alarm's subject and, in ORACLE, its message text.
 def _alarms(page_ids: int, docs: str = WITH_DOCS) -> str:
     """Alarm rows; pages by the first 60 bits of the id's md5."""
     return f"""{docs},

@@ -1,7 +1,7 @@
 """State that the running jobs keep across batches, in tables of the output folder."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,9 +85,17 @@ class KeyedLog:
         path = f"{self.root}/log/epoch={epoch}/{BATCH}={batch_id}"
         rows.select(*[c for c in self.schema.fieldNames() if c != BATCH]).write.mode("overwrite").parquet(path)
 
-    def close_epoch(self, batch_id: int) -> None:
-        """After the last batch of an epoch, write the state as the base of the next."""
+    def close_epoch(self, batch_id: int, stale: Column | None = None) -> None:
+        """After the last batch of an epoch, write the state as the base of the next.
+
+        Rows for which ``stale`` holds go to ``expired`` instead.
+        """
         after = batch_id + 1
-        if after % self.epoch_batches == 0:
-            state = self._state(batch_id // self.epoch_batches, after)
-            state.write.mode("overwrite").parquet(f"{self.root}/base/epoch={after // self.epoch_batches}")
+        if after % self.epoch_batches:
+            return
+        state = self._state(batch_id // self.epoch_batches, after)
+        if stale is not None:
+            gone = F.coalesce(stale, F.lit(False))
+            state.where(gone).drop(BATCH).write.mode("overwrite").parquet(f"{self.root}/expired/{BATCH}={batch_id}")
+            state = state.where(~gone)
+        state.write.mode("overwrite").parquet(f"{self.root}/base/epoch={after // self.epoch_batches}")

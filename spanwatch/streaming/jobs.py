@@ -9,7 +9,7 @@ the order in which events came.
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -65,8 +65,13 @@ def _store(spark: SparkSession, root: str, epoch_batches: int) -> KeyedLog:
     return KeyedLog(spark, f"{root}/state", STATE_SCHEMA, PAIR_KEYS, epoch_batches)
 
 
+def _stale(acts: DataFrame, retention: str) -> Column:
+    newest = F.lit(acts.agg(F.max("timestamp")).first()[0])
+    return (F.col("kind") == "row") & (F.col("timestamp") < newest - F.expr(f"INTERVAL {retention}"))
+
+
 def correlation_batch(root: str, threshold: int = KPI_THRESHOLD, fmt: str = "parquet",
-                      epoch_batches: int = EPOCH_BATCHES) -> Batch:
+                      epoch_batches: int = EPOCH_BATCHES, retention: str | None = None) -> Batch:
     """What one micro-batch of message values does.
 
     The batch's events meet the stored rows of their keys: open starts, orphan ends and, of
@@ -74,6 +79,10 @@ def correlation_batch(root: str, threshold: int = KPI_THRESHOLD, fmt: str = "par
     batches as well as the other way round, and every later end finds its starts. Documents
     that are finished now (``documents``, by day), the ``violations`` they add, ``alarms`` for
     these, and ``rejects`` are written below ``root``; the state of the keys is replaced.
+
+    With ``retention``, an interval such as ``90 days``, open starts and orphan ends that are older
+    than that at the end of an epoch, by the newest event of the epoch's last batch, move to
+    ``state/expired``. By default all are kept.
     """
 
     def run(values: DataFrame, batch_id: int) -> None:
@@ -91,7 +100,7 @@ def correlation_batch(root: str, threshold: int = KPI_THRESHOLD, fmt: str = "par
             _write(added, root, "violations", batch_id, fmt)
             _write(op.alarm_messages(alarms_of(added, threshold)), root, "alarms", batch_id, fmt)
             store.write(batch_id, new_state(totals))
-            store.close_epoch(batch_id)
+            store.close_epoch(batch_id, _stale(acts, retention) if retention else None)
         finally:
             for frame in (added, totals, parsed):
                 frame.unpersist()
@@ -139,13 +148,14 @@ def _start(values: DataFrame, batch: Batch, checkpoint: str, trigger: str | None
 
 
 def run_correlation(values: DataFrame, root: str, checkpoint: str, threshold: int = KPI_THRESHOLD,
-                    trigger: str | None = TRIGGER, fmt: str = "parquet") -> StreamingQuery:
+                    trigger: str | None = TRIGGER, fmt: str = "parquet",
+                    retention: str | None = None) -> StreamingQuery:
     """Start the correlation job on a stream of message values.
 
     ``trigger`` is the batch interval; with None the job takes what is there and
     ends. Call ``awaitTermination`` on the result to run until stopped.
     """
-    return _start(values, correlation_batch(root, threshold, fmt), checkpoint, trigger)
+    return _start(values, correlation_batch(root, threshold, fmt, retention=retention), checkpoint, trigger)
 
 
 def run_phases(values: DataFrame, rules: DataFrame, root: str, checkpoint: str,

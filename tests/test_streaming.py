@@ -168,6 +168,25 @@ def test_hot_key_across_batches(spark, tmp_path):
     assert sorted((r.kind, r.n) for r in state) == [("bad", 19), ("starts", 50)]
 
 
+def test_old_rows_expire_at_the_end_of_an_epoch(spark, tmp_path):
+    out, month = str(tmp_path), 60 * 24 * 30
+    parts = [[message("START", "old"), message("END", "lone"), message("START", "p")],
+             [message("END", "p", month), message("START", "new", month)], [message("END", "old", month)]]
+    run_batches([values(spark, *p) for p in parts], correlation_batch(out, epoch_batches=2, retention="7 days"))
+    assert unmatched(spark, out, 2, epoch_batches=2) == (["new"], [])
+    assert traces(spark.read.parquet(f"{out}/state/expired"), TRACE_KEY) == ["lone", "old"]
+    assert unmatched(spark, out, 3, epoch_batches=2) == (["new"], ["old"])
+    assert traces(read_documents(spark, out), "id") == ["p_p"]
+
+
+def test_job_runs_by_its_interval(spark, tmp_path):
+    feed(tmp_path, 0, message("START", "t"), message("END", "t", 1))
+    query = run_correlation(stream_values(spark, str(tmp_path / "in")), f"{tmp_path}/out", f"{tmp_path}/ckpt")
+    query.processAllAvailable()
+    query.stop()
+    assert query.exception() is None and traces(read_documents(spark, f"{tmp_path}/out"), "id") == ["p_t"]
+
+
 def test_another_format_is_read_back(spark, tmp_path):
     out = str(tmp_path)
     run_batches([values(spark, *MESSAGES)], correlation_batch(out, fmt="orc"))
