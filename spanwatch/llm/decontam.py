@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanwatch.llm.scratch import documents
+from spanwatch.llm.scratch import documents, small_batches, texts
 from spanwatch.llm.words import LOWER, SHINGLE, Words, pieces, shingles
 
 RADIUS = 7  # bits of 64 in which a window may differ from an item
@@ -183,7 +183,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     repeated documents each for itself. An empty table on either side gives no rows. Other
     columns are not read.
     """
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    docs = texts(docs)
 
     def found(items: Items):
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,6 +207,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return keep
 
+    small_batches(docs.sparkSession)
     for items in _passes(benchmark):
         docs = docs.mapInArrow(clean(items), docs.schema)
     return docs

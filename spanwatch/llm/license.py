@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanwatch.llm.scratch import documents
+from spanwatch.llm.scratch import documents, texts
 from spanwatch.llm.words import LOWER, SHINGLE, Words, pieces, shingles
 
 CONTAINMENT = 0.8
@@ -209,7 +209,7 @@ def find_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES)
     """
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"{len(templates)} templates; at most {MAX_TEMPLATES} are allowed")
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+    return texts(docs).mapInArrow(
         _scan(list(templates)), "doc_id long, license string, start int, end int, containment double"
     )
 

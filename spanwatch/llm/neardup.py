@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanwatch.llm.graph import components
-from spanwatch.llm.scratch import compact, documents, free_names, partitions, release, settle
+from spanwatch.llm.scratch import compact, documents, free_names, partitions, release, settle, texts
 from spanwatch.llm.words import LOWER, SHINGLE, Words, mix, pieces, shingles
 
 BINS = 256
@@ -204,7 +204,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     document, compared by the least of their sets (by size, then hash), and reported one by
     one. Columns beyond the two are not read.
     """
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    docs = texts(docs)
     spark = docs.sparkSession
     signed = settle(docs.mapInArrow(
         _signed(band_count(percent), size), f"{SIGNED}, bands array<long>, sketch array<long>"

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanwatch.llm.scratch import documents, free_names, settle
+from spanwatch.llm.scratch import documents, free_names, settle, small_batches
 from spanwatch.llm.words import LOWER, SPACE, Words, mix, pieces, shingles
 
 MIN_WORDS = 20
@@ -105,6 +105,7 @@ def judge(
     lines that go, from 0), n_left (words that stay) and kept. A null source is a host of
     its own; null and empty texts fail. Rows are judged one by one, equal or not.
     """
+    small_batches(docs.sparkSession)
     rows = settle(
         docs.select(
             "doc_id", "source", F.xxhash64("text").alias("text_hash"), F.xxhash64("source").alias("host"),

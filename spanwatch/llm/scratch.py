@@ -5,6 +5,7 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def use_shared_folder(spark: SparkSession) -> None:
@@ -82,5 +83,21 @@ def free_names(taken: Iterable[str], *wanted: str) -> list[str]:
     return out
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow carry 1,000 rows at a time, where the session does not say how many (Spark: 10,000).
+
+    A batch of texts is held several times, by the JVM and by a Python worker for every core.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting, None) is None:
+        spark.conf.set(setting, "1000")
+
+
+def texts(docs: DataFrame) -> DataFrame:
+    """doc_id and text of ``docs``, for a function over Arrow batches."""
+    small_batches(docs.sparkSession)
+    return docs.select("doc_id", F.col("text").cast("string").alias("text"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanwatch.llm.scratch import documents
+from spanwatch.llm.scratch import documents, texts
 from spanwatch.llm.words import pieces
 
 MAX_OUTPUT = 64 << 20  # characters that one compressed layer may unfold to; beyond it is reported as unread
@@ -241,7 +241,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
     Null is an empty text. Rows are scanned one by one, equal or not; other columns are not read.
     """
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+    return texts(docs).mapInArrow(
         _scan,
         "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, joined string, "
         "spans array<struct<kind:string,start:int,end:int>>, layers int, unread_layers int",

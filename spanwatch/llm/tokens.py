@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanwatch.llm.scratch import documents
+from spanwatch.llm.scratch import documents, texts
 from spanwatch.llm.words import pieces
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -110,7 +110,7 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     count one token each. The driver reads ``vocabulary``. Null and empty texts count 0; rows
     are counted one by one, equal or not; other columns are not read.
     """
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+    return texts(docs).mapInArrow(
         _counted(read_vocabulary(vocabulary)), "doc_id long, n_pre_tokens long, n_distinct long, n_tokens long"
     )
 

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanwatch.llm.scratch import documents, settle
+from spanwatch.llm.scratch import documents, settle, small_batches, texts
 from spanwatch.llm.words import Words, mix, pieces, shingles
 
 TRAIN_ROWS = 20_000  # labelled rows that a model is fitted on, at most about
@@ -182,7 +182,7 @@ def find_toxic(docs: DataFrame, model: Model) -> DataFrame:
     summed evidence. A text without tokens, or null, has no passage and the lowest score.
     Rows are scored one by one, equal ids or not; other columns are not read.
     """
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_scan(model), SCANNED)
+    return texts(docs).mapInArrow(_scan(model), SCANNED)
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -193,6 +193,7 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -
             scored = next(_scan(model)(iter([batch])))
             yield batch.filter(pc.less(scored.column("score"), threshold))
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(keep, docs.schema)
 
 
@@ -241,10 +242,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROW
     )
     share = min(1.0, train_rows / max(known.count(), 1))
     drawn = known.filter(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 20)) < int(share * (1 << 20)))
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null")
+    known_texts = texts(docs).filter("text is not null")
     # At most about ``train_rows`` rows, by the draw above.
     marks = settle(
-        texts.join(F.broadcast(drawn), "doc_id")
+        known_texts.join(F.broadcast(drawn), "doc_id")
         .mapInArrow(_signatures, "doc_id long, toxic int, marks array<long>")
         .dropDuplicates(["doc_id"])
     )
@@ -258,7 +259,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROW
     if not mass.get(1) or not mass.get(0):
         model.offset = -10.0
         return model
-    training = texts.join(F.broadcast(weights), "doc_id")
+    training = known_texts.join(F.broadcast(weights), "doc_id")
     counts = training.mapInArrow(_counts, "feature long, bad double, good double").groupBy("feature").agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good")
     ).filter(F.col("bad") >= MIN_WEIGHT)

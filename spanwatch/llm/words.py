@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20  # bytes hashed at a time
+PIECE = 1 << 18  # bytes hashed at a time
 SHINGLE = 5
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -124,7 +124,7 @@ def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return mix(out)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The rows in smaller batches of about ``limit`` bytes of ``column``, one row at least."""
     for batch in batches:
         texts = batch.column(column)

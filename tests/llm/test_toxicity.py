@@ -34,13 +34,14 @@ def test_segments_are_the_maximal_ones(tokens):
     for i, s in tokens:
         scores[i] = s
 
-    def recurse(lo, hi):  # the best segment, then the best ones beside it
+    def recurse(lo, hi):  # the best segment, the shortest of equals, then the best ones beside it
         best = None
         for a in range(lo, hi):
             run = 0.0
             for b in range(a, hi):
                 run += scores[b]
-                if run > 0 and (best is None or run > best[2] + 1e-9):
+                longer = best is not None and b - a >= best[1] - best[0]
+                if run > 1e-9 and (best is None or run > best[2] + 1e-9 or (run > best[2] - 1e-9 and not longer)):
                     best = (a, b, run)
         if best is None:
             return []
