@@ -68,9 +68,10 @@ def mix_sources(
         [F.col(c) for c in ("source", "draw", "doc_id", "size")], "size", "before", "place",
     ))
     starts = placed.groupBy("source").agg(F.min("before").alias("start"))
-    known = targets.join(
+    # Settled, so that the join below has two plain sides: the rows of a hot source can be split.
+    known = settle(targets.join(
         starts.withColumnRenamed("source", "s_source"), F.col("source").eqNullSafe(F.col("s_source"))
-    ).select(F.col("source").alias("t_source"), "source_size", "target", "start")
+    ).select(F.col("source").alias("t_source"), "source_size", "target", "start"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # A row belongs to the fractional repetition if its middle lies before the cut.
     extra = (F.col("before") - F.col("start") + F.col("size") / 2) < (
