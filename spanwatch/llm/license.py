@@ -7,7 +7,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from spanwatch.llm.scratch import documents, texts
 from spanwatch.llm.words import LOWER, SHINGLE, Words, pieces, shingles

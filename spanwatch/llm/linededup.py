@@ -85,7 +85,9 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         # Sorted so, a mark's earlier place in the same document stands before it.
         .select("doc_id", "row", "line", F.zip_with(
             "marks", F.concat(F.array(F.lit(None).cast("struct<mark:bigint,i:int>")), "marks"),
-            lambda m, p: F.struct(m["mark"].alias("mark"), m["i"].alias("i"), F.when(p["mark"] == m["mark"], p["i"]).alias("p")),
+            lambda m, p: F.struct(
+                m["mark"].alias("mark"), m["i"].alias("i"), F.when(p["mark"] == m["mark"], p["i"]).alias("p")
+            ),
         ).alias("marks"))
     )
     known = F.filter("marks", lambda m: m["mark"].isNotNull())

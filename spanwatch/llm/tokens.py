@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from spanwatch.llm.scratch import documents, texts
 from spanwatch.llm.words import pieces
