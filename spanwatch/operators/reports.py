@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from spanwatch.operators.matching import key_counts
 from spanwatch.operators.sides import ends, starts
-from spanwatch.schema import END_KEYS, PAIR_KEYS, START_KEYS, TRACE_KEY
+from spanwatch.schema import END_KEYS, PAIR_KEYS, START_KEYS
 
 
 def pair_counts(events: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Schemas of the event record, the open-starts table and the phase rules."""
+"""Schemas of the event record and the phase rules, and the names of both sides' columns."""
 
 from pyspark.sql import types as T
 
@@ -47,11 +47,6 @@ PAIR_KEYS = ["businessProcessName", "businessProcessActivityId", TRACE_KEY]
 START_KEYS = [prefixed("s", c) for c in PAIR_KEYS]
 END_KEYS = [prefixed("e", c) for c in PAIR_KEYS]
 
-PENDING_SCHEMA = T.StructType(
-    [T.StructField(prefixed("s", c), EVENT_SCHEMA[c].dataType) for c in COMMON_COLUMNS]
-    + [T.StructField(prefixed("s", TRACE_KEY), T.StringType())]
-)
-
 RULES_SCHEMA = T.StructType(
     [
         T.StructField(c, T.StringType())
