@@ -1,14 +1,19 @@
-"""Repeated runs of lines: winnowed fingerprints, joined positions, matches extended both ways."""
+"""Repeated runs of words: winnowed blocks, equal blocks by their hash, equal word runs at the blocks' edges."""
 
-from pyspark.sql import Column, DataFrame, Window
+import gc
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanwatch.llm.scratch import documents, free_names, settle
+from spanwatch.llm.scratch import documents, free_names, release, settle
 
 # A line ends with a line break, or with a sentence inside a paragraph. The parts keep their ends.
 LINE_ENDS = r"(?<=\n)|(?<=[.!?][ \t\x0B\f\r])"
 SPACES = r"[ \t\x0B\f\r]{2,}|[\t\x0B\f\r]"
-RUN = 3  # a fingerprint is the lesser of two neighbouring line pairs: every run of three lines holds one
+BLANKS = " \t\n\x0b\f\r"
+WORD_STARTS = r"(?<=[ \t\n\x0B\f\r])(?=[^ \t\n\x0B\f\r])"
+GRAM = 8  # words of the hashes of which a run of min_words holds several; the least one is its mark
 MIN_WORDS = 20
 
 
@@ -23,18 +28,67 @@ def _normal_lines(text: Column) -> Column:
     return F.transform(parts, lambda u: F.btrim(u, F.lit(" \n")))
 
 
-def _winnowed(pairs: Column) -> Column:
-    """Places (from 0) of the least hash of any two neighbours, the later one of equals."""
-    n = F.greatest(F.size(pairs) - 1, F.lit(0))
-    later = F.zip_with(F.slice(pairs, 1, n), F.slice(pairs, 2, n), lambda a, b: (b <= a).cast("int"))
-    few = F.when(F.size(pairs) > 0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
-    return F.when(n > 0, F.array_distinct(F.transform(later, lambda c, i: i + c))).otherwise(few)
+def _words(text: Column) -> Column:
+    """Hashes of the words without regard to case; of a text without words, one of the empty word."""
+    words = F.split(F.btrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(BLANKS)), r"[ \t\n\x0B\f\r]+")
+    return F.transform(words, lambda u: F.hash(u))
+
+
+def _steps(docs: DataFrame, name: str, apart: list[int], join) -> DataFrame:
+    """``docs`` with each element of array ``name`` joined with the one so many places on, step by step."""
+    others = [c for c in docs.columns if c != name]
+    for k in apart:
+        n = F.greatest(F.size(name) - k, F.lit(0))
+        docs = docs.select(*others, F.zip_with(F.slice(name, 1, n), F.slice(name, 1 + k, n), join).alias(name))
+    return docs
+
+
+def _gram_size(min_words: int) -> int:
+    return 1 << (min(GRAM, min_words).bit_length() - 1)
 
 
-def _equal_places(mine: Column, other: Column, shift: Column) -> Column:
-    """Places of ``mine`` whose hash stands ``shift`` places earlier in ``other``."""
-    first, last = F.greatest(shift, F.lit(0)), F.least(F.size(mine), F.size(other) + shift) - 1
-    return F.filter(F.sequence(first, last), lambda i: F.get(mine, i) == F.get(other, i - shift))
+def _offsets(min_words: int) -> list[int]:
+    """Where the grams stand that together cover a run of ``min_words`` words."""
+    size = _gram_size(min_words)
+    return sorted({*range(0, min_words - size, size), min_words - size})
+
+
+def _grams(docs: DataFrame, name: str, min_words: int) -> DataFrame:
+    """Words in array ``name`` replaced by hashes of so many words from there on."""
+    doublings = [1 << k for k in range(_gram_size(min_words).bit_length() - 1)]
+    return _steps(docs, name, doublings, lambda a, b: F.xxhash64(a, b))
+
+
+def _blocks(docs: DataFrame, min_words: int) -> DataFrame:
+    """``docs`` with arrays of blocks in place of the words ``w``.
+
+    Each place where a run of ``min_words`` words begins is in one block: the places whose runs have the
+    same gram as their least one (the first of equals). ``marks`` has each block's gram, ``alls`` a
+    hash of every word of its runs, ``firsts`` its first place (from 0); n_places is the number of all places.
+    """
+    others = [c for c in docs.columns if c != "w"]
+    width = min_words - _gram_size(min_words) + 1
+    doublings = [1 << k for k in range(width.bit_length() - 1)]
+    rest = [width - (1 << len(doublings))] if width > 1 << len(doublings) else []
+    made = _grams(docs, "w", min_words).select(*others, F.col("w").alias("g"), F.col("w").alias("m"))
+    made = _steps(made, "m", doublings + rest, lambda a, b: F.least(a, b))
+    before = lambda j: F.get("m", j - 1)
+    begins = lambda j: (j == 0) | (F.get("m", j) != before(j)) | (F.get("g", j - 1) == before(j))
+    places = F.when(F.size("m") > 0, F.sequence(F.lit(0), F.size("m") - 1)).otherwise(F.array().cast("array<int>"))
+    made = made.select(*others, "g", "m", F.filter(places, begins).alias("firsts"))
+    covers = lambda j: [F.get("g", j + k) for k in _offsets(min_words)]
+    made = made.select(*others, "g", "m", "firsts", _lasts(F.size("m")).alias("lasts"))
+    return made.select(
+        *others, F.transform("firsts", lambda a: F.get("m", a)).alias("marks"),
+        F.zip_with("firsts", "lasts", lambda a, b: F.xxhash64(b - a, *covers(a), *covers(b))).alias("alls"),
+        "firsts", F.size("m").alias("n_places"),
+    )
+
+
+def _lasts(n_places: Column) -> Column:
+    """The last place of each block, which ends where the next one begins."""
+    later = F.transform(F.slice("firsts", 2, F.size("firsts")), lambda j: j - 1)
+    return F.when(n_places > 0, F.concat(later, F.array(n_places - 1))).otherwise(later)
 
 
 def _runs(places: Column) -> Column:
@@ -46,119 +100,134 @@ def _runs(places: Column) -> Column:
     return F.zip_with(firsts, lasts, lambda a, b: F.struct(a.alias("first"), b.alias("last")))
 
 
+def _release(spark: SparkSession) -> None:
+    """``release``, once the frames that Python no longer holds are let go of in the JVM too, by a thread of its own."""
+    gc.collect()
+    time.sleep(1)
+    release(spark)
+
+
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """For every row of ``docs`` (doc_id, text): its lines, and those that repeat an earlier run.
-
-    Returns doc_id, text_hash, n_lines, n_words (lines with a word), removed (numbers of the
-    lines to delete, from 0, among ``line_parts``), n_removed_words. Earlier is by doc_id (null
-    first), then by the order of the table, then by place. A run is deleted if it has RUN lines and
-    ``min_words`` words or more, and equals, case and spaces aside, a run that holds the last or the first
-    occurrence before of one of its fingerprints; the run is extended both ways as far as lines are equal.
-    What is deleted stands somewhere earlier, and the earliest occurrence stays.
-
-    Each fingerprint is compared with its last occurrence in the same document or, if there is
-    none, with its first one in the table: pairs grow with the rows.
-    Null and empty texts have no lines. Equal rows follow each other; all but the first lose
-    their repeated runs. Other columns are not read.
+    """For every row of ``docs`` (doc_id, text): its lines and words, and those that repeat an earlier run.
+
+    Returns doc_id, text_hash, n_lines, n_words (lines with a word), runs (first, last: numbers
+    of the words to delete, from 0, in maximal runs), removed (numbers of the lines, from 0, among
+    ``line_parts``, all words of which are deleted), n_removed_words. Earlier is by doc_id (null first),
+    then by the order of the table, then by place. A word is deleted if it stands in a run of ``min_words``
+    words that, case and spaces aside, stands somewhere earlier, in the same document or another; lines
+    and sentences do not matter. So every earlier run counts, and the earliest occurrence of each stays.
+
+    Runs are compared in blocks: those that share their least gram. Of equal blocks all but the first
+    repeat; where a mark has several blocks, the runs of the first of each are compared one by one.
+    Rows of a shuffle grow with the words; runs one by one are only those at the edges of what repeats.
+    Null and empty texts have no words. Equal rows follow each other; all but the first lose
+    what repeats. Other columns are not read.
     """
-    worded = lambda u: u != ""
-    lines = settle(
-        docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _normal_lines(F.col("text")).alias("u"))
-        .select(
-            "doc_id", "text_hash",
-            F.transform(F.filter("u", worded), lambda u: F.xxhash64(u)).alias("line"),
-            F.transform(
-                F.filter("u", worded), lambda u: F.length(u) - F.length(F.replace(u, F.lit(" "), F.lit(""))) + 1
-            ).alias("words"),
-            F.filter(F.transform("u", lambda u, i: F.when(worded(u), i)), lambda i: i.isNotNull()).alias("at"),
-            F.monotonically_increasing_id().alias("row"),
+    n_words = lambda u: F.length(u) - F.length(F.replace(u, F.lit(" "), F.lit(""))) + 1
+    lines = settle(_blocks(
+        docs.select(
+            "doc_id", F.xxhash64("text").alias("text_hash"), _normal_lines(F.col("text")).alias("u"),
+            _words(F.col("text")).alias("w"), F.monotonically_increasing_id().alias("row"),
         )
-    )
-    n_pairs = F.greatest(F.size("line") - 1, F.lit(0))
-    pairs = F.zip_with(F.slice("line", 1, n_pairs), F.slice("line", 2, n_pairs), lambda a, b: F.xxhash64(a, b))
-    placed = (
-        lines.select("doc_id", "row", "line", pairs.alias("pairs"))
-        .select("doc_id", "row", "line", "pairs", _winnowed(F.col("pairs")).alias("places"))
-        .select("doc_id", "row", "line", F.array_sort(F.transform(
-            "places", lambda i: F.struct(F.get("pairs", i).alias("mark"), i.alias("i"))
-        )).alias("marks"))
-        # Sorted so, a mark's earlier place in the same document stands before it.
-        .select("doc_id", "row", "line", F.zip_with(
-            "marks", F.concat(F.array(F.lit(None).cast("struct<mark:bigint,i:int>")), "marks"),
-            lambda m, p: F.struct(
-                m["mark"].alias("mark"), m["i"].alias("i"), F.when(p["mark"] == m["mark"], p["i"]).alias("p")
-            ),
-        ).alias("marks"))
-    )
-    known = F.filter("marks", lambda m: m["mark"].isNotNull())
-    again = F.filter("marks", lambda m: m["p"].isNotNull() & (
-        (F.get("line", m["i"] - 1) == F.get("line", m["p"] - 1))
-        | (F.get("line", m["i"] + 2) == F.get("line", m["p"] + 2))
+        .select(
+            "doc_id", "text_hash", "w", "row",
+            F.transform("u", lambda u: F.when(u == "", 0).otherwise(n_words(u))).alias("words"),
+        ),
+        min_words,
     ))
-    inside = placed.select(
-        "row", F.col("row").alias("other"),
-        F.explode(F.array_distinct(F.transform(again, lambda m: m["i"] - m["p"]))).alias("shift"),
-    )
-    # Beside a fingerprint, the lines before and after it: without one of them no run comes about.
-    beside = lambda place: F.pmod(F.get("line", place), F.lit(1 << 31)).cast("int")
-    marks = (
-        placed.select("doc_id", "row", "line", F.explode(F.filter(known, lambda m: m["p"].isNull())).alias("m"))
+    marks = lines.select(F.explode("marks").alias("mark"))
+    shared = marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark")
+    again = settle(
+        lines.select("doc_id", "row", "marks", "alls", "firsts", _lasts(F.col("n_places")).alias("lasts"))
+        .select("doc_id", "row", F.explode(F.arrays_zip("marks", "alls", "firsts", "lasts")).alias("b"))
         .select(
-            "m.mark", "doc_id", "row", "m.i",
-            beside(F.col("m.i") - 1).alias("before"), beside(F.col("m.i") + 2).alias("after"),
+            "doc_id", "row", F.col("b.marks").alias("mark"), F.col("b.alls").alias("all"),
+            F.col("b.firsts").alias("first"), F.col("b.lasts").alias("last"),
         )
+        .join(shared, "mark")
+    )
+    _release(docs.sparkSession)
+    # Of equal blocks, all but the earliest repeat.
+    earliest = again.groupBy("mark", "all").agg(
+        F.min(F.struct("doc_id", "row", "first", "last")).alias("o"), F.count(F.lit(1)).alias("n")
+    )
+    blocks = (
+        again.join(earliest.filter("n > 1").select("mark", "all", "o"), ["mark", "all"])
+        .filter("row <> o.row or first <> o.first").select("row", "first", "last")
     )
-    first = (
-        marks.groupBy("mark")
-        .agg(F.min(F.struct("doc_id", "row", "i", "before", "after")).alias("o"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1").select("mark", "o")
+    # Where blocks with one mark differ, each run of the earliest blocks is looked for by itself.
+    several = earliest.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark")
+    edges = (
+        earliest.select("mark", "o.*").join(several, "mark")
+        .groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("places"))
+        .join(lines.select("doc_id", "text_hash", "row"), "row")
     )
-    across = (
-        marks.join(first, "mark")
-        .filter("row <> o.row").filter("before = o.before or after = o.after")
-        .select("row", F.col("o.row").alias("other"), (F.col("i") - F.col("o.i")).alias("shift"))
+    doc, text = free_names(edges.columns, "j_doc", "j_text")
+    words = docs.select(F.col("doc_id").alias(doc), F.xxhash64("text").alias(text), _words(F.col("text")).alias("g"))
+    held = words.join(edges, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col("text_hash") == F.col(text)))
+    single = (
+        _grams(held.select("doc_id", "row", "places", "g"), "g", min_words)
+        .select("doc_id", "row", F.explode(F.flatten(F.transform("places", lambda r: F.transform(
+            F.sequence(r["first"], r["last"]),
+            lambda j: F.struct(F.xxhash64(*[F.get("g", j + k) for k in _offsets(min_words)]).alias("all"), j.alias("first")),
+        )))).alias("r"))
+        .select("doc_id", "row", "r.all", "r.first")
     )
-    shared = across.distinct().union(inside)
-    mine = lines.select("row", "line", "words")
-    theirs = lines.select(F.col("row").alias("other"), F.col("line").alias("other_line"))
-    run_words = lambda r: F.aggregate(
-        F.slice("words", r["first"] + 1, r["last"] - r["first"] + 1), F.lit(0), lambda a, b: a + b
+    single = settle(single)
+    _release(docs.sparkSession)
+    origin = (
+        single.groupBy("all")
+        .agg(F.min(F.struct("doc_id", "row", "first")).alias("o"), F.max(F.struct("doc_id", "row", "first")).alias("z"))
+        .filter("not o <=> z").select("all", "o")
     )
-    long_runs = F.filter(
-        F.col("runs"), lambda r: (r["last"] - r["first"] + 1 >= RUN) & (run_words(r) >= min_words)
+    runs = (
+        single.join(origin, "all").filter("row <> o.row or first <> o.first")
+        .select("row", "first", F.col("first").alias("last"))
     )
     # One array is made per step: an expression inside a function of another is worked out for each element.
     gone = (
-        shared.join(mine, "row").join(theirs, "other")
-        .select("row", "words", _equal_places(F.col("line"), F.col("other_line"), F.col("shift")).alias("places"))
-        .filter(F.size("places") >= RUN)
-        .select("row", "words", _runs(F.col("places")).alias("runs"))
-        .select("row", F.explode(long_runs).alias("r"))
-        .groupBy("row").agg(F.collect_set("r").alias("runs"))
-        .select("row", F.array_distinct(F.flatten(
-            F.transform("runs", lambda r: F.sequence(r["first"], r["last"]))
-        )).alias("gone"))
+        blocks.union(runs).groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("r"))
+        .select("row", F.sort_array(F.array_distinct(F.flatten(
+            F.transform("r", lambda r: F.sequence(r["first"], r["last"] + (min_words - 1)))
+        ))).alias("places"))
+        .select("row", F.size("places").alias("n"), _runs(F.col("places")).alias("runs"))
     )
     total = lambda column: F.aggregate(column, F.lit(0).cast("long"), lambda a, b: a + b)
-    gone_or_none = F.coalesce("gone", F.array().cast("array<int>"))
-    return lines.join(gone, "row", "left").select(
-        "doc_id", "text_hash",
-        F.size("line").cast("long").alias("n_lines"), total(F.col("words")).alias("n_words"),
-        F.sort_array(F.transform(gone_or_none, lambda i: F.get(F.col("at"), i))).alias("removed"),
-        total(F.transform(gone_or_none, lambda i: F.get(F.col("words"), i))).alias("n_removed_words"),
+    line_of = F.flatten(F.transform("words", lambda n, i: F.array_repeat(i, n)))
+    # Of a run's first line, the beginning must be deleted as well, and of its last one the end.
+    part = lambda a, b: F.coalesce(F.get("line", a) == F.get("line", b), F.lit(False)).cast("int")
+    low = lambda r: F.get("line", r["first"]) + part(r["first"] - 1, r["first"])
+    high = lambda r: F.get("line", r["last"]) - part(r["last"], r["last"] + 1)
+    none = F.array().cast("array<int>")
+    whole = F.flatten(F.transform("runs", lambda r: F.when(low(r) <= high(r), F.sequence(low(r), high(r))).otherwise(none)))
+    return (
+        lines.select("doc_id", "text_hash", "row", "words").join(gone, "row", "left")
+        .select(
+            "doc_id", "text_hash", "words", F.coalesce("n", F.lit(0)).cast("long").alias("n_removed_words"),
+            F.coalesce("runs", F.array().cast("array<struct<first:int,last:int>>")).alias("runs"),
+            F.when(F.col("n") > 0, line_of).alias("line"),
+        )
+        .select(
+            "doc_id", "text_hash", F.size(F.filter("words", lambda n: n > 0)).cast("long").alias("n_lines"),
+            total(F.col("words")).alias("n_words"), "runs",
+            F.filter(whole, lambda i: F.get("words", i) > 0).alias("removed"), "n_removed_words",
+        )
     )
 
 
 def without_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """``docs`` with the lines of ``runs`` (from ``repeated_runs``) deleted; all columns stay.
+    """``docs`` with the words of ``runs`` (from ``repeated_runs``) deleted; all columns stay.
+
+    The blanks after a word go with it.
 
     Rows that agree in doc_id and text cannot be told apart: all but one lose what the later
     ones lose, and one loses what the first one does.
     """
-    removed, doc, text, turn, j_turn = free_names(docs.columns, "removed", "j_doc", "j_text", "turn", "j_turn")
+    names = free_names(docs.columns, "runs", "n", "j_doc", "j_text", "turn", "j_turn", "parts", "bounds")
+    gone, n, doc, text, turn, j_turn, parts, bounds = names
     verdict = runs.select(
-        F.col("doc_id").alias(doc), F.col("text_hash").alias(text), F.col("removed").alias(removed),
-        F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy(F.size("removed"))).alias(j_turn),
+        F.col("doc_id").alias(doc), F.col("text_hash").alias(text), F.col("runs").alias(gone),
+        F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("n_removed_words")).alias(j_turn),
     )
     own = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1))
     turned = docs.withColumn(turn, F.row_number().over(own))
@@ -166,12 +235,27 @@ def without_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
         turned["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(turned["text"]) == F.col(text))
         & (F.col(turn) == F.col(j_turn))
     )
-    kept = F.filter(line_parts(F.col("text")), lambda _, i: ~F.array_contains(F.col(removed), i))
-    cleaned = F.when(F.col("text").isNotNull(), F.array_join(kept, ""))
-    return turned.join(verdict, same).withColumn("text", cleaned).select(docs.columns)
+    # Blanks before the first word are a part of their own.
+    head = (F.btrim(F.get(parts, F.lit(0)), F.lit(BLANKS)) == "").cast("int")
+    edge = lambda place: F.array(F.struct(place.alias("first"), place.alias("last")))
+    placed = (
+        turned.join(verdict, same)
+        .withColumn(parts, F.split(F.coalesce("text", F.lit("")), WORD_STARTS, -1)).withColumn(n, head)
+        .withColumn(bounds, F.concat(
+            edge(F.lit(-1)),
+            F.transform(gone, lambda r: F.struct((r["first"] + F.col(n)).alias("first"), (r["last"] + F.col(n)).alias("last"))),
+            edge(F.size(parts)),
+        ))
+    )
+    between = F.zip_with(
+        F.slice(bounds, 1, F.size(bounds) - 1), F.slice(bounds, 2, F.size(bounds) - 1),
+        lambda a, b: F.array_join(F.slice(parts, a["last"] + 2, b["first"] - a["last"] - 1), ""),
+    )
+    cleaned = F.when(F.size(gone) == 0, F.col("text")).otherwise(F.array_join(between, ""))
+    return placed.withColumn("text", F.when(F.col("text").isNotNull(), cleaned)).select(docs.columns)
 
 
 def op10_line_dedup(spark, sf_dir) -> DataFrame:
     return repeated_runs(documents(spark, sf_dir)).select(
-        "doc_id", "n_lines", "n_words", "removed", F.size("removed").cast("long").alias("n_removed"), "n_removed_words"
+        "doc_id", "n_lines", "n_words", "runs", "removed", F.size("removed").cast("long").alias("n_removed"), "n_removed_words"
     )

@@ -1,4 +1,5 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -85,3 +86,83 @@ def test_equal_rows_lose_all_but_the_first(make_docs, prose):
     docs = make_docs([(1, text), (1, text), (2, text), (None, text)])
     left = sorted(r["text"] for r in linededup.without_runs(docs, linededup.repeated_runs(docs)).collect())
     assert left == ["", "", "", text]
+
+
+def words_of(text):
+    return text.lower().split()
+
+
+def brute(texts, least=20):
+    """Numbers of the words that stand in a run of so many words that stands earlier; texts in their order."""
+    seen, out = set(), {}
+    for key, text in texts:
+        w, gone = words_of(text), set()
+        for j in range(len(w) - least + 1):
+            run = tuple(w[j : j + least])
+            if run in seen:
+                gone.update(range(j, j + least))
+            seen.add(run)
+        out[key] = gone
+    return out
+
+
+def deleted(rows):
+    return {r["doc_id"]: {p for a in r["runs"] for p in range(a["first"], a["last"] + 1)} for r in rows}
+
+
+def test_passages_cut_at_random_words_go_whole(make_docs, prose):
+    draw, rows, want = random.Random(3), [], {}
+    for k in range(30):
+        host = prose(200, 400 + k).split()
+        for i in draw.sample(range(200), 8):
+            host[i] += "."
+        n = draw.randint(51, 80)
+        at = draw.randrange(200 - n)
+        a, b = prose(60, 500 + k), prose(60, 600 + k)
+        rows += [(k, " ".join(host)), (100 + k, f"{a} {' '.join(host[at : at + n])} {b}")]
+        want[100 + k] = f"{a} {b}"
+    line = prose(200, 700)  # a single line is a run as well
+    rows += [(200, f"{prose(9, 1)}.\n{line}\n"), (201, f"{prose(9, 2)}.\n{line}\n")]
+    docs = make_docs(rows)
+    runs = linededup.repeated_runs(docs)
+    left = {r["doc_id"]: r["text"] for r in linededup.without_runs(docs, runs).collect()}
+    assert {k: left[k] for k in want} == want
+    assert left[201] == prose(9, 2) + ".\n"
+    assert {r["doc_id"]: r["removed"] for r in runs.collect()}[201] == [1]
+
+
+def test_words_equal_brute_force(make_docs, odd_rows, prose):
+    draw, pool = random.Random(12), prose(400, 77).split()
+    rows = [r for r in odd_rows if r[0] is not None]
+    for i in range(120):
+        words = []
+        while len(words) < 150:
+            at = draw.randrange(400)
+            words += pool[at : at + draw.randint(1, 60)] if draw.random() < 0.6 else prose(draw.randint(1, 30), draw.random()).split()
+            words += ["ha"] * draw.choice([0, 0, 0, 5, 30, 61]) + ["la", "lu"] * draw.choice([0, 0, 0, 13])
+        rows.append((100 + i, " \n"[draw.randrange(2)] + "".join(u + draw.choice([" ", " ", "\n", ".  ", " \r\n"]) for u in words)))
+    rows.sort(key=lambda r: r[0])
+    for least in (20, 7, 33):
+        want = brute([(k, r[1] or "") for k, r in enumerate(rows) if r[0] >= 100], least)
+        some = [r for r in rows if r[0] >= 100]
+        got = deleted(linededup.repeated_runs(make_docs(some), least).collect())
+        assert [got[r[0]] for r in some] == list(want.values())
+    docs = make_docs(some)
+    runs = linededup.repeated_runs(docs).collect()
+    left = {r["doc_id"]: r["text"] for r in linededup.without_runs(docs, linededup.repeated_runs(docs)).collect()}
+    for r in runs:
+        words, gone = dict(some)[r["doc_id"]].split(), deleted([r])[r["doc_id"]]
+        assert left[r["doc_id"]].split() == [u for k, u in enumerate(words) if k not in gone]
+        assert r["n_removed_words"] == len(gone) and r["n_words"] == len(words)
+
+
+def test_a_table_equals_brute_force(spark):
+    from spanwatch.llm.scratch import documents
+
+    docs = documents(spark, "/root/testdata/sf0.001").filter("doc_id is not null and text is not null")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    got = deleted(linededup.repeated_runs(docs).collect())
+    assert len({k for k, _ in rows}) == len(rows)
+    # Blanks here are those of ASCII.
+    texts = [(k, " ".join(re.split("[ \t\n\x0b\f\r]+", t.strip(" \t\n\x0b\f\r"))).replace("\x85", "x").replace("\xa0", "x")) for k, t in rows]
+    assert got == brute(texts)
