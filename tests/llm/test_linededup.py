@@ -131,6 +131,16 @@ def test_passages_cut_at_random_words_go_whole(make_docs, prose):
     assert {r["doc_id"]: r["removed"] for r in runs.collect()}[201] == [1]
 
 
+def test_a_run_is_found_whatever_stands_first_with_its_mark(make_docs, prose):
+    rows, want = [], {}
+    for k in range(0, 120, 10):
+        # a, b stand together in the first document already, but with other lines beside them.
+        a, b, c, p, q, r, s, z = (prose(9, 8000 + 10 * k + i) + ".\n" for i in range(8))
+        rows += [(k, a + b + z), (k + 1, p + a + b + c + q), (k + 2, r + a + b + c + s)]
+        want |= {k: [], k + 1: [], k + 2: [1, 2, 3]}
+    assert {x["doc_id"]: x["removed"] for x in linededup.repeated_runs(make_docs(rows)).collect()} == want
+
+
 def test_words_equal_brute_force(make_docs, odd_rows, prose):
     draw, pool = random.Random(12), prose(400, 77).split()
     rows = [r for r in odd_rows if r[0] is not None]
