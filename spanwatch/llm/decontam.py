@@ -1,4 +1,7 @@
-"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check."""
+"""Benchmark decontamination: a few shingles of each item, one of which every match holds, and an exact check.
+
+SimHash windows and their blocks are here too, for approximate search; ``find_leaks`` does without them.
+"""
 
 import math
 from collections.abc import Iterator
@@ -17,7 +20,7 @@ RADIUS = 7  # bits of 64 in which a window may differ from an item
 BLOCKS = 4  # of 16 bits; within the radius, one block differs in RADIUS // BLOCKS bits at most
 SIMILARITY = 0.8
 GROWTH = 1.25  # of one window size to the next
-STEP = 1 << 15  # windows compared at a time
+STEP = 1 << 15  # shingles looked up at a time
 ITEMS_PER_PASS = 20_000
 
 
@@ -70,6 +73,33 @@ class Items:
         every, n = np.unique(np.concatenate(bags), return_counts=True) if bags else (np.zeros(0), np.zeros(0))
         return [(bag, 1.0 / n[np.searchsorted(every, bag)]) for bag in bags]
 
+    def seeds(self, bags: list[tuple[np.ndarray, np.ndarray]]) -> dict[int, "Seeds"]:
+        """For each shingle size the heaviest shingles of each item that weigh more than all it may lack."""
+        sized: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for i, (bag, weight) in enumerate(bags):
+            order = np.argsort(-weight, kind="stable")
+            may_lack = (1 - SIMILARITY) * weight.sum() * (1 + 1e-9)
+            n = int(np.searchsorted(np.cumsum(weight[order]), may_lack, "right")) + 1
+            sized.setdefault(min(SHINGLE, len(self.words[i])), []).append((i, bag[order[:n]]))
+        return {size: Seeds(entries) for size, entries in sized.items()}
+
+
+class Seeds:
+    """Shingles in order, and the items of each."""
+
+    def __init__(self, entries: list[tuple[int, np.ndarray]]):
+        every = np.concatenate([bag for _, bag in entries])
+        item = np.repeat([i for i, _ in entries], [len(bag) for _, bag in entries])
+        self.items = item[np.argsort(every, kind="stable")]
+        self.hashes, n = np.unique(every, return_counts=True)
+        self.starts = np.concatenate(([0], np.cumsum(n)))
+
+    def found(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``hashes`` are seeds, and of which number."""
+        k = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        hit = np.flatnonzero(self.hashes[k] == hashes)
+        return hit, k[hit]
+
 
 class Blocks:
     """Fingerprints by the value of each 16-bit block, and by all values one bit away."""
@@ -104,40 +134,66 @@ class Blocks:
         return found[0], found[1]
 
 
-def _best_places(words: Words, items: Items, index: dict, bags: list) -> dict[tuple[int, int], tuple]:
+def _candidates(words: Words, size: int, seeds: Seeds) -> set[tuple[int, int]]:
+    """All (text, item) of a batch where the text holds a seed of the item."""
+    pairs: set[tuple[int, int]] = set()
+    for at in range(0, len(words.hashes) - size + 1, STEP):
+        hit, seed = seeds.found(shingles(words.hashes[at : at + STEP + size - 1], size))
+        text = np.searchsorted(words.first, hit + at, "right") - 1
+        inside = hit + at + size <= words.first[text + 1]
+        for i, k in set(zip(text[inside].tolist(), seed[inside].tolist())):
+            pairs.update((i, item) for item in seeds.items[seeds.starts[k] : seeds.starts[k + 1]].tolist())
+    return pairs
+
+
+def _best_place(here: np.ndarray, length: int, bag: np.ndarray, weight: np.ndarray) -> tuple[float, int, int] | None:
+    """Similarity of the best place among a text's shingles ``here``, and its first and last shared shingle.
+
+    A place has an item's length of words and a quarter more, and begins with a shared shingle.
+    Of equal places the shortest, then the first one counts.
+    """
+    member = np.minimum(np.searchsorted(bag, here), len(bag) - 1)
+    places = np.flatnonzero(bag[member] == here)
+    member = member[places]
+    words = length + 2 * math.ceil(length / 8)
+    end = np.searchsorted(places, places + words - min(SHINGLE, length), "right")
+    upto, total = np.concatenate(([0.0], np.cumsum(weight[member]))), float(weight.sum())
+    best, found = (SIMILARITY, -math.inf), None
+    # A place weighs no more than all its shared shingles, repeated ones included.
+    for k in np.flatnonzero(upto[end] - upto[:-1] >= SIMILARITY * total * (1 - 1e-9)).tolist():
+        held = np.zeros(len(bag), bool)
+        held[member[k : end[k]]] = True
+        value = float(weight[held].sum() / total)
+        if value >= best[0]:
+            last = k + int(np.unique(member[k : end[k]], return_index=True)[1].max())
+            if (value, int(places[k] - places[last])) > best:
+                best = (value, int(places[k] - places[last]))
+                found = (value, int(places[k]), int(places[last]))
+    return found
+
+
+def _best_places(words: Words, items: Items, seeds: dict[int, Seeds], bags: list) -> dict[tuple[int, int], tuple]:
     """Per (text, item) of a batch that match: similarity, and bytes from where to where."""
-    text_of = np.searchsorted(words.first, np.arange(len(words.hashes)), "right") - 1
     best: dict[tuple[int, int], tuple] = {}
-    largest = max(index, default=0)
-    for at in range(0, len(words.hashes), STEP):
-        part = words.hashes[at : at + STEP + largest]
-        run = running_signs(part, largest)
-        for size, blocks in index.items():
-            window, entry = blocks.near(fingerprints(part, size, run)[:STEP])
-            start = window + at
-            inside = text_of[start] == text_of[start + size - 1] if len(start) else np.zeros(0, bool)
-            for s, e in zip(start[inside].tolist(), entry[inside].tolist()):
-                i, item = int(text_of[s]), int(blocks.item[e])
-                # The item's whole length around the window, and an eighth on either side.
-                length = len(items.words[item])
-                margin = math.ceil(length / 8)
-                lo = max(s - int(blocks.shift[e]) - margin, int(words.first[i]))
-                hi = min(s - int(blocks.shift[e]) + length + margin, int(words.first[i + 1]))
-                bag, weight = bags[item]
-                here = shingles(words.hashes[lo:hi], min(SHINGLE, length))
-                value = float(weight[np.isin(bag, here)].sum() / weight.sum())
-                if value >= SIMILARITY and value > best.get((i, item), (0.0,))[0]:
-                    shared = np.flatnonzero(np.isin(here, bag))
-                    first, last = lo + shared[0], lo + shared[-1] + min(SHINGLE, length) - 1
-                    best[i, item] = (value, int(words.starts[first]), int(words.ends[last]))
+    for size, some in seeds.items():
+        of, here = -1, np.zeros(0, np.uint64)
+        for i, item in sorted(_candidates(words, size, some)):
+            if i != of:
+                of, here = i, shingles(words.of(i), size)
+            found = _best_place(here, len(items.words[item]), *bags[item])
+            if found:
+                value, first, last = found
+                at = int(words.first[i])
+                best[i, item] = (value, int(words.starts[at + first]), int(words.ends[at + last + size - 1]))
     return best
 
 
 def _scanned(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[tuple[pa.RecordBatch, Words, dict]]:
-    index, bags = items.index(), items.weighted()
+    bags = items.weighted()
+    seeds = items.seeds(bags)
     for batch in pieces(batches, "text"):
         words = Words(batch.column("text"), LOWER)
-        yield batch, words, _best_places(words, items, index, bags)
+        yield batch, words, _best_places(words, items, seeds, bags)
 
 
 def _rows(batch: pa.RecordBatch, words: Words, items: Items, best: dict) -> pa.RecordBatch:
@@ -173,11 +229,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row (doc_id, item_id, similarity, start, end) for each document and item it holds.
 
     ``docs`` has (doc_id, text), ``benchmark`` (item_id, text). Words have A-Z lower-cased. An
-    item is found by its first or last words, as many as the next window size below its
-    length: windows whose SimHash lies within RADIUS bits are candidates, none of which the
-    blocks miss. A candidate counts if the text there holds at least SIMILARITY of the item's
-    weight in 5-word shingles. start and end are characters of the text, and span the shared
-    shingles of the best place.
+    item is found if any place of the text, of the item's length and a quarter more, holds at least
+    SIMILARITY of the item's weight in 5-word shingles. None is missed: the item's heaviest shingles,
+    which together weigh more than the rest that a match may lack, are looked up, and every text that
+    holds one of them is compared with the item. start and end are characters of the text, and span the
+    shared shingles of the best place.
 
     Items and texts that are null or without words match nothing; repeated items count once,
     repeated documents each for itself. An empty table on either side gives no rows. Other

@@ -82,3 +82,52 @@ def test_items_in_passes(monkeypatch, make_docs, items):
     rows = [(i, text[i]) for i in range(8)]
     assert {r["doc_id"] for r in decontam.find_leaks(make_docs(rows), benchmark).collect()} == set(range(8))
     assert decontam.without_leaks(make_docs(rows), benchmark).count() == 0
+
+
+def plain_similarity(text, item, weight):
+    """The best share of the item's weight among all places of its length and a quarter more."""
+    of = lambda words: [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+    bag, n = set(of(item)), len(item) + 2 * -(-len(item) // 8)
+    total = sum(map(weight, bag))
+    return max(sum(map(weight, bag & set(of(text[k : k + n])))) / total for k in range(max(1, len(text) - n + 1)))
+
+
+def test_every_place_within_the_similarity_is_found(spark, make_docs, prose):
+    draw, own = random.Random(9), {}
+    shared = prose(6, 1).split()
+    for i, n in enumerate([16, 20, 27, 35, 35, 60, 60, 80, 100, 100]):
+        own[i] = prose(n, 700 + i).split()
+        if i % 3 == 0:
+            own[i][3:9] = shared  # shingles of several items weigh less
+    held = {}
+    for words in own.values():
+        for gram in {tuple(words[k : k + 5]) for k in range(len(words) - 4)}:
+            held[gram] = held.get(gram, 0) + 1
+    rows, want = [], {}
+    for i, item in own.items():
+        for k in range(48):
+            words, n, kind = list(item), len(item), k % 4
+            part = draw.randint(1, max(1, n // 6))
+            if kind == 0:  # a replaced run
+                at = draw.randrange(n - part)
+                words[at : at + part] = ["new"] * part
+            elif kind == 1:  # both ends altered
+                words[: part // 2 + 1] = ["new"] * (part // 2 + 1)
+                words[-(part // 2) - 1 :] = ["old"] * (part // 2 + 1)
+            elif kind == 2:  # single words
+                for at in draw.sample(range(n), draw.randint(1, 3)):
+                    words[at] = "new"
+            else:  # words put in
+                at = draw.randrange(n)
+                words[at:at] = ["new"] * draw.randint(1, n // 8)
+            doc = 100 * i + k
+            text = prose(40, 3000 + doc).split() + words + prose(40, 6000 + doc).split()
+            rows.append((doc, " ".join(text)))
+            value = plain_similarity(text, item, lambda gram: 1 / held[gram])
+            if value >= 0.8 - 1e-12:
+                want[doc, i] = value
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in own.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontam.find_leaks(make_docs(rows), benchmark).collect()}
+    near = {k for k, v in want.items() if abs(v - 0.8) < 1e-9}  # sums in another order
+    assert len(want) > 150 and set(got) - near == set(want) - near
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in set(got) & set(want))
