@@ -132,7 +132,18 @@ def _below(layer: Layer, text: str, stretches: list[tuple[int, int, int, int]])
                 pieces_.append((a + lo - x, a + hi - x, *o, p[4]))
         else:
             pieces_.append((a, b, *layer.origin(x, y), False))
-    return Layer(text, pieces_, layer.depth + 1)
+    return Layer(text, _joined(pieces_), layer.depth + 1)
+
+
+def _joined(stretches: list[tuple[int, int, int, int, bool]]) -> list[tuple[int, int, int, int, bool]]:
+    """Neighbours that map as a whole to the same place as one: equal layers of a place look equal."""
+    out: list[tuple[int, int, int, int, bool]] = []
+    for p in stretches:
+        if out and not p[4] and not out[-1][4] and p[2:4] == out[-1][2:4] and p[0] == out[-1][1]:
+            out[-1] = (out[-1][0], p[1], *p[2:])
+        else:
+            out.append(p)
+    return out
 
 
 def _unpacked(data: bytes, found: Found) -> bytes:
@@ -170,13 +181,14 @@ def all_spans(text: str) -> Found:
     """The secrets of ``text`` and of every layer that it encodes, in spans of ``text``.
 
     Worklist: each layer is scanned, and its runs of URL escapes, Unicode escapes and base64
-    (compressed or not) are decoded into new layers, until nothing new comes up. A layer that
-    came up before is scanned for its own place, but not entered again: cycles end.
+    (compressed or not) are decoded into new layers, until nothing new comes up. A layer is entered
+    again for each place of the document that it stands in, but once only for the same one: cycles end,
+    since what a code decodes to has the place of the code.
     """
     found = Found({(s, k, e) for s, k, e in base_spans(text)})
     work = [Layer(text, [(0, len(text), 0, len(text), True)], 0)]
-    mark = lambda x: _digest(x.encode("utf-8", "surrogatepass"))
-    done = {mark(text)}
+    mark = lambda x: (_digest(x.text.encode("utf-8", "surrogatepass")), tuple(x.pieces))
+    done = {mark(work[0])}
     while work:
         layer = work.pop()
         found.depth = max(found.depth, layer.depth)
@@ -196,8 +208,8 @@ def all_spans(text: str) -> Found:
             for start, kind, end in base_spans(below.text):
                 lo, hi = below.origin(start, end)
                 found.spans.add((lo, kind, hi))
-            if mark(below.text) not in done:
-                done.add(mark(below.text))
+            if mark(below) not in done:
+                done.add(mark(below))
                 work.append(below)
     return found
 

@@ -85,3 +85,25 @@ def test_all_rows_of_a_table_equal_brute_force(spark):
         joined = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in base)
         assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert set(filter(None, joined.split(","))) <= set(r["spans"].split(","))
+
+
+@pytest.mark.parametrize("inner", [
+    encoded(encoded(SECRET)), encoded(quote(SECRET.replace("pass", "%70ass"), safe="")), encoded(encoded(encoded(SECRET))),
+    encoded("".join("\\u%04x" % ord(c) for c in SECRET)), encoded(zlib.compress(encoded(SECRET).encode())),
+])
+def test_repeated_codes_are_unwrapped_at_each_place(inner):
+    text = f"a {inner} b {inner}\nc {inner}"
+    places = {(m.start(), 0, m.end()) for m in re.finditer(re.escape(inner), text)}
+    assert len(places) == 3 and places <= secrets.all_spans(text).spans
+
+
+def test_repeats_within_a_code_are_entered_once():
+    inner = SECRET
+    for _ in range(30):  # entered for each, these would be 2 ** 30 layers
+        inner = encoded(zlib.compress(f"{inner} {inner}".encode(), 9))
+        if len(inner) > 1 << 16:
+            break
+    text = f"a {inner} b"
+    begin = time.time()
+    assert secrets.all_spans(text).spans == {(2, 0, 2 + len(inner))}
+    assert time.time() - begin < 20
