@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanwatch.llm.scratch import documents, small_batches, texts
+from spanwatch.llm.scratch import documents, settle, small_batches, texts
 from spanwatch.llm.words import LOWER, SHINGLE, Words, pieces, shingles
 
 RADIUS = 7  # bits of 64 in which a window may differ from an item
@@ -52,10 +52,14 @@ def running_signs(hashes: np.ndarray, largest: int) -> np.ndarray:
 
 @dataclass
 class Items:
-    """Benchmark items: their ids, word hashes, and shingles with weights."""
+    """Benchmark items: their ids, word hashes, and shingles with weights.
+
+    ``shared`` has, of a benchmark in several passes, the shingles here that several items hold, and how many.
+    """
 
     ids: list
     words: list[np.ndarray]
+    shared: tuple[np.ndarray, np.ndarray] | None = None
 
     def index(self) -> dict[int, "Blocks"]:
         """For each window size the blocks of the items' first and last windows."""
@@ -71,6 +75,10 @@ class Items:
         """Distinct shingles of each item; a shingle weighs 1 / (number of items that hold it)."""
         bags = [np.unique(shingles(words)) for words in self.words]
         every, n = np.unique(np.concatenate(bags), return_counts=True) if bags else (np.zeros(0), np.zeros(0))
+        if self.shared is not None and len(every):
+            n = np.ones(len(every), np.int64)
+            at = np.searchsorted(every, self.shared[0])
+            n[at] = self.shared[1]
         return [(bag, 1.0 / n[np.searchsorted(every, bag)]) for bag in bags]
 
     def seeds(self, bags: list[tuple[np.ndarray, np.ndarray]]) -> dict[int, "Seeds"]:
@@ -214,15 +222,38 @@ def _rows(batch: pa.RecordBatch, words: Words, items: Items, best: dict) -> pa.R
     )
 
 
+def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in pieces(batches, "text"):
+        words = Words(batch.column("text"), LOWER)
+        bags = [np.unique(shingles(words.of(i))) for i in range(batch.num_rows)]
+        turn = np.repeat(batch.column("turn").to_numpy(zero_copy_only=False), [len(bag) for bag in bags])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(turn, pa.int64()), pa.array(np.concatenate(bags).view(np.int64), pa.int64())], ["turn", "shingle"]
+        )
+
+
 def _passes(benchmark: DataFrame) -> Iterator[Items]:
-    """The items in passes of about ITEMS_PER_PASS, by a hash: what a task holds is bounded."""
+    """The items in passes of about ITEMS_PER_PASS, by a hash: what a task holds is bounded.
+
+    Of several passes, each gets the weights that its shingles have in the whole benchmark.
+    """
     known = benchmark.select("item_id", F.col("text").cast("string").alias("text")).dropna(subset=["text"]).distinct()
     n = max(1, math.ceil(known.count() / ITEMS_PER_PASS))
+    known = known.withColumn("turn", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
+    if n > 1:
+        held = settle(
+            known.select("turn", "text").mapInArrow(_item_shingles, "turn long, shingle long")
+            .groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.collect_set("turn").alias("turns")).filter("n > 1")
+        )
     for k in range(n):
-        rows = known.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
+        rows = known.filter(F.col("turn") == k).collect()
+        shared = None
+        if n > 1:
+            few = held.filter(F.array_contains("turns", F.lit(k).cast("long"))).select("shingle", "n").collect()
+            shared = (np.array([r["shingle"] for r in few], np.int64).view(np.uint64), np.array([r["n"] for r in few], np.int64))
         words = Words(pa.array([r["text"] for r in rows], pa.string()), LOWER)
         full = [i for i in range(len(rows)) if len(words.of(i))]
-        yield Items([rows[i]["item_id"] for i in full], [words.of(i).copy() for i in full])
+        yield Items([rows[i]["item_id"] for i in full], [words.of(i).copy() for i in full], shared)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

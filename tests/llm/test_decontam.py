@@ -131,3 +131,18 @@ def test_every_place_within_the_similarity_is_found(spark, make_docs, prose):
     near = {k for k, v in want.items() if abs(v - 0.8) < 1e-9}  # sums in another order
     assert len(want) > 150 and set(got) - near == set(want) - near
     assert all(abs(got[k] - want[k]) < 1e-9 for k in set(got) & set(want))
+
+
+def test_similarity_does_not_depend_on_passes(spark, monkeypatch, make_docs, prose):
+    stock, own = prose(15, 1), {i: prose(24, 50 + i) for i in range(12)}
+    benchmark = spark.createDataFrame([(i, f"{stock} {t}") for i, t in own.items()], "item_id long, text string")
+    # Without the stock words, and with another end.
+    rows = [(i, t) for i, t in own.items()] + [(20 + i, f"{stock} {t[: len(t) * 3 // 4]}") for i, t in own.items()]
+
+    def found():
+        return sorted(map(tuple, decontam.find_leaks(make_docs(rows), benchmark).collect()))
+
+    once = found()
+    assert len(once) >= 12
+    monkeypatch.setattr(decontam, "ITEMS_PER_PASS", 2)
+    assert found() == once
