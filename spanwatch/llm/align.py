@@ -18,7 +18,8 @@ from spanwatch.llm.words import buffers, pieces
 
 TOKENIZERS = "/opt/tokenizers"
 FIRST, SECOND = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model"
-BLOCK = 8 << 20  # bytes of texts whose id pairs are counted together before they are shuffled
+BLOCK = 2 << 20  # bytes of texts whose id pairs are counted together before they are shuffled
+PIECE = 1 << 18  # bytes of texts that are aligned at a time
 CACHE = 400_000  # chunks, and 10 times as many tokens, that a task keeps; beyond it starts anew, which costs time only
 SPACE_MARK = "▁"
 # A place where neither tokenizer joins what stands before and after: a space after anything but white space.
@@ -259,7 +260,7 @@ def _packed(name_a: str, a: bytes, name_b: str, b: bytes):
                 ["block", "rows", "pairs", "docs", "at", "times", "sizes"],
             )
 
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE):
             found = Aligned(batch.column("text").to_pylist(), chunks)
             pair = found.pair_a.astype(np.int64) * width + found.pair_b
             order = np.lexsort((pair, found.doc))

@@ -77,7 +77,7 @@ def test_blocks_and_caches_change_nothing(spark, models, monkeypatch):
     whole = rows(spark, texts, 1)
     monkeypatch.setattr(align, "BLOCK", 50)
     monkeypatch.setattr(align, "CACHE", 5)
-    monkeypatch.setattr(align, "pieces", lambda batches, column: (b.slice(i, 1) for b in batches for i in range(len(b))))
+    monkeypatch.setattr(align, "pieces", lambda batches, column, limit: (b.slice(i, 1) for b in batches for i in range(len(b))))
     assert rows(spark, texts, 3) == whole == dict(enumerate(plain(texts, models)))
 
 
