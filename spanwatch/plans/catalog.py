@@ -25,8 +25,10 @@ from spanwatch.sources.tables import (
 )
 from spanwatch.streaming import (
     read_alarms,
+    read_correlated,
     read_documents,
     read_phases,
+    read_trace_counts,
     read_unmatched,
     run_correlation,
     run_key_totals,
@@ -348,15 +350,34 @@ def q_stream_phases(spark, sf_dir):
     return _ntz(latest, "sTimestamp", "eTimestamp")
 
 
-def q_stream_correlated(spark, sf_dir):
-    """Totals per key of a stream, restarted from its checkpoint; the later half of the events comes first."""
-    root = work_dir(spark, "totals")
-    own = stateful_session(spark)
+def q_stream_per_trace(spark, sf_dir):
+    """Finished pairs, open starts and orphan ends per process and trace, kept up by the job's batches."""
+    counts = read_trace_counts(spark, _run_correlation(spark, sf_dir))
+    return counts.withColumns({c: F.col(c).cast("bigint") for c in ("finished", "open", "orphan")})
+
+
+def _late_half_first(spark, sf_dir, name: str, start) -> str:
+    """Feed the parts to a job, restarted in between, of which the later one comes first; the output folder."""
+    root = work_dir(spark, name)
     for part in reversed(_slices(spark, sf_dir)):
         part.write.mode("append").text(f"{root}/in")
-        events, _ = parse_events(stream_values(own, f"{root}/in"))
-        run_key_totals(events, f"{root}/out", f"{root}/checkpoint", trigger=None).awaitTermination()
-    totals = KeyedLog(spark, f"{root}/out", KEY_TOTALS_SCHEMA, PAIR_KEYS).read(before=2)
+        start(f"{root}/in", f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return f"{root}/out"
+
+
+def q_stream_correlated(spark, sf_dir):
+    """Every start and end of a stream with its links; the later half of the events comes first."""
+    out = _late_half_first(spark, sf_dir, "correlated", lambda path, out, ckpt: run_correlation(
+        stream_values(spark, path), out, ckpt, trigger=None, keep_events=True))
+    return _ntz(read_correlated(spark, out, before=2), "timestamp", "partnerTimestamp")
+
+
+def q_stream_key_totals(spark, sf_dir):
+    """Totals per key of a stream as keyed state; the later half of the events comes first."""
+    own = stateful_session(spark)
+    out = _late_half_first(spark, sf_dir, "totals", lambda path, out, ckpt: run_key_totals(
+        parse_events(stream_values(own, path))[0], out, ckpt, trigger=None))
+    totals = KeyedLog(spark, out, KEY_TOTALS_SCHEMA, PAIR_KEYS).read(before=2)
     return _ntz(totals, "lastStart", "lastEnd")
 
 

@@ -309,7 +309,19 @@ ORACLE = {
         SELECT id, durationInMillis, matches, {PHASE_KPI} FROM px""",
     "q_phases_latest": f"""{WITH_PHASES} SELECT {PHASE_OUT}, {PHASE_KPI} FROM p
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY {_phase_order("e")}, {_phase_order("s")}) = 1""",
-    "q_stream_correlated": f"""WITH {EVENT_MS_SQL}
+    "q_stream_correlated": f"""WITH {EVENT_MS_SQL},
+        a AS (SELECT * FROM ev WHERE eventType IN ('ACTIVITY_START', 'ACTIVITY_END')),
+        m AS (SELECT eventType AS t, businessProcessName AS k0, businessProcessActivityId AS k1, spp_trace_wf_id AS k2,
+          count(*) AS n, max(timestamp) AS last FROM a GROUP BY ALL)
+        SELECT a.*, coalesce(n, 0) AS matches, last AS partnerTimestamp FROM a LEFT JOIN m ON t <> eventType
+          AND k0 = businessProcessName AND k1 = businessProcessActivityId AND k2 = spp_trace_wf_id""",
+    "q_stream_per_trace": f"""{BASE_MS},{ENDS_ONCE},
+        g AS (SELECT businessProcessName, spp_trace_wf_id, matches AS finished, 0 AS open, 0 AS orphan FROM f
+          UNION ALL SELECT sBusinessProcessName, sSpp_trace_wf_id, 0, 1, 0 FROM c WHERE e_here IS NULL
+          UNION ALL SELECT eBusinessProcessName, eSpp_trace_wf_id, 0, 0, 1 FROM c WHERE s_here IS NULL)
+        SELECT businessProcessName, spp_trace_wf_id, CAST(sum(finished) AS BIGINT) AS finished,
+          CAST(sum(open) AS BIGINT) AS open, CAST(sum(orphan) AS BIGINT) AS orphan FROM g GROUP BY ALL""",
+    "q_stream_key_totals": f"""WITH {EVENT_MS_SQL}
         SELECT businessProcessName, businessProcessActivityId, spp_trace_wf_id,
           count(*) FILTER (eventType = 'ACTIVITY_START') AS starts, count(*) FILTER (eventType = 'ACTIVITY_END') AS ends,
           max(timestamp) FILTER (eventType = 'ACTIVITY_START') AS lastStart,

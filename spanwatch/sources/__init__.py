@@ -1,3 +1,4 @@
+from spanwatch.sources.delta import DeltaLog
 from spanwatch.sources.events import (
     EventBatch,
     parse_events,
@@ -14,6 +15,7 @@ from spanwatch.sources.pending import KeyedLog
 from spanwatch.sources.rules import read_rules
 
 __all__ = [
+    "DeltaLog",
     "EventBatch",
     "KeyedLog",
     "parse_events",

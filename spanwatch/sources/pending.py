@@ -13,19 +13,22 @@ _BATCH_FIELD = T.StructField(BATCH, T.LongType())
 _SETTINGS = T.StructType([T.StructField("epoch_batches", T.LongType())])
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """A Parquet table, or None where nothing was written."""
+def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+          base: str | None = None) -> DataFrame | None:
+    """A table in files, or None where nothing was written."""
+    reader = spark.read.format(fmt).schema(schema)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return (reader.option("basePath", base) if base else reader).load(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Parquet table, or an empty frame where nothing was written yet."""
-    rows = _read(spark, path, schema)
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+                  base: str | None = None) -> DataFrame:
+    """A table in files (below ``base``, where folders are columns), or an empty frame where nothing was written yet."""
+    rows = _read(spark, path, schema, fmt, base)
     if rows is not None:
         return rows
     # Known to be empty when the query is planned, so joins to it are left out.
@@ -85,17 +88,21 @@ class KeyedLog:
         path = f"{self.root}/log/epoch={epoch}/{BATCH}={batch_id}"
         rows.select(*[c for c in self.schema.fieldNames() if c != BATCH]).write.mode("overwrite").parquet(path)
 
+    def ends_epoch(self, batch_id: int) -> bool:
+        return not (batch_id + 1) % self.epoch_batches
+
     def close_epoch(self, batch_id: int, stale: Column | None = None) -> None:
         """After the last batch of an epoch, write the state as the base of the next.
 
-        Rows for which ``stale`` holds go to ``expired`` instead.
+        Rows for which ``stale`` holds go to ``expired`` instead; it may look at other rows by a window.
         """
         after = batch_id + 1
-        if after % self.epoch_batches:
+        if not self.ends_epoch(batch_id):
             return
         state = self._state(batch_id // self.epoch_batches, after)
         if stale is not None:
-            gone = F.coalesce(stale, F.lit(False))
-            state.where(gone).drop(BATCH).write.mode("overwrite").parquet(f"{self.root}/expired/{BATCH}={batch_id}")
-            state = state.where(~gone)
+            state = state.withColumn("_gone", F.coalesce(stale, F.lit(False)))
+            gone = state.where("_gone").drop(BATCH, "_gone")
+            gone.write.mode("overwrite").parquet(f"{self.root}/expired/{BATCH}={batch_id}")
+            state = state.where("NOT _gone").drop("_gone")
         state.write.mode("overwrite").parquet(f"{self.root}/base/epoch={after // self.epoch_batches}")

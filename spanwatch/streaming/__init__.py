@@ -2,8 +2,11 @@ from spanwatch.streaming.jobs import (
     correlation_batch,
     phases_batch,
     read_alarms,
+    read_batches,
+    read_correlated,
     read_documents,
     read_phases,
+    read_trace_counts,
     read_unmatched,
     run_batches,
     run_correlation,
@@ -21,8 +24,11 @@ __all__ = [
     "correlation_batch",
     "phases_batch",
     "read_alarms",
+    "read_batches",
+    "read_correlated",
     "read_documents",
     "read_phases",
+    "read_trace_counts",
     "read_unmatched",
     "run_batches",
     "run_correlation",
