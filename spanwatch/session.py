@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.parquet.filterPushdown": "true",
+    # From this size on a table is filtered by the keys it is joined with before it is shuffled.
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
     # Join state goes to local RocksDB files with a change log, not to the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

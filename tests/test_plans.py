@@ -166,3 +166,65 @@ def test_work_dir_follows_the_cluster_setting():
     assert work_dir(Session("local[4]"), "x") != work_dir(Session("local[4]"), "x")
     with pytest.raises(RuntimeError):
         work_dir(Session("yarn"), "x")
+
+
+def delta_log(spark, root, stored=2000):
+    """A log whose base holds so many orphan ends, one per key, and a batch since with ten more."""
+    from spanwatch.schema import PAIR_KEYS
+    from spanwatch.sources import DeltaLog
+    from spanwatch.streaming.state import ACTIVITY_SCHEMA, MARK_SCHEMA
+
+    log = DeltaLog(spark, str(root), ACTIVITY_SCHEMA, MARK_SCHEMA, PAIR_KEYS, 2)
+    frames = [stored_keys(spark.range(stored), schema) for schema in (ACTIVITY_SCHEMA, MARK_SCHEMA)]
+    log.write_base(1, *frames)
+    log.append(2, *[f.limit(10) for f in frames])
+    return log
+
+
+def stored_keys(ids, schema):
+    values = {"businessProcessName": F.lit("p"), "businessProcessActivityId": F.lit("a"), "spp_trace_wf_id": F.col("id").cast("string"),
+              "eventType": F.lit("ACTIVITY_END"), "starts": F.lit(0), "starts0": F.lit(0), "ends": F.lit(1)}
+    return ids.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def above(text, scan):
+    """Operators between a scan and the join above it."""
+    lines = text.split("\n\n")[0].split("\n")
+    at = next(i for i, line in enumerate(lines) if scan in line)
+    depth, found = len(re.match(r"[\s:|+\-*]*", lines[at]).group()), []
+    for line in reversed(lines[:at]):
+        here = len(re.match(r"[\s:|+\-*]*", line).group())
+        if here < depth:
+            depth = here
+            found.append(line.strip(" :+-*"))
+            if "Join" in line:
+                return found
+    raise AssertionError("no join")
+
+
+def test_a_batch_does_not_shuffle_the_base(spark, conf, tmp_path):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    log = delta_log(spark, tmp_path)
+    keys = log.marks(3).select("businessProcessName", "businessProcessActivityId", "spp_trace_wf_id").where("spp_trace_wf_id < '1'").distinct()
+    frame = log.marks(3, keys)
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        frame.explain()
+    path = above(text.getvalue(), "FileScan parquet spark_catalog.default.spanwatch_")
+    assert "SortMergeJoin" in path[-1] and not any("Exchange" in node for node in path)
+    assert frame.count() == 2  # the key '0' in base and batch
+
+
+def test_stored_rows_pass_a_bloom_filter_before_they_are_shuffled(spark, conf, tmp_path):
+    from spanwatch.streaming.jobs import FLIP_SCHEMA
+
+    conf(spark__sql__autoBroadcastJoinThreshold="-1",
+         spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="1b")
+    log = delta_log(spark, tmp_path / "log")
+    stored_keys(spark.range(20), FLIP_SCHEMA).write.parquet(str(tmp_path / "paired"))
+    flips = spark.read.schema(FLIP_SCHEMA).parquet(str(tmp_path / "paired")).where("starts0 = 0")
+    frame = log.rows(3, flips, "eventType = 'ACTIVITY_END'")
+    text = plan(frame)
+    tree = text.split("\n\n")[0]
+    assert len(re.findall(r"Condition : .*might_contain\(Subquery.*xxhash64\(spp_trace_wf_id", text)) == 2
+    assert re.search(r"Exchange \(\d+\)\n[ :|]*\+- (\* )?Filter", tree)
+    assert frame.count() == 30
