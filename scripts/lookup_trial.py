@@ -16,8 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from spanwatch.schema import PAIR_KEYS  # noqa: E402
 from spanwatch.session import build_session  # noqa: E402
 from spanwatch.sources import DeltaLog  # noqa: E402
-from spanwatch.streaming.jobs import FLIP_SCHEMA  # noqa: E402
-from spanwatch.streaming.state import ACTIVITY_SCHEMA, MARK_SCHEMA  # noqa: E402
+from spanwatch.streaming.state import ACTIVITY_SCHEMA, KEY_SCHEMA, MARK_SCHEMA  # noqa: E402
 
 
 def shaped(ids, schema):
@@ -39,11 +38,11 @@ def main():
     spark.sparkContext.setLogLevel("ERROR")
     log = DeltaLog(spark, f"{root}/log", ACTIVITY_SCHEMA, MARK_SCHEMA, PAIR_KEYS, 2)
     log.write_base(1, shaped(spark.range(stored), ACTIVITY_SCHEMA), shaped(spark.range(stored // 100), MARK_SCHEMA))
-    shaped(spark.range(0, stored, 100), FLIP_SCHEMA).write.parquet(f"{root}/paired")
+    shaped(spark.range(0, stored, 100), KEY_SCHEMA).write.parquet(f"{root}/paired")
     for name, threshold in (("without", "1000t"), ("with", "1b")):
         spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", threshold)
         spark.sparkContext.setJobDescription(name)
-        flips = spark.read.schema(FLIP_SCHEMA).parquet(f"{root}/paired").where("starts0 = 0")
+        flips = spark.read.schema(KEY_SCHEMA).parquet(f"{root}/paired").where("starts0 = 0")
         log.rows(2, flips, "eventType = 'ACTIVITY_END'").write.format("noop").mode("overwrite").save()
     spark.stop()
     jobs, totals = {}, {"without": [0, 0], "with": [0, 0]}

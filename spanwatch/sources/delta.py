@@ -102,15 +102,15 @@ class DeltaLog:
         parts = [p.where(only) for p in (self._base_rows(epoch), self._log("rows", before, epoch)) if p is not None]
         return _union(parts if keys is None else [p.join(keys, self.keys) for p in parts])
 
-    def append(self, batch_id: int, rows: DataFrame, marks: DataFrame) -> None:
-        """Add the batch's rows and marks."""
+    def add(self, table: str, batch_id: int, frame: DataFrame) -> DataFrame:
+        """Write what the batch adds to ``rows`` or ``marks``, and read it from there."""
         if self._new:
             settings = self.spark.range(1).select(F.lit(self.epoch_batches).cast("bigint").alias("epoch_batches"))
             settings.write.mode("overwrite").parquet(f"{self.root}/settings")
             self._new = False
-        for table, frame in (("rows", rows), ("marks", marks)):
-            path = f"{self.root}/{table}/epoch={self.epoch(batch_id)}/{BATCH}={batch_id}"
-            frame.select(*self.schemas[table].fieldNames()).write.mode("overwrite").parquet(path)
+        path = f"{self.root}/{table}/epoch={self.epoch(batch_id)}/{BATCH}={batch_id}"
+        frame.select(*self.schemas[table].fieldNames()).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(self.schemas[table]).parquet(path)
 
     def ends_epoch(self, batch_id: int) -> bool:
         return not (batch_id + 1) % self.epoch_batches

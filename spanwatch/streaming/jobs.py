@@ -8,7 +8,9 @@ the order in which events came.
 """
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +30,7 @@ from spanwatch.operators.phases import (
     newest_sides,
     phase_sides,
 )
-from spanwatch.schema import PAIR_KEYS, TRACE_KEY
+from spanwatch.schema import ACTIVITY_END, PAIR_KEYS, TRACE_KEY
 from spanwatch.sources.delta import DeltaLog
 from spanwatch.sources.events import parse_records, split_parsed
 from spanwatch.sources.pending import BATCH, EPOCH_BATCHES, KeyedLog, read_or_empty
@@ -55,6 +57,7 @@ from spanwatch.streaming.state import (
 )
 
 TRIGGER = "60 seconds"
+WRITERS = 4  # outputs of a batch that are written at a time
 Batch = Callable[[DataFrame, int], None]
 VIOLATION_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("businessProcessName", "businessProcessActivityName", "id")]
@@ -62,10 +65,6 @@ VIOLATION_SCHEMA = T.StructType(
 )
 
 
-FLIP_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType()) for c in PAIR_KEYS]
-    + [T.StructField(c, T.LongType()) for c in ("starts", "starts0", "ends0")]
-)
 TRACE_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("businessProcessName", TRACE_KEY)]
     + [T.StructField(c, T.DecimalType(38, 0)) for c in ("finished", "open", "orphan")]
@@ -109,6 +108,19 @@ def _write(rows: DataFrame, root: str, table: str, batch_id: int, fmt: str) -> N
     rows.write.format(fmt).mode("overwrite").save(f"{root}/{table}/{BATCH}={batch_id}")
 
 
+def _together(spark: SparkSession, outputs: list[Callable[[], object]]) -> None:
+    """Write a batch's outputs, of which none needs another, side by side; most are too small to fill a cluster."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for written in [pool.submit(inheritable_thread_target(spark)(output)) for output in outputs]:
+            written.result()
+
+
+def _kept(rows: DataFrame, root: str, table: str, batch_id: int) -> DataFrame:
+    """``rows`` written to the batch's folder and read again."""
+    _write(rows, root, table, batch_id, "parquet")
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{root}/{table}/{BATCH}={batch_id}")
+
+
 def _log(spark: SparkSession, root: str, epoch_batches: int) -> DeltaLog:
     return DeltaLog(spark, f"{root}/state", ACTIVITY_SCHEMA, MARK_SCHEMA, PAIR_KEYS, epoch_batches)
 
@@ -143,31 +155,35 @@ def correlation_batch(root: str, threshold: int = KPI_THRESHOLD, fmt: str = "par
         parsed = parse_records(values).withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))).persist()
         events, rejects = split_parsed(parsed)
         acts = activities(events)
-        unkeyed = acts.where(~complete(PAIR_KEYS))
-        fresh = key_marks(acts, threshold).persist()
-        marks = marks_after(fresh, log.marks(batch_id, fresh.select(*PAIR_KEYS).distinct())).persist()
-        totals = key_totals(marks).persist()
-        rows = with_totals(acts, totals).persist()
-        added = new_violations(marks, totals).persist()
+        unkeyed, rows, added = acts.where(~complete(PAIR_KEYS)), None, None
         try:
-            paired_now = totals.where(f"{PAIRED} AND NOT ({WAS_PAIRED}) AND starts0 + ends0 > 0")
-            _write(paired_now.select(*FLIP_SCHEMA.fieldNames()), root, "state/paired", batch_id, "parquet")
-            # Read from the files, with a filter, so that Spark can make a Bloom filter of the keys.
-            flips = spark.read.schema(FLIP_SCHEMA).parquet(f"{root}/state/paired/{BATCH}={batch_id}")
-            ends_only = None if keep_events else "starts0 = 0"
-            stored = log.rows(batch_id, flips.where(ends_only or "starts0 + ends0 > 0"),
-                              "true" if keep_events else "eventType = 'ACTIVITY_END'")
-            _write(counted("rejects", rejects.hint("rebalance")), root, "rejects", batch_id, fmt)
-            _write(counted("unkeyed", unkeyed.hint("rebalance")), root, "unkeyed", batch_id, fmt)
+            # Small tables between the steps are files: steps stay short plans, and lost executors cost one step.
+            fresh = log.add("marks", batch_id, key_marks(acts, threshold))
+            after = _kept(marks_after(fresh, log.marks(batch_id, fresh.select(*PAIR_KEYS).distinct())), root, "state/after", batch_id)
+            totals = _kept(key_totals(after), root, "state/keys", batch_id)
+            rows = with_totals(acts, totals).persist()
+            added = new_violations(after, totals).persist()
+            # A filter over files lets Spark make a Bloom filter of the keys.
+            flips = totals.where(f"{PAIRED} AND NOT ({WAS_PAIRED}) AND starts0 + ends0 > 0")
+            stored = log.rows(batch_id, flips) if keep_events else log.rows(
+                batch_id, flips.where("starts0 = 0"), f"eventType = '{ACTIVITY_END}'")
             docs = op.documents(counted("finished", newly_finished(rows, stored)), threshold)
-            days.add(op.daily_documents(docs), batch_id, log.epoch(batch_id))
+            found = counted("violations", added)
+            unpaired = counted("stored", rows.where(f"NOT ({PAIRED})"))
+            bad, nowhere = counted("rejects", rejects.hint("rebalance")), counted("unkeyed", unkeyed.hint("rebalance"))
+            outputs = [
+                lambda: days.add(op.daily_documents(docs), batch_id, log.epoch(batch_id)),
+                lambda: log.add("rows", batch_id, unpaired),
+                lambda: _write(bad, root, "rejects", batch_id, fmt),
+                lambda: _write(nowhere, root, "unkeyed", batch_id, fmt),
+                lambda: _write(found, root, "violations", batch_id, fmt),
+                lambda: _write(new_trace_counts(totals, unkeyed), root, "traces", batch_id, fmt),
+                lambda: _write(op.alarm_messages(alarms_of(added, threshold)), root, "alarms", batch_id, fmt),
+            ]
             if keep_events:
                 here = rows.where(PAIRED).select(*ACTIVITY_COLUMNS).unionByName(stored.select(*ACTIVITY_COLUMNS))
-                _write(here.hint("rebalance"), root, "events", batch_id, fmt)
-            _write(counted("violations", added), root, "violations", batch_id, fmt)
-            _write(new_trace_counts(totals, unkeyed), root, "traces", batch_id, fmt)
-            _write(op.alarm_messages(alarms_of(added, threshold)), root, "alarms", batch_id, fmt)
-            log.append(batch_id, counted("stored", rows.where(f"NOT ({PAIRED})")), fresh)
+                outputs.append(lambda: _write(here.hint("rebalance"), root, "events", batch_id, fmt))
+            _together(spark, outputs)
             _write(counted.row(spark), root, "batches", batch_id, "parquet")
             if log.ends_epoch(batch_id):
                 alive, base, gone = next_base(log, batch_id, threshold, _stale(acts, retention) if retention else None)
@@ -176,8 +192,9 @@ def correlation_batch(root: str, threshold: int = KPI_THRESHOLD, fmt: str = "par
                 log.write_base(batch_id, alive, base)
                 days.merge(log.epoch(batch_id))
         finally:
-            for frame in (added, rows, totals, marks, fresh, parsed):
-                frame.unpersist()
+            for frame in (added, rows, parsed):
+                if frame is not None:
+                    frame.unpersist()
 
     return run
 

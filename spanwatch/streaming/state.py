@@ -25,6 +25,11 @@ ACTIVITY_SCHEMA = T.StructType(
 NAME = "businessProcessActivityName"
 SUMS = ("starts", "ends", "bad")
 LASTS = ("lastStart", "lastEnd")
+# One key's numbers after a batch and, with a 0 to the name, before it.
+KEY_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType()) for c in PAIR_KEYS]
+    + [T.StructField(c + o, T.LongType()) for c in ("starts", "ends") for o in ("", "0")]
+)
 # Per key and activity name: starts, ends and violating ends, and the latest times. They add up over the
 # batches. A key with starts and ends is paired, and its stored rows no longer count.
 MARK_SCHEMA = T.StructType(

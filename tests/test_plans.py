@@ -177,7 +177,8 @@ def delta_log(spark, root, stored=2000):
     log = DeltaLog(spark, str(root), ACTIVITY_SCHEMA, MARK_SCHEMA, PAIR_KEYS, 2)
     frames = [stored_keys(spark.range(stored), schema) for schema in (ACTIVITY_SCHEMA, MARK_SCHEMA)]
     log.write_base(1, *frames)
-    log.append(2, *[f.limit(10) for f in frames])
+    for table, frame in zip(("rows", "marks"), frames):
+        log.add(table, 2, frame.limit(10))
     return log
 
 
@@ -215,13 +216,13 @@ def test_a_batch_does_not_shuffle_the_base(spark, conf, tmp_path):
 
 
 def test_stored_rows_pass_a_bloom_filter_before_they_are_shuffled(spark, conf, tmp_path):
-    from spanwatch.streaming.jobs import FLIP_SCHEMA
+    from spanwatch.streaming.state import KEY_SCHEMA
 
     conf(spark__sql__autoBroadcastJoinThreshold="-1",
          spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="1b")
     log = delta_log(spark, tmp_path / "log")
-    stored_keys(spark.range(20), FLIP_SCHEMA).write.parquet(str(tmp_path / "paired"))
-    flips = spark.read.schema(FLIP_SCHEMA).parquet(str(tmp_path / "paired")).where("starts0 = 0")
+    stored_keys(spark.range(20), KEY_SCHEMA).write.parquet(str(tmp_path / "paired"))
+    flips = spark.read.schema(KEY_SCHEMA).parquet(str(tmp_path / "paired")).where("starts0 = 0")
     frame = log.rows(3, flips, "eventType = 'ACTIVITY_END'")
     text = plan(frame)
     tree = text.split("\n\n")[0]
