@@ -2,7 +2,10 @@
 
 import base64
 import binascii
+import bz2
+import codecs
 import hashlib
+import lzma
 import re
 import zlib
 from collections.abc import Iterator
@@ -36,7 +39,12 @@ ESCAPE = re.compile(
 )
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{60,80}\r?\n)+[A-Za-z0-9+/]{2,80}={0,2}")
-PACKED = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
+SEPARATOR = re.compile(r"[/_-]")
+# The first bytes of zlib and gzip, bzip2 and xz streams.
+DEFLATED = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
+PACKED = (*DEFLATED, b"BZh", b"\xfd7zXZ\x00")
+PROBE = 32  # characters of a run that tell whether a code may begin there
+FED = 1 << 16  # bytes of a stream that are unpacked at a time
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -61,14 +69,18 @@ def _percent(text: str) -> str | None:
     return _text(unquote_to_bytes(NESTED.sub(r"%\1", text))) or _text(unquote_to_bytes(text))
 
 
-def _text(data: bytes) -> str | None:
-    """``data`` as text, if it is UTF-8 of mostly printable characters."""
+def _text(data: bytes, errors: str = "strict") -> str | None:
+    """``data`` as text, if it is UTF-8 of mostly printable characters; a character cut off at the end is left out."""
     try:
-        text = data.decode()
+        text = codecs.getincrementaldecoder("utf-8")(errors).decode(data)
     except UnicodeDecodeError:
         return None
-    odd = sum(not (c.isprintable() or c in "\t\n\r") for c in text)
-    return text if text and odd * 10 <= len(text) else None
+    said = text.translate({9: None, 10: None, 13: None})
+    if not said.isprintable() or errors != "strict":
+        odd = len(said) - sum(map(str.isprintable, said)) + text.count("\ufffd")
+        if odd * 10 > len(text):
+            return None
+    return text or None
 
 
 @dataclass
@@ -146,31 +158,95 @@ def _joined(stretches: list[tuple[int, int, int, int, bool]]) -> list[tuple[int,
     return out
 
 
-def _unpacked(data: bytes, found: Found) -> bytes:
-    if not data.startswith(PACKED):
-        return data
-    stream = zlib.decompressobj(wbits=47)  # zlib or gzip
-    try:
-        out = stream.decompress(data, MAX_OUTPUT)
-    except zlib.error:
-        return data
-    found.unread += bool(stream.unconsumed_tail)
-    return out
+def _stream(data: bytes):
+    if data.startswith(DEFLATED):
+        return zlib.decompressobj(wbits=47)  # zlib or gzip
+    return bz2.BZ2Decompressor() if data.startswith(b"BZh") else lzma.LZMADecompressor()
 
 
-def _base64(match: str, found: Found) -> str | None:
-    core = "".join(match.split()).rstrip("=").replace("-", "+").replace("_", "/")
-    if len(core) % 4 == 1:
-        return None
+def _unpacked(data: bytes, found: Found) -> bytes:
+    """All members of a compressed stream one after the other, as far as they can be read and up to MAX_OUTPUT."""
+    whole, out, size = data, [], 0
+    while data.startswith(PACKED):
+        stream, at, broken = _stream(data), 0, False
+        try:
+            while not stream.eof and at < len(data) and size <= MAX_OUTPUT:
+                fed = data[at : at + FED]
+                at += len(fed)
+                while fed or not getattr(stream, "needs_input", True):
+                    part = stream.decompress(fed, MAX_OUTPUT - size + 1)
+                    out.append(part)
+                    size += len(part)
+                    fed = getattr(stream, "unconsumed_tail", b"")
+                    if stream.eof or size > MAX_OUTPUT:
+                        break
+        except (zlib.error, OSError, EOFError, lzma.LZMAError):
+            broken = True
+        if broken and not size:
+            return whole
+        if broken or not stream.eof:
+            found.unread += 1
+            break
+        data = stream.unused_data + data[at:]
+    return b"".join(out)[:MAX_OUTPUT]
+
+
+def _decoded(core: str) -> bytes | None:
+    core = core[: len(core) - (len(core) % 4 == 1)]
     try:
-        data = base64.b64decode(core + "=" * (-len(core) % 4), validate=True)
+        return base64.b64decode(core + "=" * (-len(core) % 4), validate=True)
     except binascii.Error:
         return None
-    seen = set()
-    while data.startswith(PACKED) and _digest(data) not in seen:
+
+
+def _unwrapped(core: str, found: Found, errors: str = "strict") -> str | None:
+    """The text that a run of base64 stands for, out of any compressed streams."""
+    data, seen, packed = _decoded(core), set(), False
+    while data is not None and data.startswith(PACKED) and _digest(data) not in seen:
         seen.add(_digest(data))
         data = _unpacked(data, found)
-    return _text(data)
+        packed = True
+    return None if data is None else _text(data, "strict" if packed else errors)
+
+
+def _begins(core: str) -> bool:
+    """Whether the first characters of a run decode to the beginning of a text or of a stream."""
+    data = _decoded(core[: min(PROBE, len(core) // 4 * 4)])
+    return data is not None and (data.startswith(PACKED) or _text(data) is not None)
+
+
+def _goes_on(core: str) -> bool:
+    """Whether characters within a run decode to the middle of a text."""
+    data = _decoded(core)
+    return data is not None and _text(data, "replace") is not None
+
+
+def _base64(match: str, found: Found) -> tuple[int, str] | None:
+    """Where in a run its code begins, and what this stands for.
+
+    Usually that is the whole run. But paths and names are made of the same characters, so a code may also
+    begin after any / - or _ in it, or in the other three alignments; what stands before or behind it then may
+    decode to a few odd characters.
+    """
+    core = match.rstrip("=")
+    joined = "".join(core.split()).replace("-", "+").replace("_", "/")
+    text = _unwrapped(joined, found) if len(joined) % 4 != 1 else None
+    if text is not None:
+        return 0, text
+    if len(joined) != len(core):  # a code over several lines begins with its first
+        return None
+    for at in [m.end() for m in SEPARATOR.finditer(core)]:
+        if len(core) - at >= 16 and _begins(joined[at:]):
+            text = _unwrapped(joined[at:], found, "replace")
+            if text is not None:
+                return at, text
+    for at in (0, 1, 2, 3):
+        if len(joined) >= 4 * PROBE and not (_goes_on(joined[at + PROBE : at + 3 * PROBE]) or _begins(joined[at:])):
+            continue
+        text = _unwrapped(joined[at:], found, "replace") if len(joined) - at >= 16 else None
+        if text is not None:
+            return at, text
+    return None
 
 
 def _digest(data: bytes) -> bytes:
@@ -201,7 +277,8 @@ def all_spans(text: str) -> Found:
             for m in pattern.finditer(layer.text):
                 inner = _base64(m[0], found)
                 if inner is not None:
-                    new.append(_below(layer, inner, [(0, len(inner), m.start(), m.end())]))
+                    at, said = inner
+                    new.append(_below(layer, said, [(0, len(said), m.start() + at, m.end())]))
         for below in new:
             if below is None:
                 continue
@@ -248,8 +325,9 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
     n_assign, n_access, n_hex and base_sha256 tell of the secrets in the text itself; spans (and
     ``joined``, the same as text) also of those in encoded layers, which span the code that
-    holds them. layers is the depth reached. A compressed layer that unfolds to more than
-    MAX_OUTPUT characters is read up to there and counted in unread_layers.
+    holds them. layers is the depth reached. Unwrapped are URL and Unicode escapes, base64 in both alphabets,
+    and zlib, gzip (all members), bzip2 and xz streams within base64; not raw deflate, which nothing marks. A stream
+    that is broken, cut off, or unfolds to more than MAX_OUTPUT bytes is read up to there and counted in unread_layers.
 
     Null is an empty text. Rows are scanned one by one, equal or not; other columns are not read.
     """

@@ -1,6 +1,9 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
+import random
 import re
 import time
 import zlib
@@ -107,3 +110,83 @@ def test_repeats_within_a_code_are_entered_once():
     begin = time.time()
     assert secrets.all_spans(text).spans == {(2, 0, 2 + len(inner))}
     assert time.time() - begin < 20
+
+
+@pytest.mark.parametrize("before", ["/cb/", "id_", "key-", "https://a.example.org/x/y_z/", "a-b_c/", "xyz", "ab"])
+@pytest.mark.parametrize("after", ["", "==", " end", "/x"])
+def test_codes_after_paths_and_names(before, after):
+    code = encoded(f"some words and {SECRET} and more words.").rstrip("=")
+    text = f"see {before}{code}{after}"
+    found = secrets.all_spans(text).spans
+    assert found and all(0 <= s < e <= len(text) and s <= 4 + len(before) and e >= 4 + len(before) + len(code) for s, _, e in found)
+
+
+def test_a_code_of_either_alphabet_begins_after_a_separator():
+    draw = random.Random(8)
+    for _ in range(200):
+        said = "".join(draw.choice("abc?>~ÿé ") for _ in range(draw.randint(0, 30))) + SECRET
+        for code in (base64.b64encode(said.encode()), base64.urlsafe_b64encode(said.encode())):
+            text = f"/{draw.choice(['cb', 'p/q', 'a-b', 'id_7'])}/{code.decode()}"
+            assert secrets.all_spans(text).spans, text
+
+
+@pytest.mark.parametrize("data", [
+    gzip.compress(b"first member") + gzip.compress(SECRET.encode()), gzip.compress(SECRET.encode()) + b"\0" * 8,
+    bz2.compress(b"first") + bz2.compress(SECRET.encode()), lzma.compress(SECRET.encode()),
+    zlib.compress(lzma.compress(bz2.compress(gzip.compress(SECRET.encode())))),
+])
+def test_all_members_of_all_streams(data):
+    found = secrets.all_spans(f"x {encoded(data)} y")
+    assert found.spans and found.unread == 0
+
+
+def test_a_layer_that_is_cut_is_read_up_to_there(monkeypatch):
+    monkeypatch.setattr(secrets, "MAX_OUTPUT", 1000)
+    for fill in ("é", "漢", "\U0001F600", "a"):
+        for shift in range(4):
+            said = SECRET + "a" * shift + fill * 2000
+            for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+                found = secrets.all_spans(encoded(pack(said.encode())))
+                assert found.spans and found.unread == 1
+    whole = zlib.compress((SECRET + " and so on" * 50).encode())
+    found = secrets.all_spans(encoded(whole[:-9]))
+    assert found.spans and found.unread == 1
+
+
+def unwrapped(text):
+    """Plain unwrapping of texts that are one code as a whole: every reading of it, all the way down."""
+    out, todo = set(), [text.encode()]
+    while todo:
+        data = todo.pop()
+        if data in out or not data:
+            continue
+        out.add(data)
+        for read in (gzip.decompress, zlib.decompress, bz2.decompress, lzma.decompress, lambda d: base64.b64decode(d, validate=True),
+                     lambda d: __import__("urllib.parse").parse.unquote_to_bytes(d),
+                     lambda d: re.sub(rb"\\u([0-9a-f]{4})", lambda m: chr(int(m[1], 16)).encode(), d)):
+            try:
+                todo.append(read(data))
+            except Exception:
+                pass
+    return out
+
+
+def test_random_nestings_equal_plain_unwrapping():
+    draw = random.Random(12)
+    wrap = [
+        lambda t: encoded(t), lambda t: encoded(gzip.compress(t.encode())), lambda t: encoded(zlib.compress(t.encode())),
+        lambda t: encoded(bz2.compress(t.encode())), lambda t: encoded(lzma.compress(t.encode())), lambda t: quote(t, safe=""),
+        lambda t: "".join("%%%02X" % b for b in t.encode()), lambda t: "".join("\\u%04x" % ord(c) for c in t),
+    ]
+    for number in range(150):
+        inner = draw.choice([SECRET, "no such thing in here at all", "token=abc", f"two: {SECRET} and AKIA{'B2' * 9}"])
+        for _ in range(draw.randint(1, 5)):
+            inner = draw.choice(wrap)(inner)
+            if len(inner) > 20_000:
+                break
+        texts = [d.decode() for d in unwrapped(inner) if d.isascii()]
+        kinds = {k for t in texts for _, k, _ in secrets.base_spans(t)}
+        before = draw.choice(["a ", "é\n", "(", ""])
+        found = secrets.all_spans(f"{before}{inner} z")
+        assert {k for _, k, _ in found.spans} == kinds, (number, inner[:80])
+        assert all(len(before) <= s < e <= len(before) + len(inner) for s, _, e in found.spans)
