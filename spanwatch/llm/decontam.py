@@ -1,6 +1,7 @@
-"""Benchmark decontamination: a few shingles of each item, one of which every match holds, and an exact check.
+"""Benchmark decontamination: item-sized SimHash windows by Hamming blocks, heavy shingles, and an exact check.
 
-SimHash windows and their blocks are here too, for approximate search; ``find_leaks`` does without them.
+Windows within the radius find copies and lightly edited ones. A place can be within the similarity and its
+window beyond the radius; a few shingles of each item, one of which every match holds, find these.
 """
 
 import math
@@ -20,7 +21,8 @@ RADIUS = 7  # bits of 64 in which a window may differ from an item
 BLOCKS = 4  # of 16 bits; within the radius, one block differs in RADIUS // BLOCKS bits at most
 SIMILARITY = 0.8
 GROWTH = 1.25  # of one window size to the next
-STEP = 1 << 15  # shingles looked up at a time
+STEP = 1 << 15  # shingles and windows looked up at a time
+SOURCES = ("windows", "shingles")
 ITEMS_PER_PASS = 20_000
 
 
@@ -142,6 +144,21 @@ class Blocks:
         return found[0], found[1]
 
 
+def _near(words: Words, index: dict[int, Blocks]) -> set[tuple[int, int]]:
+    """All (text, item) of a batch where a window of the text is within the radius of one of the item's."""
+    pairs: set[tuple[int, int]] = set()
+    largest = max(index, default=0)
+    for at in range(0, len(words.hashes) if index else 0, STEP):
+        part = words.hashes[at : at + STEP + largest]
+        run = running_signs(part, largest)
+        for size, blocks in index.items():
+            window, entry = blocks.near(fingerprints(part, size, run)[:STEP])
+            text = np.searchsorted(words.first, window + at, "right") - 1
+            inside = window + at + size <= words.first[text + 1]
+            pairs.update(zip(text[inside].tolist(), blocks.item[entry[inside]].tolist()))
+    return pairs
+
+
 def _candidates(words: Words, size: int, seeds: Seeds) -> set[tuple[int, int]]:
     """All (text, item) of a batch where the text holds a seed of the item."""
     pairs: set[tuple[int, int]] = set()
@@ -180,28 +197,35 @@ def _best_place(here: np.ndarray, length: int, bag: np.ndarray, weight: np.ndarr
     return found
 
 
-def _best_places(words: Words, items: Items, seeds: dict[int, Seeds], bags: list) -> dict[tuple[int, int], tuple]:
+def _best_places(words: Words, items: Items, index: dict[int, Blocks], seeds: dict[int, Seeds], bags: list
+                 ) -> dict[tuple[int, int], tuple]:
     """Per (text, item) of a batch that match: similarity, and bytes from where to where."""
+    pairs = _near(words, index).union(*(_candidates(words, size, some) for size, some in seeds.items()))
     best: dict[tuple[int, int], tuple] = {}
-    for size, some in seeds.items():
-        of, here = -1, np.zeros(0, np.uint64)
-        for i, item in sorted(_candidates(words, size, some)):
-            if i != of:
-                of, here = i, shingles(words.of(i), size)
-            found = _best_place(here, len(items.words[item]), *bags[item])
-            if found:
-                value, first, last = found
-                at = int(words.first[i])
-                best[i, item] = (value, int(words.starts[at + first]), int(words.ends[at + last + size - 1]))
+    known: dict[int, np.ndarray] = {}
+    of = -1
+    for i, item in sorted(pairs):
+        size = min(SHINGLE, len(items.words[item]))
+        if i != of:
+            of, known = i, {}
+        if size not in known:
+            known[size] = shingles(words.of(i), size)
+        found = _best_place(known[size], len(items.words[item]), *bags[item])
+        if found:
+            value, first, last = found
+            at = int(words.first[i])
+            best[i, item] = (value, int(words.starts[at + first]), int(words.ends[at + last + size - 1]))
     return best
 
 
-def _scanned(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[tuple[pa.RecordBatch, Words, dict]]:
+def _scanned(batches: Iterator[pa.RecordBatch], items: Items, sources: tuple[str, ...] = SOURCES
+             ) -> Iterator[tuple[pa.RecordBatch, Words, dict]]:
     bags = items.weighted()
-    seeds = items.seeds(bags)
+    index = items.index() if "windows" in sources else {}
+    seeds = items.seeds(bags) if "shingles" in sources else {}
     for batch in pieces(batches, "text"):
         words = Words(batch.column("text"), LOWER)
-        yield batch, words, _best_places(words, items, seeds, bags)
+        yield batch, words, _best_places(words, items, index, seeds, bags)
 
 
 def _rows(batch: pa.RecordBatch, words: Words, items: Items, best: dict) -> pa.RecordBatch:
@@ -256,16 +280,19 @@ def _passes(benchmark: DataFrame) -> Iterator[Items]:
         yield Items([rows[i]["item_id"] for i in full], [words.of(i).copy() for i in full], shared)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, sources: tuple[str, ...] = SOURCES) -> DataFrame:
     """One row (doc_id, item_id, similarity, start, end) for each document and item it holds.
 
     ``docs`` has (doc_id, text), ``benchmark`` (item_id, text). Words have A-Z lower-cased. An
     item is found if any place of the text, of the item's length and a quarter more, holds at least
-    SIMILARITY of the item's weight in 5-word shingles. None is missed: the item's heaviest shingles,
-    which together weigh more than the rest that a match may lack, are looked up, and every text that
-    holds one of them is compared with the item. start and end are characters of the text, and span the
+    SIMILARITY of the item's weight in 5-word shingles. start and end are characters of the text, and span the
     shared shingles of the best place.
 
+    Texts to compare come from ``sources``. "windows": an item's first or last words, as many as the next
+    window size below its length, against all windows of that size; those whose SimHash lies within RADIUS bits, none
+    of which the blocks miss. "shingles": the item's heaviest shingles, which together weigh more than the rest that a
+    match may lack, so that with them no place is missed.
+
     Items and texts that are null or without words match nothing; repeated items count once,
     repeated documents each for itself. An empty table on either side gives no rows. Other
     columns are not read.
@@ -274,7 +301,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def found(items: Items):
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch, words, best in _scanned(batches, items):
+            for batch, words, best in _scanned(batches, items, sources):
                 yield _rows(batch, words, items, best)
 
         return docs.mapInArrow(find, "doc_id long, item_id long, similarity double, start int, end int")

@@ -92,7 +92,12 @@ def plain_similarity(text, item, weight):
     return max(sum(map(weight, bag & set(of(text[k : k + n])))) / total for k in range(max(1, len(text) - n + 1)))
 
 
-def test_every_place_within_the_similarity_is_found(spark, make_docs, prose):
+KINDS = ("run", "ends", "words", "insert")
+
+
+@pytest.fixture
+def edited(prose):
+    """Items, texts that hold them with edits, and all (text, item) within the similarity by brute force."""
     draw, own = random.Random(9), {}
     shared = prose(6, 1).split()
     for i, n in enumerate([16, 20, 27, 35, 35, 60, 60, 80, 100, 100]):
@@ -126,13 +131,38 @@ def test_every_place_within_the_similarity_is_found(spark, make_docs, prose):
             value = plain_similarity(text, item, lambda gram: 1 / held[gram])
             if value >= 0.8 - 1e-12:
                 want[doc, i] = value
-    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in own.items()], "item_id long, text string")
-    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontam.find_leaks(make_docs(rows), benchmark).collect()}
+    return {i: " ".join(w) for i, w in own.items()}, rows, want
+
+
+def leaks(spark, make_docs, own, rows, **options):
+    benchmark = spark.createDataFrame(list(own.items()), "item_id long, text string")
+    found = decontam.find_leaks(make_docs(rows), benchmark, **options).collect()
+    return {(r["doc_id"], r["item_id"]): r["similarity"] for r in found}
+
+
+def test_every_place_within_the_similarity_is_found(spark, make_docs, edited):
+    own, rows, want = edited
+    got = leaks(spark, make_docs, own, rows)
     near = {k for k, v in want.items() if abs(v - 0.8) < 1e-9}  # sums in another order
     assert len(want) > 150 and set(got) - near == set(want) - near
     assert all(abs(got[k] - want[k]) < 1e-9 for k in set(got) & set(want))
 
 
+def test_windows_find_places_by_themselves(spark, make_docs, edited, monkeypatch):
+    """What the SimHash windows find alone, by kind of edit; without the blocks they find nothing."""
+    own, rows, want = edited
+    got = leaks(spark, make_docs, own, rows, sources=("windows",))
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in set(got) & set(want))
+    share = {kind: [k in got for k in want if k[0] % 100 % 4 == n] for n, kind in enumerate(KINDS)}
+    recall = {kind: sum(found) / len(found) for kind, found in share.items()}
+    print(recall)
+    assert recall["run"] > 0.5 and recall["insert"] > 0.5 and recall["words"] > 0.5
+    exact = [(i, f"before {text} behind") for i, text in own.items()]
+    assert len(leaks(spark, make_docs, own, exact, sources=("windows",))) == len(own)
+    monkeypatch.setattr(decontam.Items, "index", lambda self: {})
+    assert leaks(spark, make_docs, own, exact, sources=("windows",)) == {}
+
+
 def test_similarity_does_not_depend_on_passes(spark, monkeypatch, make_docs, prose):
     stock, own = prose(15, 1), {i: prose(24, 50 + i) for i in range(12)}
     benchmark = spark.createDataFrame([(i, f"{stock} {t}") for i, t in own.items()], "item_id long, text string")
