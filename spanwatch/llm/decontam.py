@@ -20,6 +20,7 @@ from spanwatch.llm.words import LOWER, SHINGLE, Words, pieces, shingles
 RADIUS = 7  # bits of 64 in which a window may differ from an item
 BLOCKS = 4  # of 16 bits; within the radius, one block differs in RADIUS // BLOCKS bits at most
 SIMILARITY = 0.8
+HALVED = 26  # words from which on an item has windows of half its size too; shorter windows would cost a pass each
 GROWTH = 1.25  # of one window size to the next
 STEP = 1 << 15  # shingles and windows looked up at a time
 SOURCES = ("windows", "shingles")
@@ -64,13 +65,17 @@ class Items:
     shared: tuple[np.ndarray, np.ndarray] | None = None
 
     def index(self) -> dict[int, "Blocks"]:
-        """For each window size the blocks of the items' first and last windows."""
+        """For each window size the blocks of the items' windows: the first and the last of the item's size, and, of
+        items with HALVED words, of half that size the first, the middle and the last one, of which a run of changed
+        words spares one."""
         sized: dict[int, list[tuple[int, int, np.uint64]]] = {}
         for i, words in enumerate(self.words):
-            size = window_size(len(words))
-            prints = fingerprints(words, size)
-            for shift in {0, len(words) - size}:
-                sized.setdefault(size, []).append((i, shift, prints[shift]))
+            whole, half = window_size(len(words)), window_size(len(words) // 2)
+            places = {(whole, 0), (whole, len(words) - whole)}
+            if len(words) >= HALVED:
+                places |= {(half, 0), (half, (len(words) - half) // 2), (half, len(words) - half)}
+            for size, shift in sorted(places):
+                sized.setdefault(size, []).append((i, shift, fingerprints(words[shift : shift + size], size)[0]))
         return {size: Blocks(entries) for size, entries in sized.items()}
 
     def weighted(self) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -289,7 +294,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, sources: tuple[str, ...] =
     shared shingles of the best place.
 
     Texts to compare come from ``sources``. "windows": an item's first or last words, as many as the next
-    window size below its length, against all windows of that size; those whose SimHash lies within RADIUS bits, none
+    window size below its length (and below half of it), against all windows of that size; those whose SimHash lies within RADIUS bits, none
     of which the blocks miss. "shingles": the item's heaviest shingles, which together weigh more than the rest that a
     match may lack, so that with them no place is missed.
 
