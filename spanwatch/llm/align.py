@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 import re
 import uuid
 from collections.abc import Iterator
@@ -235,6 +236,8 @@ def _packed(name_a: str, a: bytes, name_b: str, b: bytes):
     place in ``pairs``."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Spark runs a task per core; threads of the library's own would each keep memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         chunks = Chunks(tokenizer(name_a, a), tokenizer(name_b, b))
         width = len(chunks.lengths[1])
         words = _words(max(len(chunks.lengths[0]), width))
