@@ -2,102 +2,164 @@
 
 import gc
 import time
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanwatch.llm.scratch import documents, free_names, release, settle
+from spanwatch.llm.quality import _runs as run_hashes
+from spanwatch.llm.scratch import documents, free_names, release, remove, settle, small_batches, written
+from spanwatch.llm.words import Words, buffers, pieces
 
 # A line ends with a line break, or with a sentence inside a paragraph. The parts keep their ends.
 LINE_ENDS = r"(?<=\n)|(?<=[.!?][ \t\x0B\f\r])"
-SPACES = r"[ \t\x0B\f\r]{2,}|[\t\x0B\f\r]"
 BLANKS = " \t\n\x0b\f\r"
 WORD_STARTS = r"(?<=[ \t\n\x0B\f\r])(?=[^ \t\n\x0B\f\r])"
 GRAM = 8  # words of the hashes of which a run of min_words holds several; the least one is its mark
 MIN_WORDS = 20
 
+BLOCKS = "blocks array<struct<mark:long,all:long,first:int,last:int>>"
+RUNS = "runs array<struct<first:int,last:int>>"
+
+# The bytes of LINE_ENDS.
+STOPS = np.zeros(256, bool)
+STOPS[list(b".!?")] = True
+INNER = np.zeros(256, bool)
+INNER[list(b" \t\x0b\f\r")] = True
+
 
 def line_parts(text: Column) -> Column:
     """The lines of a text, which joined are the text again."""
     return F.split(F.coalesce(text, F.lit("")), LINE_ENDS, -1)
 
 
-def _normal_lines(text: Column) -> Column:
-    """The lines without regard to case and spaces, as many as ``line_parts`` gives."""
-    parts = F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), SPACES, " "), LINE_ENDS, -1)
-    return F.transform(parts, lambda u: F.btrim(u, F.lit(" \n")))
-
-
-def _words(text: Column) -> Column:
-    """Hashes of the words without regard to case; of a text without words, one of the empty word."""
-    words = F.split(F.btrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(BLANKS)), r"[ \t\n\x0B\f\r]+")
-    return F.transform(words, lambda u: F.hash(u))
-
-
-def _steps(docs: DataFrame, name: str, apart: list[int], join) -> DataFrame:
-    """``docs`` with each element of array ``name`` joined with the one so many places on, step by step."""
-    others = [c for c in docs.columns if c != name]
-    for k in apart:
-        n = F.greatest(F.size(name) - k, F.lit(0))
-        docs = docs.select(*others, F.zip_with(F.slice(name, 1, n), F.slice(name, 1 + k, n), join).alias(name))
-    return docs
-
+def _lists(ends: np.ndarray, **columns: np.ndarray) -> pa.ListArray:
+    """Lists of structs: list i holds the elements from ``ends[i]`` to before ``ends[i + 1]``."""
+    values = pa.StructArray.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
-def _gram_size(min_words: int) -> int:
-    return 1 << (min(GRAM, min_words).bit_length() - 1)
 
+def _line_words(texts: pa.Array, words: Words) -> pa.ListArray:
+    """The number of words in each line of each text; a text has one line at least."""
+    data, offsets = buffers(texts)
+    after_stop = np.concatenate(([False], STOPS[data[:-1]])) if len(data) else np.zeros(0, bool)
+    begins = offsets[:-1][offsets[:-1] < len(data)]
+    after_stop[begins] = False  # the stop ends another text
+    cuts = np.flatnonzero((data == 0x0A) | (INNER[data] & after_stop))
+    heads = np.searchsorted(cuts, offsets[:-1])
+    starts = np.insert(cuts + 1, heads, offsets[:-1])
+    at = np.searchsorted(words.starts, starts)
+    counts = np.diff(np.append(at, len(words.starts))).astype(np.int32)
+    ends = np.append(heads + np.arange(len(heads)), len(starts))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(counts))
 
-def _offsets(min_words: int) -> list[int]:
-    """Where the grams stand that together cover a run of ``min_words`` words."""
-    size = _gram_size(min_words)
-    return sorted({*range(0, min_words - size, size), min_words - size})
 
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of each ``width`` neighbours."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        values = np.minimum(values[: max(len(values) - step, 0)], values[step:])
+        have += step
+    return values
 
-def _grams(docs: DataFrame, name: str, min_words: int) -> DataFrame:
-    """Words in array ``name`` replaced by hashes of so many words from there on."""
-    doublings = [1 << k for k in range(_gram_size(min_words).bit_length() - 1)]
-    return _steps(docs, name, doublings, lambda a, b: F.xxhash64(a, b))
 
+def word_blocks(words: Words, min_words: int) -> pa.ListArray:
+    """The blocks of each text: places (word numbers) at which runs of ``min_words`` words begin.
 
-def _blocks(docs: DataFrame, min_words: int) -> DataFrame:
-    """``docs`` with arrays of blocks in place of the words ``w``.
-
-    Each place where a run of ``min_words`` words begins is in one block: the places whose runs have the
-    same gram as their least one (the first of equals). ``marks`` has each block's gram, ``alls`` a
-    hash of every word of its runs, ``firsts`` its first place (from 0); n_places is the number of all places.
+    Each place is in one block: those the runs of which have the same gram as their least one (the
+    first of equals). ``mark`` is that gram, ``all`` a hash of every word of the block's runs,
+    ``first`` and ``last`` are its places.
     """
-    others = [c for c in docs.columns if c != "w"]
-    width = min_words - _gram_size(min_words) + 1
-    doublings = [1 << k for k in range(width.bit_length() - 1)]
-    rest = [width - (1 << len(doublings))] if width > 1 << len(doublings) else []
-    made = _grams(docs, "w", min_words).select(*others, F.col("w").alias("g"), F.col("w").alias("m"))
-    made = _steps(made, "m", doublings + rest, lambda a, b: F.least(a, b))
-    before = lambda j: F.get("m", j - 1)
-    begins = lambda j: (j == 0) | (F.get("m", j) != before(j)) | (F.get("g", j - 1) == before(j))
-    places = F.when(F.size("m") > 0, F.sequence(F.lit(0), F.size("m") - 1)).otherwise(F.array().cast("array<int>"))
-    made = made.select(*others, "g", "m", F.filter(places, begins).alias("firsts"))
-    covers = lambda j: [F.get("g", j + k) for k in _offsets(min_words)]
-    made = made.select(*others, "g", "m", "firsts", _lasts(F.size("m")).alias("lasts"))
-    return made.select(
-        *others, F.transform("firsts", lambda a: F.get("m", a)).alias("marks"),
-        F.zip_with("firsts", "lasts", lambda a, b: F.xxhash64(b - a, *covers(a), *covers(b))).alias("alls"),
-        "firsts", F.size("m").alias("n_places"),
+    size = 1 << (min(GRAM, min_words).bit_length() - 1)
+    hashes, first = words.hashes, words.first
+    at = np.arange(max(len(hashes) - size + 1, 0))
+    grams = run_hashes(hashes, at, at + size)
+    least = _least(grams, min_words - size + 1)
+    n = np.maximum(np.diff(first) - min_words + 1, 0)
+    text = np.repeat(np.arange(len(n)), n)
+    sums = np.concatenate(([0], np.cumsum(n)))
+    place = np.arange(sums[-1]) - sums[text] + first[text]
+    begins = np.concatenate(([True], text[1:] != text[:-1]))[: len(text)]
+    before = place - 1  # at a text's beginning it is not looked at
+    begins |= (least[place] != least[before]) | (grams[before] == least[before])
+    heads = np.flatnonzero(begins)
+    lasts = np.append(heads[1:], len(place))[: len(heads)] - 1
+    a, b, t = place[heads], place[lasts], text[heads]
+    return _lists(
+        np.searchsorted(t, np.arange(len(n) + 1)),
+        mark=least[a].view(np.int64), all=run_hashes(hashes, a, b + min_words).view(np.int64),
+        first=(a - first[t]).astype(np.int32), last=(b - first[t]).astype(np.int32),
     )
 
 
-def _lasts(n_places: Column) -> Column:
-    """The last place of each block, which ends where the next one begins."""
-    later = F.transform(F.slice("firsts", 2, F.size("firsts")), lambda j: j - 1)
-    return F.when(n_places > 0, F.concat(later, F.array(n_places - 1))).otherwise(later)
-
-
-def _runs(places: Column) -> Column:
-    """Runs (first, last) of ascending ``places`` without gaps."""
-    gap = F.zip_with(places, F.concat(F.array(F.lit(-2)), places), lambda a, b: a - b != 1)
-    firsts = F.filter(F.zip_with(places, gap, lambda p, g: F.when(g, p)), lambda p: p.isNotNull())
-    jump = F.zip_with(F.concat(F.slice(places, 2, F.size(places)), F.array(F.lit(-2))), places, lambda b, a: b - a != 1)
-    lasts = F.filter(F.zip_with(places, jump, lambda p, j: F.when(j, p)), lambda p: p.isNotNull())
-    return F.zip_with(firsts, lasts, lambda a, b: F.struct(a.alias("first"), b.alias("last")))
+def _blocked(min_words: int):
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            texts = batch.column("text")
+            words = Words(texts)
+            kept = [batch.column(c) for c in ("doc_id", "text_hash", "row")]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, _line_words(texts, words), word_blocks(words, min_words)],
+                ["doc_id", "text_hash", "row", "words", "blocks"],
+            )
+
+    return make
+
+
+def _bounds(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the list, ``first`` and ``last`` of all elements."""
+    flat = lists.flatten()
+    owner = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+    return owner, *(np.asarray(flat.field(c)).astype(np.int64) for c in ("first", "last"))
+
+
+def _single(min_words: int):
+    """The runs that begin at the ``places`` of texts, one row each."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            words = Words(batch.column("text"))
+            owner, first, last = _bounds(batch.column("places"))
+            n = last - first + 1
+            sums = np.concatenate(([0], np.cumsum(n)))
+            owner, place = np.repeat(owner, n), np.arange(sums[-1]) + np.repeat(first - sums[:-1], n)
+            at = words.first[owner] + place
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c).take(pa.array(owner)) for c in ("doc_id", "row")),
+                    pa.array(run_hashes(words.hashes, at, at + min_words).view(np.int64)), pa.array(place, pa.int32()),
+                ],
+                ["doc_id", "row", "all", "first"],
+            )
+
+    return make
+
+
+def _joined(min_words: int):
+    """The words that the runs of a row cover, in maximal runs, from the places (first, last) at which runs begin."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, first, last = _bounds(batch.column("places"))
+            order = np.lexsort((first, owner))
+            owner, first, end = owner[order], first[order], last[order] + min_words
+            # Rows stand one after the other, far enough apart, so that one running maximum serves all.
+            shift = owner * (int(end.max(initial=0)) + 2)
+            reach = np.maximum.accumulate(end + shift)
+            new = np.concatenate(([True], (first + shift)[1:] > reach[:-1]))[: len(first)]
+            heads = np.flatnonzero(new)
+            tails = np.append(heads[1:], len(first))[: len(heads)] - 1
+            begin, stop = first[heads], reach[tails] - shift[tails]
+            n = np.zeros(batch.num_rows, np.int64)
+            np.add.at(n, owner[heads], stop - begin)
+            ends = np.searchsorted(owner[heads], np.arange(batch.num_rows + 1))
+            runs = _lists(ends, first=begin.astype(np.int32), last=(stop - 1).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(n), runs], ["row", "n", "runs"])
+
+    return make
 
 
 def _release(spark: SparkSession) -> None:
@@ -120,33 +182,30 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     Runs are compared in blocks: those that share their least gram. Of equal blocks all but the first
     repeat; where a mark has several blocks, the runs of the first of each are compared one by one.
     Rows of a shuffle grow with the words; runs one by one are only those at the edges of what repeats.
+    Words and runs are equal if their 64-bit hashes are.
     Null and empty texts have no words. Equal rows follow each other; all but the first lose
     what repeats. Other columns are not read.
     """
-    n_words = lambda u: F.length(u) - F.length(F.replace(u, F.lit(" "), F.lit(""))) + 1
-    lines = settle(_blocks(
+    spark = docs.sparkSession
+    small_batches(spark)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    text_of = F.lower(F.col("text").cast("string"))
+    made, made_at = written(
         docs.select(
-            "doc_id", F.xxhash64("text").alias("text_hash"), _normal_lines(F.col("text")).alias("u"),
-            _words(F.col("text")).alias("w"), F.monotonically_increasing_id().alias("row"),
-        )
-        .select(
-            "doc_id", "text_hash", "w", "row",
-            F.transform("u", lambda u: F.when(u == "", 0).otherwise(n_words(u))).alias("words"),
-        ),
-        min_words,
-    ))
-    marks = lines.select(F.explode("marks").alias("mark"))
-    shared = marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark")
-    again = settle(
-        lines.select("doc_id", "row", "marks", "alls", "firsts", _lasts(F.col("n_places")).alias("lasts"))
-        .select("doc_id", "row", F.explode(F.arrays_zip("marks", "alls", "firsts", "lasts")).alias("b"))
-        .select(
-            "doc_id", "row", F.col("b.marks").alias("mark"), F.col("b.alls").alias("all"),
-            F.col("b.firsts").alias("first"), F.col("b.lasts").alias("last"),
-        )
-        .join(shared, "mark")
+            "doc_id", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"),
+            text_of.alias("text"),
+        ).mapInArrow(_blocked(min_words), f"doc_id {kind}, text_hash long, row long, words array<int>, {BLOCKS}"),
+        "blocks",
     )
-    _release(docs.sparkSession)
+    lines = settle(made.drop("blocks"))
+    every = made.select("doc_id", "row", F.inline("blocks"))
+    marks = made.select(F.explode("blocks.mark").alias("mark"))
+    shared = settle(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark"))
+    _release(spark)
+    again, again_at = written(every.join(shared, "mark"), "again")
+    remove(spark, made_at)
+    del shared
+    _release(spark)
     # Of equal blocks, all but the earliest repeat.
     earliest = again.groupBy("mark", "all").agg(
         F.min(F.struct("doc_id", "row", "first", "last")).alias("o"), F.count(F.lit(1)).alias("n")
@@ -162,19 +221,15 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("places"))
         .join(lines.select("doc_id", "text_hash", "row"), "row")
     )
-    doc, text = free_names(edges.columns, "j_doc", "j_text")
-    words = docs.select(F.col("doc_id").alias(doc), F.xxhash64("text").alias(text), _words(F.col("text")).alias("g"))
-    held = words.join(edges, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col("text_hash") == F.col(text)))
-    single = (
-        _grams(held.select("doc_id", "row", "places", "g"), "g", min_words)
-        .select("doc_id", "row", F.explode(F.flatten(F.transform("places", lambda r: F.transform(
-            F.sequence(r["first"], r["last"]),
-            lambda j: F.struct(F.xxhash64(*[F.get("g", j + k) for k in _offsets(min_words)]).alias("all"), j.alias("first")),
-        )))).alias("r"))
-        .select("doc_id", "row", "r.all", "r.first")
+    doc, hashed = free_names(edges.columns, "j_doc", "j_text")
+    texts = docs.select(F.col("doc_id").alias(doc), F.xxhash64("text").alias(hashed), text_of.alias("text"))
+    held = texts.join(edges, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col("text_hash") == F.col(hashed)))
+    # Rows that agree in id and text meet each other's places; a run that so comes twice changes nothing.
+    single = settle(
+        held.select("doc_id", "row", "places", "text")
+        .mapInArrow(_single(min_words), f"doc_id {kind}, row long, all long, first int")
     )
-    single = settle(single)
-    _release(docs.sparkSession)
+    _release(spark)
     origin = (
         single.groupBy("all")
         .agg(F.min(F.struct("doc_id", "row", "first")).alias("o"), F.max(F.struct("doc_id", "row", "first")).alias("z"))
@@ -184,14 +239,13 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         single.join(origin, "all").filter("row <> o.row or first <> o.first")
         .select("row", "first", F.col("first").alias("last"))
     )
-    # One array is made per step: an expression inside a function of another is worked out for each element.
-    gone = (
-        blocks.union(runs).groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("r"))
-        .select("row", F.sort_array(F.array_distinct(F.flatten(
-            F.transform("r", lambda r: F.sequence(r["first"], r["last"] + (min_words - 1)))
-        ))).alias("places"))
-        .select("row", F.size("places").alias("n"), _runs(F.col("places")).alias("runs"))
+    gone = settle(
+        blocks.union(runs).groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("places"))
+        .mapInArrow(_joined(min_words), f"row long, n long, {RUNS}")
     )
+    remove(spark, again_at)
+    del single, origin, runs, blocks
+    _release(spark)
     total = lambda column: F.aggregate(column, F.lit(0).cast("long"), lambda a, b: a + b)
     line_of = F.flatten(F.transform("words", lambda n, i: F.array_repeat(i, n)))
     # Of a run's first line, the beginning must be deleted as well, and of its last one the end.

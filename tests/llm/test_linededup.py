@@ -1,9 +1,12 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from spanwatch.llm import linededup
+from spanwatch.llm.words import Words
 
 
 def lines_of(prose, n, seed):
@@ -13,18 +16,38 @@ def lines_of(prose, n, seed):
 def normal(spark, texts):
     df = spark.createDataFrame(list(texts.items()), "k long, text string")
     return {
-        r["k"]: (r["p"], r["u"]) for r in df.select(
-            "k", linededup.line_parts(F.col("text")).alias("p"), linededup._normal_lines(F.col("text")).alias("u")
-        ).collect()
+        r["k"]: (r["p"], [" ".join(x.lower().split()) for x in r["p"]])
+        for r in df.select("k", linededup.line_parts(F.col("text")).alias("p")).collect()
     }
 
 
-def test_parts_join_to_the_text_and_match_their_normal_form(spark):
+def test_parts_join_to_the_text_and_their_words_are_counted(spark):
     alphabet, draw = "ab.!? \t\r\n", random.Random(4)
-    texts = {i: "".join(draw.choice(alphabet) for _ in range(draw.randint(0, 40))) for i in range(300)}
-    for k, (parts, forms) in normal(spark, texts).items():
-        assert "".join(parts) == texts[k]
-        assert [" ".join(p.split()) for p in parts] == forms
+    texts = ["".join(draw.choice(alphabet) for _ in range(draw.randint(0, 40))) for _ in range(300)] + [None, "", "a. ", "\n"]
+    column = pa.array(texts)
+    counts = linededup._line_words(column, Words(column)).to_pylist()
+    for k, (parts, forms) in normal(spark, dict(enumerate(texts))).items():
+        assert "".join(parts) == (texts[k] or "")
+        assert counts[k] == [len(f.split()) for f in forms]
+
+
+def test_blocks_equal_brute_force():
+    draw = random.Random(5)
+    texts = [" ".join(draw.choice("abc") for _ in range(draw.choice([0, 3, 6, 7, 8, 40, 90]))) for _ in range(80)]
+    texts += ["ha " * 50, None, " \n"]
+    column = pa.array(texts)
+    for least in (1, 7, 20):
+        words = Words(column)
+        size = 1 << (min(linededup.GRAM, least).bit_length() - 1)
+        for i, blocks in enumerate(linededup.word_blocks(words, least).to_pylist()):
+            own = words.of(i)
+            grams = [int(linededup.run_hashes(own, np.array([j]), np.array([j + size]))[0]) for j in range(len(own) - size + 1)]
+            # The place of each run's mark: the first of its least grams.
+            marks = [min(range(j, j + least - size + 1), key=lambda k: (grams[k], k)) for j in range(len(own) - least + 1)]
+            cuts = [j for j in range(len(marks)) if not j or marks[j] != marks[j - 1]]
+            assert [b["first"] for b in blocks] == cuts
+            assert [b["last"] for b in blocks] == [j - 1 for j in cuts[1:]] + [len(marks) - 1] * bool(marks)
+            assert [b["mark"] % 2**64 for b in blocks] == [grams[marks[j]] for j in cuts]
 
 
 def test_later_runs_go_and_first_ones_stay(make_docs, prose):
