@@ -206,18 +206,16 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     remove(spark, made_at)
     del shared
     _release(spark)
-    # Of equal blocks, all but the earliest repeat.
-    earliest = again.groupBy("mark", "all").agg(
-        F.min(F.struct("doc_id", "row", "first", "last")).alias("o"), F.count(F.lit(1)).alias("n")
-    )
-    blocks = (
-        again.join(earliest.filter("n > 1").select("mark", "all", "o"), ["mark", "all"])
-        .filter("row <> o.row or first <> o.first").select("row", "first", "last")
+    # Of equal blocks, all but the earliest repeat. A block is named by its row and its first place.
+    order = F.struct("doc_id", "row", "first", "last")
+    earliest, earliest_at = written(
+        again.groupBy("mark", "all").agg(F.min(order).alias("o")).select("mark", "o.row", "o.first", "o.last"), "earliest"
     )
+    blocks = again.select("row", "first", "last").join(earliest.select("row", "first"), ["row", "first"], "left_anti")
     # Where blocks with one mark differ, each run of the earliest blocks is looked for by itself.
-    several = earliest.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark")
+    several = settle(earliest.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark"))
     edges = (
-        earliest.select("mark", "o.*").join(several, "mark")
+        earliest.join(several, "mark")
         .groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("places"))
         .join(lines.select("doc_id", "text_hash", "row"), "row")
     )
@@ -230,13 +228,9 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .mapInArrow(_single(min_words), f"doc_id {kind}, row long, all long, first int")
     )
     _release(spark)
-    origin = (
-        single.groupBy("all")
-        .agg(F.min(F.struct("doc_id", "row", "first")).alias("o"), F.max(F.struct("doc_id", "row", "first")).alias("z"))
-        .filter("not o <=> z").select("all", "o")
-    )
+    origin = single.groupBy("all").agg(F.min(F.struct("doc_id", "row", "first")).alias("o")).select("o.row", "o.first")
     runs = (
-        single.join(origin, "all").filter("row <> o.row or first <> o.first")
+        single.select("row", "first").join(origin, ["row", "first"], "left_anti")
         .select("row", "first", F.col("first").alias("last"))
     )
     gone = settle(
@@ -244,7 +238,8 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .mapInArrow(_joined(min_words), f"row long, n long, {RUNS}")
     )
     remove(spark, again_at)
-    del single, origin, runs, blocks
+    remove(spark, earliest_at)
+    del single, origin, runs, blocks, several
     _release(spark)
     total = lambda column: F.aggregate(column, F.lit(0).cast("long"), lambda a, b: a + b)
     line_of = F.flatten(F.transform("words", lambda n, i: F.array_repeat(i, n)))
