@@ -138,12 +138,36 @@ def _single(min_words: int):
     return make
 
 
+# What a row's places are: blocks and single runs, and those of them that are the earliest of their kind.
+BLOCK, FIRST_BLOCK, RUN, FIRST_RUN = range(4)
+
+
+def _packed(places: DataFrame, kind: int) -> DataFrame:
+    """``places`` (row, first, last) with the two places and the kind in one number."""
+    number = F.shiftleft(F.col("first").cast("long"), 33) + F.shiftleft(F.col("last").cast("long"), 2) + kind
+    return places.select("row", number.alias("place"))
+
+
+def _later(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, first and last of all packed places that are not the earliest of their kind."""
+    owner = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+    packed = np.asarray(lists.flatten()).astype(np.int64).view(np.uint64)
+    first, last = (packed >> np.uint64(33)).astype(np.int64), ((packed >> np.uint64(2)) & np.uint64(2**31 - 1)).astype(np.int64)
+    kind = (packed & np.uint64(3)).astype(np.int64)
+    order = np.lexsort((-kind, first, kind >> 1, owner))  # the mark of an earliest place stands before the place
+    owner, first, last, kind = owner[order], first[order], last[order], kind[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(owner) != 0) | (np.diff(first) != 0) | (np.diff(kind >> 1) != 0)
+    marked = (kind % 2 == 1)[np.flatnonzero(new)][np.cumsum(new) - 1]
+    return owner[~marked], first[~marked], last[~marked]
+
+
 def _joined(min_words: int):
-    """The words that the runs of a row cover, in maximal runs, from the places (first, last) at which runs begin."""
+    """The words that the repeated runs of a row cover, in maximal runs, from its packed ``places``."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, first, last = _bounds(batch.column("places"))
+            owner, first, last = _later(batch.column("places"))
             order = np.lexsort((first, owner))
             owner, first, end = owner[order], first[order], last[order] + min_words
             # Rows stand one after the other, far enough apart, so that one running maximum serves all.
@@ -211,7 +235,6 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     earliest, earliest_at = written(
         again.groupBy("mark", "all").agg(F.min(order).alias("o")).select("mark", "o.row", "o.first", "o.last"), "earliest"
     )
-    blocks = again.select("row", "first", "last").join(earliest.select("row", "first"), ["row", "first"], "left_anti")
     # Where blocks with one mark differ, each run of the earliest blocks is looked for by itself.
     several = settle(earliest.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark"))
     edges = (
@@ -229,17 +252,18 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     _release(spark)
     origin = single.groupBy("all").agg(F.min(F.struct("doc_id", "row", "first")).alias("o")).select("o.row", "o.first")
-    runs = (
-        single.select("row", "first").join(origin, ["row", "first"], "left_anti")
-        .select("row", "first", F.col("first").alias("last"))
+    one = lambda df: df.select("row", "first", F.col("first").alias("last"))
+    places = (
+        _packed(again, BLOCK).union(_packed(earliest, FIRST_BLOCK))
+        .union(_packed(one(single), RUN)).union(_packed(one(origin), FIRST_RUN))
     )
     gone = settle(
-        blocks.union(runs).groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("places"))
-        .mapInArrow(_joined(min_words), f"row long, n long, {RUNS}")
+        places.groupBy("row").agg(F.collect_list("place").alias("places"))
+        .mapInArrow(_joined(min_words), f"row long, n long, {RUNS}").filter("n > 0")
     )
     remove(spark, again_at)
     remove(spark, earliest_at)
-    del single, origin, runs, blocks, several
+    del single, origin, places, several
     _release(spark)
     total = lambda column: F.aggregate(column, F.lit(0).cast("long"), lambda a, b: a + b)
     line_of = F.flatten(F.transform("words", lambda n, i: F.array_repeat(i, n)))
