@@ -111,3 +111,21 @@ def test_op8_over_its_table(spark):
         data = (texts[r["doc_id"]] or "").encode()
         assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(data) + 16, zlib.crc32(data), "bytes", None)
     check_shards(rows, 40, [r["size"] for r in rows])
+
+
+def test_every_shard_and_slot_of_a_table_equals_brute_force(spark):
+    path = "/root/testdata/sf0.001"
+    texts = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()
+    rows = []
+    for doc_id, text in texts:
+        data = (text or "").encode()
+        rows.append((doc_id is not None, doc_id, zlib.crc32(data), len(data) + 16))
+    rows.sort()
+    total, before, filled, want = sum(r[3] for r in rows), 0, Counter(), []
+    for _, doc_id, crc, size in rows:
+        k = min(int((2 * before + size) * 40 // (2 * total)), 39)
+        want.append((doc_id, crc, size, k, filled[k]))
+        filled[k] += 1
+        before += size
+    got = shard.op8_shard_by_bytes(spark, path).select("doc_id", "text_crc32", "size", "shard", "slot").collect()
+    assert Counter(map(tuple, got)) == Counter(want)
