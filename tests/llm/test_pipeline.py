@@ -41,6 +41,25 @@ def test_registered(spark):
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(__spark_entry__.oracle_sql()) <= set(names)
+
+
+def through_all_stages(spark, docs):
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+    return docs
+
+
+def test_odd_rows_and_clashing_columns_pass_all_stages(spark, make_docs, odd_rows):
+    docs = make_docs(odd_rows, ("score", "component_id", "kept", "item_id", "target", "taken", "size", "place", "bag"))
+    out = through_all_stages(spark, docs)
+    assert set(out.columns) == {*docs.columns, "shard", "slot"}
+    rows = out.collect()
+    assert rows and {r["doc_id"] for r in rows} <= {r[0] for r in odd_rows}
+    assert len({(r["shard"], r["slot"]) for r in rows}) == len(rows)
+
+
+def test_an_empty_table_passes_all_stages(spark, make_docs):
+    assert through_all_stages(spark, make_docs([])).count() == 0
