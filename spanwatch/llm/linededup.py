@@ -1,8 +1,10 @@
-"""Repeated runs of words: winnowed blocks, equal blocks by their hash, equal word runs at the blocks' edges."""
+"""Repeated runs of words: winnowed blocks, equal blocks by their hash, equal word runs at the blocks' edges.
+
+DataFrame operations only: nothing runs in Python on the executors.
+"""
 
 import gc
 import time
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,19 +12,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanwatch.llm.quality import _runs as run_hashes
-from spanwatch.llm.scratch import documents, free_names, release, remove, settle, small_batches, written
-from spanwatch.llm.words import Words, buffers, pieces
+from spanwatch.llm.scratch import documents, free_names, release, remove, settle, written
+from spanwatch.llm.words import Words, buffers
 
 # A line ends with a line break, or with a sentence inside a paragraph. The parts keep their ends.
 LINE_ENDS = r"(?<=\n)|(?<=[.!?][ \t\x0B\f\r])"
 BLANKS = " \t\n\x0b\f\r"
+INNER_BLANKS = " \t\x0b\f\r"
 WORD_STARTS = r"(?<=[ \t\n\x0B\f\r])(?=[^ \t\n\x0B\f\r])"
-GRAM = 8  # words of the hashes of which a run of min_words holds several; the least one is its mark
+PLACE = 2**31 - 1  # the bits of a word number
+GRAM = 8  # words that a mark has; a run of min_words holds several, and one of them is its mark
 MIN_WORDS = 20
 
-BLOCKS = "blocks array<struct<mark:long,all:long,first:int,last:int>>"
-RUNS = "runs array<struct<first:int,last:int>>"
 
+# Lines and blocks over Arrow buffers (down to word_blocks), by which tests measure; the query runs none of it.
 # The bytes of LINE_ENDS.
 STOPS = np.zeros(256, bool)
 STOPS[list(b".!?")] = True
@@ -95,95 +98,106 @@ def word_blocks(words: Words, min_words: int) -> pa.ListArray:
     )
 
 
-def _blocked(min_words: int):
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
-            texts = batch.column("text")
-            words = Words(texts)
-            kept = [batch.column(c) for c in ("doc_id", "text_hash", "row")]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, _line_words(texts, words), word_blocks(words, min_words)],
-                ["doc_id", "text_hash", "row", "words", "blocks"],
-            )
-
-    return make
-
-
-def _bounds(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Number of the list, ``first`` and ``last`` of all elements."""
-    flat = lists.flatten()
-    owner = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
-    return owner, *(np.asarray(flat.field(c)).astype(np.int64) for c in ("first", "last"))
-
-
-def _single(min_words: int):
-    """The runs that begin at the ``places`` of texts, one row each."""
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
-            words = Words(batch.column("text"))
-            owner, first, last = _bounds(batch.column("places"))
-            n = last - first + 1
-            sums = np.concatenate(([0], np.cumsum(n)))
-            owner, place = np.repeat(owner, n), np.arange(sums[-1]) + np.repeat(first - sums[:-1], n)
-            at = words.first[owner] + place
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c).take(pa.array(owner)) for c in ("doc_id", "row")),
-                    pa.array(run_hashes(words.hashes, at, at + min_words).view(np.int64)), pa.array(place, pa.int32()),
-                ],
-                ["doc_id", "row", "all", "first"],
-            )
-
-    return make
-
-
-# What a row's places are: blocks and single runs, and those of them that are the earliest of their kind.
-BLOCK, FIRST_BLOCK, RUN, FIRST_RUN = range(4)
-
-
-def _packed(places: DataFrame, kind: int) -> DataFrame:
-    """``places`` (row, first, last) with the two places and the kind in one number."""
-    number = F.shiftleft(F.col("first").cast("long"), 33) + F.shiftleft(F.col("last").cast("long"), 2) + kind
-    return places.select("row", number.alias("place"))
-
-
-def _later(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Owner, first and last of all packed places that are not the earliest of their kind."""
-    owner = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
-    packed = np.asarray(lists.flatten()).astype(np.int64).view(np.uint64)
-    first, last = (packed >> np.uint64(33)).astype(np.int64), ((packed >> np.uint64(2)) & np.uint64(2**31 - 1)).astype(np.int64)
-    kind = (packed & np.uint64(3)).astype(np.int64)
-    order = np.lexsort((-kind, first, kind >> 1, owner))  # the mark of an earliest place stands before the place
-    owner, first, last, kind = owner[order], first[order], last[order], kind[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (np.diff(owner) != 0) | (np.diff(first) != 0) | (np.diff(kind >> 1) != 0)
-    marked = (kind % 2 == 1)[np.flatnonzero(new)][np.cumsum(new) - 1]
-    return owner[~marked], first[~marked], last[~marked]
-
-
-def _joined(min_words: int):
-    """The words that the repeated runs of a row cover, in maximal runs, from its packed ``places``."""
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            owner, first, last = _later(batch.column("places"))
-            order = np.lexsort((first, owner))
-            owner, first, end = owner[order], first[order], last[order] + min_words
-            # Rows stand one after the other, far enough apart, so that one running maximum serves all.
-            shift = owner * (int(end.max(initial=0)) + 2)
-            reach = np.maximum.accumulate(end + shift)
-            new = np.concatenate(([True], (first + shift)[1:] > reach[:-1]))[: len(first)]
-            heads = np.flatnonzero(new)
-            tails = np.append(heads[1:], len(first))[: len(heads)] - 1
-            begin, stop = first[heads], reach[tails] - shift[tails]
-            n = np.zeros(batch.num_rows, np.int64)
-            np.add.at(n, owner[heads], stop - begin)
-            ends = np.searchsorted(owner[heads], np.arange(batch.num_rows + 1))
-            runs = _lists(ends, first=begin.astype(np.int32), last=(stop - 1).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(n), runs], ["row", "n", "runs"])
-
-    return make
+def _tokens(low: Column) -> Column:
+    """The words of a lower-cased text with the line break that follows them at once; other breaks alone."""
+    spaced = F.btrim(F.replace(low, F.lit("\n"), F.lit("\n ")), F.lit(INNER_BLANKS))
+    return F.when(spaced != "", F.split(spaced, f"[{INNER_BLANKS}]+", -1)).otherwise(F.array().cast("array<string>"))
+
+
+def _hashes(tokens: Column) -> Column:
+    """A hash of each word of ``_tokens``."""
+    bare = lambda t: F.when(t.endswith("\n"), F.rtrim(t, F.lit("\n"))).otherwise(t)
+    return F.transform(F.array_remove(tokens, "\n"), lambda t: F.xxhash64(bare(t)))
+
+
+def _cuts(tokens: Column) -> Column:
+    """Where lines end: twice the number of the line's last token, and 1 more if that is no word."""
+    ends = lambda t: t.endswith("\n") | t.endswith(".") | t.endswith("!") | t.endswith("?")
+    return F.array_compact(
+        F.transform(tokens, lambda t, i: F.when(ends(t), F.when(t == "\n", i * 2 + 1).otherwise(i * 2)))
+    )
+
+
+def _counts(cuts: Column, tokens: Column) -> Column:
+    """The number of words in each line; a line without words may follow the last one."""
+    token = lambda cut: F.shiftright(cut, 1)
+    return F.zip_with(
+        F.concat(cuts, F.array((tokens - 1) * 2)), F.concat(F.array(F.lit(-2)), cuts),
+        lambda own, before: token(own) - token(before) - own.bitwiseAND(F.lit(1)),
+    )
+
+
+def _blocks(texts: DataFrame, min_words: int) -> DataFrame:
+    """The blocks of each text of ``texts`` (row, doc_id, text_hash, low), as rows.
+
+    A place is a word number at which a run of ``min_words`` words begins. Its mark is the word with the least
+    hash (the first of equals) among those with which GRAM words lie in the run. Places with one mark are one
+    block: no two runs of a block are equal. ``mark`` is a hash of the GRAM words, ``all`` one of every word of
+    the block's runs, ``first`` and ``last`` are its places. Besides, each text has a row with nulls there; it
+    alone holds ``cuts`` (see ``_cuts``) and ``n``, the number of tokens.
+    """
+    gram = min(GRAM, min_words)
+    width = min_words - gram + 1
+    keys = ["row", "doc_id", "text_hash"]
+    df = texts.select(*keys, _tokens(F.col("low")).alias("tokens"))
+    df = df.select(*keys, _hashes(F.col("tokens")).alias("h"), _cuts(F.col("tokens")).alias("cuts"), F.size("tokens").alias("n"))
+    # Hash above, place below: the least of a range is the least hash, and of equals the first.
+    df = df.withColumn("v", F.transform("h", lambda x, i: x.bitwiseAND(F.lit(~PLACE)).bitwiseOR(i.cast("long"))))
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        rest = F.slice("v", step + 1, F.greatest(F.size("v"), F.lit(1)))
+        df = df.withColumn("v", F.zip_with("v", rest, lambda a, b: F.least(a, b)))
+        have += step
+    places = F.greatest(F.size("h") - (min_words - 1), F.lit(0))
+    df = df.withColumn("v", F.array_distinct(F.slice("v", F.lit(1), places))).withColumn("places", places)
+    none = F.array(F.lit(None).cast("long"))
+    df = df.select(*keys, "h", "cuts", "n", "v", "places", F.posexplode(F.concat(none, "v")).alias("next", "own"))
+    # A mark takes over when it comes in, being less than the one before, or else when that one has gone.
+    place = lambda packed: packed.bitwiseAND(F.lit(PLACE)).cast("int")
+    begin = lambda before, own: F.when(own < before, place(own) - (width - 1)).otherwise(place(before) + 1)
+    own, before, after = F.col("own"), F.get("v", F.col("next") - 2), F.get("v", F.col("next"))
+    df = df.select(
+        *keys, "h", "cuts", "n", "own", place(own).alias("at"),
+        F.when(before.isNull(), 0).otherwise(begin(before, own)).alias("first"),
+        (F.when(after.isNull(), F.col("places")).otherwise(begin(own, after)) - 1).alias("last"),
+    )
+    run = F.slice("h", F.col("first") + 1, F.col("last") - F.col("first") + min_words)
+    some = own.isNotNull()
+    return df.select(
+        *keys, F.when(~some, F.col("cuts")).alias("cuts"), F.when(~some, F.col("n")).alias("n"),
+        F.when(some, F.xxhash64(F.slice("h", F.col("at") + 1, F.lit(gram)))).alias("mark"),
+        F.when(some, F.xxhash64(run)).alias("all"), F.when(some, F.col("first")).alias("first"),
+        F.when(some, F.col("last")).alias("last"),
+    )
+
+
+def _single(held: DataFrame, min_words: int) -> DataFrame:
+    """The runs that begin at the ``places`` of texts (doc_id, row, places, low), one row each."""
+    hashed = held.select("doc_id", "row", "places", _hashes(_tokens(F.col("low"))).alias("h"))
+    ranges = hashed.select("doc_id", "row", "h", F.explode("places").alias("r"))
+    each = ranges.select("doc_id", "row", "h", F.explode(F.sequence("r.first", "r.last")).alias("first"))
+    return each.select("doc_id", "row", F.xxhash64(F.slice("h", F.col("first") + 1, F.lit(min_words))).alias("all"), "first")
+
+
+def _joined(places: DataFrame, min_words: int) -> DataFrame:
+    """The words that repeated runs cover, in maximal runs of each row.
+
+    ``places`` has row, kind (block or single run), first, last and origin: whether the place is the earliest of
+    its kind. A place given as the earliest stays, however often it is given.
+    """
+    later = (
+        places.repartition("row").groupBy("row", "kind", "first").agg(F.max("last").alias("last"), F.max("origin").alias("origin"))
+        .filter("origin = 0").select("row", "first", (F.col("last") + min_words).alias("end"))
+    )
+    own = Window.partitionBy("row").orderBy("first")
+    reach = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    opens = later.withColumn("new", F.when(F.col("first") <= reach, 0).otherwise(1))
+    parts = opens.withColumn("part", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = parts.groupBy("row", "part").agg(F.min("first").alias("first"), (F.max("end") - 1).alias("last"))
+    return runs.groupBy("row").agg(
+        F.sum(F.col("last") - F.col("first") + 1).alias("n"), F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs")
+    )
 
 
 def _release(spark: SparkSession) -> None:
@@ -211,20 +225,17 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     what repeats. Other columns are not read.
     """
     spark = docs.sparkSession
-    small_batches(spark)
-    kind = docs.schema["doc_id"].dataType.simpleString()
     text_of = F.lower(F.col("text").cast("string"))
-    made, made_at = written(
-        docs.select(
-            "doc_id", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"),
-            text_of.alias("text"),
-        ).mapInArrow(_blocked(min_words), f"doc_id {kind}, text_hash long, row long, words array<int>, {BLOCKS}"),
-        "blocks",
+    low = docs.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"),
+        F.coalesce(text_of, F.lit("")).alias("low"),
     )
-    lines = settle(made.drop("blocks"))
-    every = made.select("doc_id", "row", F.inline("blocks"))
-    marks = made.select(F.explode("blocks.mark").alias("mark"))
-    shared = settle(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark"))
+    made, made_at = written(_blocks(low, min_words), "blocks")
+    lines = settle(made.filter("cuts is not null").select(
+        "doc_id", "text_hash", "row", _counts(F.col("cuts"), F.col("n")).alias("words")
+    ))
+    every = made.filter("mark is not null").select("doc_id", "row", "mark", "all", "first", "last")
+    shared = settle(every.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark"))
     _release(spark)
     again, again_at = written(every.join(shared, "mark"), "again")
     remove(spark, made_at)
@@ -243,27 +254,26 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .join(lines.select("doc_id", "text_hash", "row"), "row")
     )
     doc, hashed = free_names(edges.columns, "j_doc", "j_text")
-    texts = docs.select(F.col("doc_id").alias(doc), F.xxhash64("text").alias(hashed), text_of.alias("text"))
+    texts = docs.select(
+        F.col("doc_id").alias(doc), F.xxhash64("text").alias(hashed), F.coalesce(text_of, F.lit("")).alias("low")
+    )
     held = texts.join(edges, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col("text_hash") == F.col(hashed)))
     # Rows that agree in id and text meet each other's places; a run that so comes twice changes nothing.
-    single = settle(
-        held.select("doc_id", "row", "places", "text")
-        .mapInArrow(_single(min_words), f"doc_id {kind}, row long, all long, first int")
-    )
+    single = settle(_single(held, min_words))
     _release(spark)
-    origin = single.groupBy("all").agg(F.min(F.struct("doc_id", "row", "first")).alias("o")).select("o.row", "o.first")
-    one = lambda df: df.select("row", "first", F.col("first").alias("last"))
-    places = (
-        _packed(again, BLOCK).union(_packed(earliest, FIRST_BLOCK))
-        .union(_packed(one(single), RUN)).union(_packed(one(origin), FIRST_RUN))
+    first_runs = single.groupBy("all").agg(F.min(F.struct("doc_id", "row", "first")).alias("o")).select("o.row", "o.first")
+    kind = lambda df, kind, origin: df.select(
+        "row", F.lit(kind).alias("kind"), "first", "last", F.lit(origin).alias("origin")
     )
-    gone = settle(
-        places.groupBy("row").agg(F.collect_list("place").alias("places"))
-        .mapInArrow(_joined(min_words), f"row long, n long, {RUNS}").filter("n > 0")
+    one = lambda df: df.withColumn("last", F.col("first"))
+    places = (
+        kind(again, 0, 0).union(kind(earliest, 0, 1))
+        .union(kind(one(single), 1, 0)).union(kind(one(first_runs), 1, 1))
     )
+    gone = settle(_joined(places, min_words))
     remove(spark, again_at)
     remove(spark, earliest_at)
-    del single, origin, places, several
+    del single, first_runs, places, several
     _release(spark)
     total = lambda column: F.aggregate(column, F.lit(0).cast("long"), lambda a, b: a + b)
     line_of = F.flatten(F.transform("words", lambda n, i: F.array_repeat(i, n)))

@@ -199,3 +199,53 @@ def test_a_table_equals_brute_force(spark):
     # Blanks here are those of ASCII.
     texts = [(k, " ".join(re.split("[ \t\n\x0b\f\r]+", t.strip(" \t\n\x0b\f\r"))).replace("\x85", "x").replace("\xa0", "x")) for k, t in rows]
     assert got == brute(texts)
+
+
+def test_no_step_runs_python_on_the_executors(monkeypatch, make_docs, prose):
+    plans = []
+
+    def seen(made):
+        def make(df, *rest):
+            plans.append(df._jdf.queryExecution().toString())
+            return made(df, *rest)
+
+        return make
+
+    for name in ("settle", "written"):
+        monkeypatch.setattr(linededup, name, seen(getattr(linededup, name)))
+    docs = make_docs([(k, prose(9, k) + " " + prose(40, 1) + " " + prose(9, 50 + k)) for k in range(5)])
+    plans.append(linededup.repeated_runs(docs)._jdf.queryExecution().toString())
+    assert len(plans) > 5
+    assert not [p for p in plans if re.search("Python|Pandas|Arrow", p)]
+
+
+def test_tokens_give_words_and_lines(spark):
+    alphabet, draw = "ab.!? \t\r\n", random.Random(4)
+    texts = ["".join(draw.choice(alphabet) for _ in range(draw.randint(0, 40))) for _ in range(300)] + ["", "a. ", "\n", " ", "a.\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, low string").withColumn("t", linededup._tokens(F.col("low")))
+    counts = linededup._counts(linededup._cuts(F.col("t")), F.size("t")).alias("counts")
+    _, plain = zip(*sorted(normal(spark, dict(enumerate(texts))).items()))
+    for r in df.select("k", counts, F.size(linededup._hashes(F.col("t"))).alias("n")).collect():
+        want = [len(f.split()) for f in plain[r["k"]][1]]
+        assert r["counts"] in (want, want + [0]) and r["n"] == sum(want)
+
+
+def test_blocks_hold_every_place_once_and_equal_runs_share_their_mark(spark):
+    draw = random.Random(5)
+    texts = [" ".join(draw.choice("abc") for _ in range(draw.choice([0, 3, 6, 7, 8, 40, 90]))) for _ in range(60)] + ["ha " * 50, ""]
+    df = spark.createDataFrame([(k, k, k, t) for k, t in enumerate(texts)], "row long, doc_id long, text_hash long, low string")
+    for least in (1, 7, 20):
+        places, marks, full = {k: [] for k in range(len(texts))}, {}, {}
+        rows = linededup._blocks(df, least).collect()
+        assert sorted(r["row"] for r in rows if r["cuts"] is not None) == sorted(places)
+        for r in rows:
+            if r["mark"] is None:
+                continue
+            words, own = texts[r["row"]].split(), range(r["first"], r["last"] + 1)
+            places[r["row"]] += own
+            runs = [tuple(words[j : j + least]) for j in own]
+            assert len(set(runs)) == len(runs) > 0
+            assert full.setdefault(r["all"], (r["mark"], words[own[0] : own[-1] + least])) == (r["mark"], words[own[0] : own[-1] + least])
+            for run in runs:
+                assert marks.setdefault(run, r["mark"]) == r["mark"]
+        assert all(sorted(p) == list(range(max(len(texts[k].split()) - least + 1, 0))) for k, p in places.items())
