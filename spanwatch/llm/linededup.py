@@ -20,7 +20,6 @@ LINE_ENDS = r"(?<=\n)|(?<=[.!?][ \t\x0B\f\r])"
 BLANKS = " \t\n\x0b\f\r"
 INNER_BLANKS = " \t\x0b\f\r"
 WORD_STARTS = r"(?<=[ \t\n\x0B\f\r])(?=[^ \t\n\x0B\f\r])"
-PLACE = 2**31 - 1  # the bits of a word number
 GRAM = 8  # words that a mark has; a run of min_words holds several, and one of them is its mark
 MIN_WORDS = 20
 
@@ -98,6 +97,7 @@ def word_blocks(words: Words, min_words: int) -> pa.ListArray:
     )
 
 
+# Words with their line breaks (down to _counts), by which tests measure as well; the query runs none of it.
 def _tokens(low: Column) -> Column:
     """The words of a lower-cased text with the line break that follows them at once; other breaks alone."""
     spaced = F.btrim(F.replace(low, F.lit("\n"), F.lit("\n ")), F.lit(INNER_BLANKS))
@@ -127,6 +127,29 @@ def _counts(cuts: Column, tokens: Column) -> Column:
     )
 
 
+def _spaced(low: Column) -> Column:
+    """A text with a space for each blank but line breaks."""
+    for blank in INNER_BLANKS[1:]:
+        low = F.replace(low, F.lit(blank), F.lit(" "))
+    return low
+
+
+def _words(spaced: Column) -> Column:
+    """The words of a ``_spaced`` text. A split at a single character needs no regular expression."""
+    return F.array_remove(F.split(F.replace(spaced, F.lit("\n"), F.lit(" ")), " ", -1), "")
+
+
+def _line_counts(spaced: Column) -> Column:
+    """The number of words in each line of a ``_spaced`` text; a line without words may follow the last one."""
+    single = F.when(spaced.contains("  "), F.regexp_replace(spaced, " +", " ")).otherwise(spaced)
+    for stop in ".!?":
+        single = F.replace(single, F.lit(f"{stop} "), F.lit(f"{stop}\n"))
+    spaces = lambda line: F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    # Spaces at the ends part no words; a lone one is at both ends.
+    ends = lambda line: line.startswith(" ").cast("int") + line.endswith(" ").cast("int")
+    return F.transform(F.split(single, "\n", -1), lambda line: F.when(line == "", 0).otherwise(spaces(line) + 1 - ends(line)))
+
+
 def _blocks(texts: DataFrame, min_words: int) -> DataFrame:
     """The blocks of each text of ``texts`` (row, doc_id, text_hash, low), as rows.
 
@@ -134,49 +157,44 @@ def _blocks(texts: DataFrame, min_words: int) -> DataFrame:
     hash (the first of equals) among those with which GRAM words lie in the run. Places with one mark are one
     block: no two runs of a block are equal. ``mark`` is a hash of the GRAM words, ``all`` one of every word of
     the block's runs, ``first`` and ``last`` are its places. Besides, each text has a row with nulls there; it
-    alone holds ``cuts`` (see ``_cuts``) and ``n``, the number of tokens.
+    alone holds ``text_hash`` and ``cuts``, the number of words in each line.
     """
     gram = min(GRAM, min_words)
     width = min_words - gram + 1
-    keys = ["row", "doc_id", "text_hash"]
-    df = texts.select(*keys, _tokens(F.col("low")).alias("tokens"))
-    df = df.select(*keys, _hashes(F.col("tokens")).alias("h"), _cuts(F.col("tokens")).alias("cuts"), F.size("tokens").alias("n"))
-    # Hash above, place below: the least of a range is the least hash, and of equals the first.
-    df = df.withColumn("v", F.transform("h", lambda x, i: x.bitwiseAND(F.lit(~PLACE)).bitwiseOR(i.cast("long"))))
-    have = 1
-    while have < width:
-        step = min(have, width - have)
-        rest = F.slice("v", step + 1, F.greatest(F.size("v"), F.lit(1)))
-        df = df.withColumn("v", F.zip_with("v", rest, lambda a, b: F.least(a, b)))
-        have += step
-    places = F.greatest(F.size("h") - (min_words - 1), F.lit(0))
-    df = df.withColumn("v", F.array_distinct(F.slice("v", F.lit(1), places))).withColumn("places", places)
-    none = F.array(F.lit(None).cast("long"))
-    df = df.select(*keys, "h", "cuts", "n", "v", "places", F.posexplode(F.concat(none, "v")).alias("next", "own"))
-    # A mark takes over when it comes in, being less than the one before, or else when that one has gone.
-    place = lambda packed: packed.bitwiseAND(F.lit(PLACE)).cast("int")
-    begin = lambda before, own: F.when(own < before, place(own) - (width - 1)).otherwise(place(before) + 1)
-    own, before, after = F.col("own"), F.get("v", F.col("next") - 2), F.get("v", F.col("next"))
-    df = df.select(
-        *keys, "h", "cuts", "n", "own", place(own).alias("at"),
-        F.when(before.isNull(), 0).otherwise(begin(before, own)).alias("first"),
-        (F.when(after.isNull(), F.col("places")).otherwise(begin(own, after)) - 1).alias("last"),
-    )
+    keys = ["row", "doc_id", "text_hash", "h", "cuts"]
+    df = texts.withColumn("low", _spaced(F.col("low"))).withColumn("words", _words(F.col("low")))
+    # Words count from 1 here; the text's own row stands before them.
+    hashes = F.transform("words", lambda word: F.xxhash64(word))
+    df = df.withColumn("h", F.concat(F.array(F.lit(0).cast("long")), hashes)).withColumn("cuts", _line_counts(F.col("low")))
+    # Outer ones, as Spark evaluates what a plain explode reads once more, in a filter below it.
+    df = df.select(*keys, F.posexplode_outer("h").alias("at", "own"))
+    at, own = F.col("at"), F.col("own")
+    left, right = F.when(at < 1, 0), F.when(at < 1, 0)
+    for k in range(1, width):  # most words meet a lesser one within two steps
+        left = left.when(F.get("h", at - k) <= own, k - 1)
+        right = right.when(F.get("h", at + k) < own, k - 1)
+    first = F.greatest(at - left.otherwise(width - 1), F.lit(1))
+    last = F.least(at + right.otherwise(width - 1), F.size("h") - gram) - (width - 1)
+    df = df.select(*keys, "at", first.alias("first"), last.alias("last"))
+    some = at > 0
+    block = F.when(~some | (F.col("first") <= F.col("last")), F.array(F.struct("first", "last")))
+    df = df.select(*keys, "at", F.explode_outer(block).alias("block")).filter("block is not null")
+    df = df.select(*keys, "at", "block.first", "block.last")
     run = F.slice("h", F.col("first") + 1, F.col("last") - F.col("first") + min_words)
-    some = own.isNotNull()
     return df.select(
-        *keys, F.when(~some, F.col("cuts")).alias("cuts"), F.when(~some, F.col("n")).alias("n"),
-        F.when(some, F.xxhash64(F.slice("h", F.col("at") + 1, F.lit(gram)))).alias("mark"),
-        F.when(some, F.xxhash64(run)).alias("all"), F.when(some, F.col("first")).alias("first"),
-        F.when(some, F.col("last")).alias("last"),
+        "row", "doc_id", *(F.when(~some, F.col(c)).alias(c) for c in ("text_hash", "cuts")),
+        F.when(some, F.xxhash64(F.slice("h", at + 1, F.lit(gram)))).alias("mark"),
+        F.when(some, F.xxhash64(run)).alias("all"), F.when(some, F.col("first") - 1).alias("first"),
+        F.when(some, F.col("last") - 1).alias("last"),
     )
 
 
 def _single(held: DataFrame, min_words: int) -> DataFrame:
     """The runs that begin at the ``places`` of texts (doc_id, row, places, low), one row each."""
-    hashed = held.select("doc_id", "row", "places", _hashes(_tokens(F.col("low"))).alias("h"))
-    ranges = hashed.select("doc_id", "row", "h", F.explode("places").alias("r"))
-    each = ranges.select("doc_id", "row", "h", F.explode(F.sequence("r.first", "r.last")).alias("first"))
+    words = held.select("doc_id", "row", "places", _words(_spaced(F.col("low"))).alias("words"))
+    hashed = words.select("doc_id", "row", "places", F.transform("words", lambda word: F.xxhash64(word)).alias("h"))
+    ranges = hashed.select("doc_id", "row", "h", F.explode_outer("places").alias("r"))  # outer ones as in _blocks
+    each = ranges.select("doc_id", "row", "h", F.explode_outer(F.sequence("r.first", "r.last")).alias("first"))
     return each.select("doc_id", "row", F.xxhash64(F.slice("h", F.col("first") + 1, F.lit(min_words))).alias("all"), "first")
 
 
@@ -184,20 +202,30 @@ def _joined(places: DataFrame, min_words: int) -> DataFrame:
     """The words that repeated runs cover, in maximal runs of each row.
 
     ``places`` has row, kind (block or single run), first, last and origin: whether the place is the earliest of
-    its kind. A place given as the earliest stays, however often it is given.
+    its kind. A place given as the earliest stays, however often it is given. Those that go share no word number
+    at which runs begin: single runs are of blocks that stay.
     """
-    later = (
-        places.repartition("row").groupBy("row", "kind", "first").agg(F.max("last").alias("last"), F.max("origin").alias("origin"))
-        .filter("origin = 0").select("row", "first", (F.col("last") + min_words).alias("end"))
+    # First above, then last, then the kind: a text of 2 GB has fewer than 2**30 words.
+    packed = F.shiftleft(F.col("first").cast("long"), 32).bitwiseOR(F.shiftleft("last", 1).cast("long")).bitwiseOR(F.col("kind").cast("long"))
+    given = places.select("row", "origin", packed.alias("place")).repartition("row").groupBy("row").agg(
+        F.collect_list(F.when(F.col("origin") == 0, F.col("place"))).alias("all"),
+        F.collect_list(F.when(F.col("origin") == 1, F.col("place"))).alias("kept"),
     )
-    own = Window.partitionBy("row").orderBy("first")
-    reach = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
-    opens = later.withColumn("new", F.when(F.col("first") <= reach, 0).otherwise(1))
-    parts = opens.withColumn("part", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = parts.groupBy("row", "part").agg(F.min("first").alias("first"), (F.max("end") - 1).alias("last"))
-    return runs.groupBy("row").agg(
-        F.sum(F.col("last") - F.col("first") + 1).alias("n"), F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs")
+    later = given.select("row", F.sort_array(F.array_except("all", "kept")).alias("p"))
+    each = later.select("row", "p", F.posexplode_outer("p").alias("i", "place")).filter("place is not null")
+    begin = lambda place: F.shiftright(place, 32)
+    end = lambda place: F.shiftright(place.bitwiseAND(F.lit(2**32 - 1)), 1) + min_words
+    i, place = F.col("i"), F.col("place")
+    opens = (i == 0) | (begin(place) > end(F.get("p", i - 1)))
+    closes = (i == F.size("p") - 1) | (begin(F.get("p", i + 1)) > end(place))
+    bounds = each.select(
+        "row", F.when(opens, begin(place)).cast("int").alias("first"), F.when(closes, end(place) - 1).cast("int").alias("last")
+    ).filter("first is not null or last is not null")
+    runs = bounds.groupBy("row").agg(
+        (F.sum("last") - F.sum("first") + F.count("first")).alias("n"),
+        F.sort_array(F.collect_list("first")).alias("first"), F.sort_array(F.collect_list("last")).alias("last"),
     )
+    return runs.select("row", "n", F.arrays_zip("first", "last").alias("runs"))
 
 
 def _release(spark: SparkSession) -> None:
@@ -231,13 +259,11 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.coalesce(text_of, F.lit("")).alias("low"),
     )
     made, made_at = written(_blocks(low, min_words), "blocks")
-    lines = settle(made.filter("cuts is not null").select(
-        "doc_id", "text_hash", "row", _counts(F.col("cuts"), F.col("n")).alias("words")
-    ))
+    lines = settle(made.filter("cuts is not null").select("doc_id", "text_hash", "row", F.col("cuts").alias("words")))
     every = made.filter("mark is not null").select("doc_id", "row", "mark", "all", "first", "last")
     shared = settle(every.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark"))
     _release(spark)
-    again, again_at = written(every.join(shared, "mark"), "again")
+    again, again_at = written(every.join(shared.hint("shuffle_hash"), "mark"), "again")
     remove(spark, made_at)
     del shared
     _release(spark)
@@ -257,23 +283,26 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     texts = docs.select(
         F.col("doc_id").alias(doc), F.xxhash64("text").alias(hashed), F.coalesce(text_of, F.lit("")).alias("low")
     )
-    held = texts.join(edges, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col("text_hash") == F.col(hashed)))
+    held = texts.join(edges.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col("text_hash") == F.col(hashed)))
     # Rows that agree in id and text meet each other's places; a run that so comes twice changes nothing.
     single = settle(_single(held, min_words))
     _release(spark)
-    first_runs = single.groupBy("all").agg(F.min(F.struct("doc_id", "row", "first")).alias("o")).select("o.row", "o.first")
+    # Of equal runs, too, all but the earliest repeat; most runs here have no equal.
+    equal = single.groupBy("all").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("all")
+    equal = settle(single.join(equal.hint("shuffle_hash"), "all"))
+    first_runs = equal.groupBy("all").agg(F.min(F.struct("doc_id", "row", "first")).alias("o"))
+    repeats = equal.join(first_runs.hint("shuffle_hash"), "all").filter("row != o.row or first != o.first")
     kind = lambda df, kind, origin: df.select(
         "row", F.lit(kind).alias("kind"), "first", "last", F.lit(origin).alias("origin")
     )
-    one = lambda df: df.withColumn("last", F.col("first"))
     places = (
         kind(again, 0, 0).union(kind(earliest, 0, 1))
-        .union(kind(one(single), 1, 0)).union(kind(one(first_runs), 1, 1))
+        .union(kind(repeats.select("row", "first", F.col("first").alias("last")), 1, 0))
     )
     gone = settle(_joined(places, min_words))
     remove(spark, again_at)
     remove(spark, earliest_at)
-    del single, first_runs, places, several
+    del single, equal, first_runs, repeats, places, several
     _release(spark)
     total = lambda column: F.aggregate(column, F.lit(0).cast("long"), lambda a, b: a + b)
     line_of = F.flatten(F.transform("words", lambda n, i: F.array_repeat(i, n)))

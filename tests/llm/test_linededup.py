@@ -249,3 +249,28 @@ def test_blocks_hold_every_place_once_and_equal_runs_share_their_mark(spark):
             for run in runs:
                 assert marks.setdefault(run, r["mark"]) == r["mark"]
         assert all(sorted(p) == list(range(max(len(texts[k].split()) - least + 1, 0))) for k, p in places.items())
+
+
+def test_words_and_line_counts_of_a_text(spark):
+    alphabet, draw = "ab.!? \t\r\n", random.Random(6)
+    texts = ["".join(draw.choice(alphabet) for _ in range(draw.randint(0, 40))) for _ in range(400)]
+    texts += ["", " ", "\n", "a. ", "a.\n", " a", "a ", "\n \n", "a\r\n\r\nb", "a.  b", "a. \nb", "\x0ba\x0cb."]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, low string").withColumn("t", linededup._spaced(F.col("low")))
+    _, plain = zip(*sorted(normal(spark, dict(enumerate(texts))).items()))
+    for r in df.select("k", linededup._words(F.col("t")).alias("words"), linededup._line_counts(F.col("t")).alias("n")).collect():
+        forms = [f.split() for f in plain[r["k"]][1]]
+        want = [len(f) for f in forms]
+        assert r["words"] == [w for f in forms for w in f]
+        assert r["n"] in (want, want + [0])
+
+
+def test_marks_come_from_generated_code_that_the_jvm_compiles(spark, capsys):
+    df = spark.createDataFrame([(1, 1, 1, "a b")], "row long, doc_id long, text_hash long, low string")
+    linededup._blocks(df, linededup.MIN_WORDS).explain("codegen")
+    out = capsys.readouterr().out
+    # Beyond 8000 bytes the JVM interprets a method.
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", out)]
+    assert sizes and max(sizes) < 8000
+    assert "posexplode" in out and "zip_with" not in out
+    # The words are hashed once, not in a filter below the explode as well.
+    assert not re.search(r"Filter[^\n]*transform", out)
