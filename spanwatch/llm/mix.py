@@ -1,6 +1,6 @@
 """Mixing sources to target weights by capped water-filling."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanwatch.llm.prefix import with_prefix
@@ -13,6 +13,15 @@ MAX_EPOCHS = 3
 SEED = 20
 
 
+def _share(left: int, weight: int) -> Column:
+    """A source's part of ``left``, shared by weights that sum to ``weight``.
+
+    In doubles: the product of words and a weight does not fit an int from some gigabytes on,
+    and Spark ends such a query.
+    """
+    return F.lit(float(left)) * F.col("weight").cast("double") / F.lit(float(weight))
+
+
 def source_targets(sources: DataFrame, max_epochs: int, budget: int | None = None) -> DataFrame:
     """Share ``budget`` over ``sources`` (source, source_size, weight) by weight.
 
@@ -27,7 +36,7 @@ def source_targets(sources: DataFrame, max_epochs: int, budget: int | None = Non
     weighted = F.coalesce(F.col("weight"), F.lit(0)) > 0
     level, clamped, left, weight = None, -1, 0, 0
     while True:
-        above = F.lit(False) if level is None else F.col("cap") <= left * F.col("weight") / F.lit(weight)
+        above = F.lit(False) if level is None else F.col("cap") <= _share(left, weight)
         now = sources.filter(weighted).agg(
             F.sum(above.cast("long")).alias("n"),
             F.sum(F.when(above, F.col("cap"))).alias("cap"),
@@ -37,8 +46,8 @@ def source_targets(sources: DataFrame, max_epochs: int, budget: int | None = Non
             break
         clamped, left, weight = now["n"] or 0, budget - (now["cap"] or 0), now["weight"]
         level = left / weight
-    share = F.lit(left) * F.col("weight") / F.lit(weight) if weight else F.lit(0.0)
-    target = F.least(F.col("cap").cast("double"), share.cast("double"))
+    share = _share(left, weight) if weight else F.lit(0.0)
+    target = F.least(F.col("cap").cast("double"), share)
     if not now["weight"]:
         target = F.col("cap").cast("double")
     return sources.withColumn("target", F.when(weighted, target).otherwise(0.0)).drop("cap")

@@ -63,3 +63,12 @@ def test_odd_rows_and_clashing_columns_pass_all_stages(spark, make_docs, odd_row
 
 def test_an_empty_table_passes_all_stages(spark, make_docs):
     assert through_all_stages(spark, make_docs([])).count() == 0
+
+
+def test_mixing_stage_where_words_times_weight_pass_the_range_of_an_int(spark, make_docs, prose, monkeypatch):
+    docs = make_docs([(i, prose(5 + i % 30, i), f"s{i % 4}") for i in range(80)])
+    stage = dict(corpus_pipeline.STAGES)["mixing"]
+    want = Counter(r["doc_id"] for r in stage(spark, docs, SF).collect())
+    # The same shares by larger numbers: 80 rows then reach what takes 430 million words by the weights themselves.
+    monkeypatch.setattr(mix, "CYCLE", [x * 100_000_000 for x in mix.CYCLE])
+    assert want and Counter(r["doc_id"] for r in stage(spark, docs, SF).collect()) == want
