@@ -1,5 +1,6 @@
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,6 +28,31 @@ def test_all_targets_capped_when_the_budget_is_too_large(spark):
     assert got == {"a": 30.0, "b": 0.0}
 
 
+@pytest.mark.parametrize("words", [1_000_000, 12_000_000, 40_000_000])  # a row; 0.1, 1.2 and 4 billion in all
+def test_mix_of_any_number_of_words_has_exact_targets(spark, words):
+    rows = [(i, f"s{i % 4}", words + i) for i in range(40)] + [(90, "large", 60 * words)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    weight = dict(zip(["large", "s0", "s1", "s2", "s3"], [5, 2, 1, 5, 2]))
+    sizes = Counter()
+    for _, source, size in rows:
+        sizes[source] += size
+    capped = set()
+    while True:
+        left = sum(sizes.values()) - sum(2 * sizes[s] for s in capped)
+        share = {s: Fraction(left * weight[s], sum(w for t, w in weight.items() if t not in capped)) for s in weight}
+        if not (more := {s for s in weight if s not in capped and 2 * sizes[s] <= share[s]}):
+            break
+        capped |= more
+    assert capped and capped != set(weight)
+    want = {s: float(2 * sizes[s] if s in capped else share[s]) for s in weight}
+    got = mix.mix_sources(sized, mix.cycled_weights(sized, mix.CYCLE), max_epochs=2).collect()
+    assert len(got) == len(rows)
+    assert {(r["source"], r["source_size"], r["target"]) for r in got} == {(s, sizes[s], want[s]) for s in weight}
+    for s in weight:
+        taken = sum(r["taken"] for r in got if r["source"] == s)
+        assert abs(taken - want[s]) <= max(r["size"] for r in got if r["source"] == s) / 2
+
+
 def test_mix_comes_near_its_targets_and_repeats_itself(make_docs, prose):
     docs = make_docs([(i, prose(5 + i % 30, i), f"s{i % 3}" if i % 5 else None) for i in range(300)])
     first, again = mixed(docs).collect(), mixed(docs.repartition(5)).collect()
